@@ -8,6 +8,7 @@ The join is a left semi join, so a record two limits apply to is kept once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -18,6 +19,8 @@ from linepareto.operators.skew import spread_lookup
 
 # Limit sets up to this size travel to every task; larger ones are shuffled.
 MAX_LOCAL_LIMITS = 10_000
+# Pattern limits up to this number are written into the predicate; more are joined.
+MAX_PATTERNS = 200
 
 
 class Limit(NamedTuple):
@@ -73,85 +76,115 @@ def load_limits(limits: DataFrame) -> tuple[Limit, ...] | DataFrame:
 
 def might_violate(check: LimitCheck) -> Column:
     """A necessary condition in plain comparisons, for the scan to prune on."""
-    by_station: dict[str, list[Limit]] = {}
+    limits = check.limits
+    possible = F.col("station_name").isin(sorted({x.station_name for x in limits}))
+    if check.status is not None:
+        possible &= F.col("overall_process_status") == check.status
+    if all(x.match_mode == "eq" for x in limits):
+        possible &= F.col("parameter_name").isin(sorted({x.pattern for x in limits}))
+    if check.value == "num" and limits:
+        possible &= ((F.col("parameter_value_num") < max(x.lo for x in limits))
+                     | (F.col("parameter_value_num") > min(x.hi for x in limits)))
+    return possible
+
+
+def _any(conditions) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def _located(location: str, limit_location: Column) -> Column:
+    if location == "id":
+        return F.col("work_location_id") == limit_location
+    return F.col("work_location_name") == F.lpad(limit_location.cast("string"), 2, "0")
+
+
+def _pattern_violated(check: LimitCheck) -> Column:
+    """The pattern limits as one predicate: constant patterns are compiled once."""
+    value = F.col("_measured" if check.value == "raw" else "parameter_value_num")
+    violated = []
     for limit in check.limits:
-        by_station.setdefault(limit.station_name, []).append(limit)
-    any_of = F.lit(False)
-    for station, group in by_station.items():
-        possible = F.col("station_name") == station
+        if limit.match_mode == "eq":
+            continue
+        applies = ((F.col("station_name") == limit.station_name)
+                   & F.col("parameter_name").ilike(limit.pattern))
+        if limit.work_location_id is not None:
+            applies &= _located(check.location, F.lit(limit.work_location_id))
         if check.status is not None:
-            possible &= F.col("overall_process_status") == check.status
-        if all(x.match_mode == "eq" for x in group):
-            possible &= F.col("parameter_name").isin(sorted({x.pattern for x in group}))
-        if check.value == "num":
-            possible &= ((F.col("parameter_value_num") < max(x.lo for x in group))
-                         | (F.col("parameter_value_num") > min(x.hi for x in group)))
-        any_of = any_of | possible
-    return any_of
-
-
-def _outside(values: set[str]) -> Column:
-    def beyond(measured: str) -> Column:
+            applies &= F.col("overall_process_status") == check.status
+        violated.append(applies & ((value < limit.lo) | (value > limit.hi)))
+    return _any(violated)
+
+
+def _choose(options: dict[str, Column], used: set[str], column: str) -> Column:
+    """The option a limit's `column` names; a plain one if only one is used."""
+    if len(used) == 1:
+        return options[used.pop()]
+    first, second = options
+    return F.when(F.col(column) == first, options[first]).otherwise(options[second])
+
+
+def _violated(checks: Sequence[LimitCheck], any_location: bool, any_status: bool) -> Column:
+    """Range, location and status conditions of a joined limit row."""
+    def outside(measured: str) -> Column:
         return (F.col(measured) < F.col("_lo")) | (F.col(measured) > F.col("_hi"))
 
-    tests = {"raw": beyond("_measured"), "num": beyond("parameter_value_num")}
-    if len(values) == 1:
-        return tests[values.pop()]
-    return F.when(F.col("_value") == "raw", tests["raw"]).otherwise(tests["num"])
+    violated = _choose({"raw": outside("_measured"), "num": outside("parameter_value_num")},
+                       {c.value for c in checks}, "_value")
+    if not any_location:
+        here = _choose({kind: _located(kind, F.col("_work_location_id")) for kind in ("id", "name")},
+                       {c.location for c in checks}, "_location")
+        violated &= F.col("_work_location_id").isNull() | here
+    if not any_status:
+        violated &= F.col("_status").isNull() | (F.col("overall_process_status") == F.col("_status"))
+    return violated
 
 
-def _located(locations: set[str]) -> Column:
-    by_id = F.col("work_location_id") == F.col("_work_location_id")
-    by_name = F.col("work_location_name") == F.lpad(F.col("_work_location_id").cast("string"), 2, "0")
-    if len(locations) == 1:
-        here = by_id if locations.pop() == "id" else by_name
-    else:
-        here = F.when(F.col("_location") == "id", by_id).otherwise(by_name)
-    return F.col("_work_location_id").isNull() | here
+def _measured(records: DataFrame, checks: Sequence[LimitCheck]) -> DataFrame:
+    if any(c.value == "raw" for c in checks):
+        return records.withColumn("_measured", F.col("parameter_value_raw").try_cast("double"))
+    return records
 
 
-def _applies(checks: Sequence[LimitCheck], exact: bool) -> Column:
-    name = F.col("parameter_name") == F.col("_pattern")
-    if not exact:
-        name = (((F.col("_match_mode") == "eq") & name)
-                | ((F.col("_match_mode") == "ilike") & F.expr("parameter_name ILIKE _pattern")))
-    applies = name & _outside({c.value for c in checks})
-    if not exact or any(x.work_location_id is not None for c in checks for x in c.limits):
-        applies &= _located({c.location for c in checks})
-    if any(c.status is not None for c in checks):
-        applies &= F.col("_status").isNull() | (F.col("overall_process_status") == F.col("_status"))
-    return applies
+AT_STATION = "station_name = _station_name"
+EXACT = f"{AT_STATION} AND parameter_name = _pattern"
+EXACT_OR_PATTERN = f"""{AT_STATION} AND ((_match_mode = 'eq' AND parameter_name = _pattern)
+                       OR (_match_mode = 'ilike' AND parameter_name ILIKE _pattern))"""
 
 
 def check_violations(records: DataFrame, checks: Sequence[LimitCheck]) -> DataFrame:
     """Records outside a limit that applies to them, for several checks in one scan.
 
-    The text value counts where it is a number and is never a violation elsewhere.
+    The text value counts where it is a number and is never a violation elsewhere. Exact limits
+    are a broadcast hash join on station and parameter, their number being known; the few
+    pattern limits a predicate beside it.
     """
-    size = sum(len(c.limits) for c in checks)
-    exact = all(x.match_mode == "eq" for c in checks for x in c.limits)
-    possible = F.lit(False)
-    for check in checks:
-        possible = possible | might_violate(check)
+    limits = [x for c in checks for x in c.limits]
+    violated = _violated(checks, all(x.work_location_id is None for x in limits),
+                         all(c.status is None for c in checks))
     bounds = limits_frame(records.sparkSession, checks)
-    if size <= MAX_LOCAL_LIMITS:
-        return _semi_join(records.filter(possible), F.broadcast(bounds), checks, exact)
-    return _semi_join(records, bounds, checks, exact, spread=True)
-
-
-def _semi_join(records: DataFrame, bounds: DataFrame, checks: Sequence[LimitCheck], exact: bool,
-               spread: bool = False) -> DataFrame:
-    if any(c.value == "raw" for c in checks):
-        records = records.withColumn("_measured", F.col("parameter_value_raw").try_cast("double"))
-    applies = _applies(checks, exact)
-    if spread:
-        found = spread_lookup(records, bounds, {"station_name": "_station_name"},
-                              ["product_serial", "parameter_name", "recorded_at"], applies, "left_semi")
+    patterns = sum(x.match_mode != "eq" for x in limits)
+    if len(limits) > MAX_LOCAL_LIMITS:
+        return _spread(_measured(records, checks), bounds, violated)
+
+    kept = _measured(records.filter(_any(might_violate(c) for c in checks)), checks)
+    if not patterns:
+        found = kept.join(F.broadcast(bounds), F.expr(EXACT) & violated, "left_semi")
+    elif patterns <= MAX_PATTERNS and not records.isStreaming:
+        exact = bounds.filter("_match_mode = 'eq'")
+        matched = exact.filter((F.expr(EXACT) & violated).outer()).exists()
+        found = kept.filter(_any(_pattern_violated(c) for c in checks) | matched)
     else:
-        found = records.join(bounds, (F.col("station_name") == F.col("_station_name")) & applies, "left_semi")
+        found = kept.join(F.broadcast(bounds), F.expr(EXACT_OR_PATTERN) & violated, "left_semi")
     return found.drop("_measured")
 
 
+def _spread(records: DataFrame, bounds: DataFrame, violated: Column) -> DataFrame:
+    names = F.expr(EXACT_OR_PATTERN)
+    return spread_lookup(records, bounds, {"station_name": "_station_name"},
+                         ["product_serial", "parameter_name", "recorded_at"], names & violated,
+                         "left_semi").drop("_measured")
+
+
 def limit_violations(records: DataFrame, limits: Sequence[Limit] | DataFrame, value: str = "raw",
                      status: str | None = None, location: str = "id") -> DataFrame:
     """Records outside a limit that applies to them.
@@ -161,10 +194,11 @@ def limit_violations(records: DataFrame, limits: Sequence[Limit] | DataFrame, va
     """
     if not isinstance(limits, DataFrame):
         return check_violations(records, [LimitCheck(tuple(limits), value, status, location)])
-    bounds = limits.select(*[F.col(c).alias(f"_{c}") for c in schemas.LIMITS.names[:-1]],
-                           F.lit(value).alias("_value"), F.lit(status).cast("string").alias("_status"),
-                           F.lit(location).alias("_location"))
-    return _semi_join(records, bounds, [LimitCheck((), value, status, location)], False, spread=True)
+    bounds = limits.select(*[F.col(c).alias(f"_{c}") for c in schemas.LIMITS.names[:-1]])
+    checks = [LimitCheck((), value, None, location)]
+    if status is not None:
+        records = records.filter(F.col("overall_process_status") == status)
+    return _spread(_measured(records, checks), bounds, _violated(checks, False, True))
 
 
 def status_fails(records: DataFrame, station: str, parameter: str, parameter_id: int,

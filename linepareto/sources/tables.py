@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -78,31 +78,54 @@ def work_element_names(spark, source, fmt="parquet", renamed=None) -> DataFrame:
     return _read(spark, source, "work_element_names", schemas.WORK_ELEMENT_NAMES, fmt, renamed)
 
 
-@dataclass(frozen=True)
+READERS = {"jobs": jobs, "param_records": param_records, "alarms": alarms,
+           "genealogy": genealogy, "work_element_names": work_element_names}
+
+
 class LineTables:
-    """The source relations one report reads.
+    """The source relations a report reads, each a DataFrame or a function that yields one.
 
     `child_records` holds the records of the child parts; it is the measurement log itself
     unless the plant keeps them elsewhere.
     """
 
-    jobs: DataFrame
-    param_records: DataFrame
-    alarms: DataFrame
-    genealogy: DataFrame
-    work_element_names: DataFrame
-    child_records: DataFrame | None = None
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        unknown = set(sources) - {*READERS, "child_records"}
+        if unknown:
+            raise TypeError(f"unknown relations: {sorted(unknown)}")
+        self._sources = sources
+
+    def _get(self, name: str) -> DataFrame:
+        source = self._sources[name]
+        if not isinstance(source, DataFrame):
+            source = self._sources[name] = source()
+        return source
+
+    @property
+    def jobs(self) -> DataFrame:
+        return self._get("jobs")
+
+    @property
+    def param_records(self) -> DataFrame:
+        return self._get("param_records")
+
+    @property
+    def alarms(self) -> DataFrame:
+        return self._get("alarms")
+
+    @property
+    def genealogy(self) -> DataFrame:
+        return self._get("genealogy")
 
-    def __post_init__(self):
-        if self.child_records is None:
-            object.__setattr__(self, "child_records", self.param_records)
+    @property
+    def work_element_names(self) -> DataFrame:
+        return self._get("work_element_names")
 
-    def with_(self, **tables: DataFrame) -> "LineTables":
-        return replace(self, **tables)
+    @property
+    def child_records(self) -> DataFrame:
+        return self._get("child_records" if "child_records" in self._sources else "param_records")
 
 
 def line_tables(spark: SparkSession, sources: Mapping[str, str], fmt: str = "parquet") -> LineTables:
-    """Read all five tables; `sources` maps each neutral name to a path or table name."""
-    readers = {"jobs": jobs, "param_records": param_records, "alarms": alarms,
-               "genealogy": genealogy, "work_element_names": work_element_names}
-    return LineTables(**{name: read(spark, sources[name], fmt) for name, read in readers.items()})
+    """All five tables; `sources` maps each neutral name to a path or table name."""
+    return LineTables(**{name: partial(read, spark, sources[name], fmt) for name, read in READERS.items()})
