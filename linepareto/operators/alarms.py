@@ -26,31 +26,43 @@ def _order(alarms: DataFrame) -> list[str]:
     return ["activated_at", *ties]
 
 
-def with_prev_cleared(alarms: DataFrame, bucket: str = "1 hour") -> DataFrame:
+# Time slices alarms are ordered in, finest first.
+SLICES = ("1 minute", "1 day")
+
+
+def _previous(rows: DataFrame, time: str, order: Sequence[str], value: str, result: str,
+              slices: Sequence[str]) -> DataFrame:
+    """Add `value` of the row before, per source.
+
+    Rows are ordered within slices of time, so a busy source is spread over many tasks. The
+    first row of a slice takes the last value of the source's slice before, which is found the
+    same way among the last rows of all slices, in the next coarser slices.
+    """
+    if not slices:
+        whole = Window.partitionBy("alarm_source").orderBy(*order)
+        return rows.withColumn(result, F.lag(value).over(whole))
+    at, last, carried = f"_slice{len(slices)}", f"_last{len(slices)}", f"_carried{len(slices)}"
+    sliced = rows.withColumn(at, F.window(time, slices[0])["start"])
+    inside = Window.partitionBy("alarm_source", at).orderBy(*order)
+    local = sliced.withColumns({"_first": F.row_number().over(inside) == 1,
+                                result: F.lag(value).over(inside)})
+    ends = sliced.groupBy("alarm_source", at).agg(F.max_by(value, F.struct(*order)).alias(last))
+    ends = _previous(ends, at, [at], last, carried, slices[1:]).select("alarm_source", at, carried)
+    joined = local.join(ends, ["alarm_source", at], "left")
+    found = F.when(F.col("_first"), F.col(carried)).otherwise(F.col(result))
+    return joined.withColumn(result, found).drop(at, carried, "_first")
+
+
+def with_prev_cleared(alarms: DataFrame, slices: Sequence[str] = SLICES) -> DataFrame:
     """Add times of the alarm before, per source, in order of activation.
 
     Adds `prev_activated_at` (null: no alarm before) and `prev_cleared_at` (null as well if
-    that alarm never cleared). A source's alarms are ordered in time buckets that are sorted
-    independently, so one busy source is spread over many tasks; only the last alarm of each
-    bucket is carried to the source's next non-empty one.
+    that alarm never cleared).
     """
-    order = _order(alarms)
-    previous = ["activated_at", "cleared_at"]
-    sliced = alarms.withColumn("_bucket", F.window("activated_at", bucket)["start"])
-    inside = Window.partitionBy("alarm_source", "_bucket").orderBy(*order)
-    local = sliced.withColumns(
-        {"_first": F.row_number().over(inside) == 1}
-        | {f"_lag_{c}": F.lag(c).over(inside) for c in previous})
-
-    last = sliced.groupBy("alarm_source", "_bucket").agg(
-        F.max_by(F.struct(*previous), F.struct(*order)).alias("_last"))
-    buckets = Window.partitionBy("alarm_source").orderBy("_bucket")
-    carried = last.withColumn("_carried", F.lag("_last").over(buckets)).drop("_last")
-
-    joined = local.join(carried, ["alarm_source", "_bucket"], "left")
-    return joined.select(*alarms.columns, *[
-        F.when(F.col("_first"), F.col("_carried")[c]).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
-        for c in previous])
+    times = alarms.withColumn("_times", F.struct("activated_at", "cleared_at"))
+    found = _previous(times, "activated_at", _order(alarms), "_times", "_prev", slices)
+    return found.select(*alarms.columns, F.col("_prev.activated_at").alias("prev_activated_at"),
+                        F.col("_prev.cleared_at").alias("prev_cleared_at"))
 
 
 def gap_passed(gap: str) -> Column:
@@ -59,13 +71,13 @@ def gap_passed(gap: str) -> Column:
     return later | F.col("prev_cleared_at").isNull()
 
 
-def debounce(alarms: DataFrame, gap: str = "30 seconds", bucket: str = "1 hour") -> DataFrame:
+def debounce(alarms: DataFrame, gap: str = "30 seconds", slices: Sequence[str] = SLICES) -> DataFrame:
     """Alarms that do not follow the one before of their source too closely.
 
     Filter by source, time and priority before, by description after: an alarm of another
     description resets the gap.
     """
-    return with_prev_cleared(alarms, bucket).filter(gap_passed(gap))
+    return with_prev_cleared(alarms, slices).filter(gap_passed(gap))
 
 
 def count_alarms(alarms: DataFrame, station: str, label: str, label_column: str = "alarm_description",

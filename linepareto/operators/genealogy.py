@@ -1,22 +1,27 @@
 """Failures traced through parent/child genealogy to where a child part came from.
 
 All reports share one chain: failing parents, kept if a stack part was built into them, joined
-with their children and those with the children's records. Each input is reduced to one row
-per key before it is joined, carrying its multiplicity where rows are counted; hot parents and
-hot children (a batch shared by many units) are spread over several tasks.
+with their children and those with the children's records. Failing parents of a short lookback
+are few against the history of the genealogy, so their number is taken first: few of them
+filter the big scans in place, without a shuffle; many go through shuffled joins. Each input
+is reduced to one row per key before it is joined, carrying its multiplicity where rows are
+counted; hot parents and hot children (a batch shared by many units) are spread over several
+tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
 from linepareto.functions.text import icontains, short_pair_name
 from linepareto.functions.times import after
 from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join, spread_lookup
-from linepareto.operators.units import tall
+from linepareto.operators.settle import MAX_BROADCAST_KEYS, few, narrow, settle
+from linepareto.operators.units import scope, tall
 
 
 def child_origins(records: DataFrame, station_prefix: str, parameter: str) -> DataFrame:
@@ -34,71 +39,95 @@ def wire_spools(records: DataFrame, station_prefix: str, parameter: str, value:
             .select(F.col("product_serial").alias("child")))
 
 
-def edges(genealogy: DataFrame) -> DataFrame:
-    """`(parent, child)` pairs."""
-    return genealogy.select(F.col("product_serial").alias("parent"),
-                            F.col("scanned_child_serial").alias("child"))
+class Links(NamedTuple):
+    """Genealogy around failing parents."""
 
+    edges: DataFrame  # (parent, child), once per scan
+    stacks: DataFrame  # (parent) a stack part was built into, once per scan
+    size: int | None  # number of genealogy rows; None: not reduced to the failing parents
 
-def stack_parents(genealogy: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Parents one of these parts was built into, once per scan."""
-    return (genealogy.filter(F.col("scanned_child_part").isin(*parts))
-            .select(F.col("product_serial").alias("parent")))
 
+def links(genealogy: DataFrame, failing: DataFrame, parts: Sequence[str], shop: str | None = None,
+          stack_shop: str | None = None, max_keys: int = MAX_BROADCAST_KEYS) -> Links:
+    """Edges and stack scans, read in one pass.
+
+    If few parents failed, theirs only, settled: the joins after this read them several times.
+    """
+    rows = genealogy.select(F.col("product_serial").alias("parent"),
+                            F.col("scanned_child_serial").alias("child"), "shop_name",
+                            F.col("scanned_child_part").isin(*parts).alias("_stack"))
+    size = None
+    if few(failing, max_keys):
+        rows = settle(narrow(rows, "parent", failing), "genealogy")
+        size = rows.count()
+    return Links(scope(rows, shop_name=shop).select("parent", "child"),
+                 scope(rows, shop_name=stack_shop).filter("_stack").select("parent"), size)
 
-def _chain(failing: DataFrame, links: DataFrame, origins: DataFrame, genealogy_edges: DataFrame,
-           min_hot_rows: int) -> DataFrame:
-    hot_parents = hot_keys(genealogy_edges, "parent", min_hot_rows)
-    hot_children = hot_keys(genealogy_edges, "child", min_hot_rows)
-    built = spread_join(links, failing, "parent", ["child"], hot_parents)
-    return spread_join(built, origins, "child", ["parent"], hot_children)
 
+def _near(records: DataFrame, built: Links, max_keys: int) -> DataFrame:
+    """Records of the children in `built`, if those are known to be few."""
+    if built.size is None or built.size > max_keys:
+        return records
+    return narrow(records, "child", built.edges)
 
-def origin_units(failing: DataFrame, genealogy: DataFrame, stack_genealogy: DataFrame,
-                 origins: DataFrame, parts: Sequence[str], lookbacks: Mapping[str, datetime],
-                 extra: Sequence[str] = (), min_hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def _chain(failing: DataFrame, edges: DataFrame, seeds: DataFrame, built: Links,
+           min_hot_rows: int) -> DataFrame:
+    if built.size is not None and built.size < min_hot_rows:  # no key can be hot
+        return edges.join(failing, "parent").join(seeds, "child")
+    hot_parents = hot_keys(built.edges, "parent", min_hot_rows)
+    hot_children = hot_keys(built.edges, "child", min_hot_rows)
+    traced = spread_join(edges, failing, "parent", ["child"], hot_parents)
+    return spread_join(traced, seeds, "child", ["parent"], hot_children)
+
+
+def origin_units(failing: DataFrame, genealogy: DataFrame, origins: DataFrame, parts: Sequence[str],
+                 lookbacks: Mapping[str, datetime], extra: Sequence[str] = (), shop: str | None = None,
+                 stack_shop: str | None = None, min_hot_rows: int = HOT_ROWS,
+                 max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Distinct failing parents per (lookback, station, origin and `extra` columns).
 
     `failing` has product_serial, station_name, recorded_at and the `extra` columns. Spools do
     not appear: an outer join cannot change a distinct count.
     """
-    by = ["station_name", *extra]
-    newest = (failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
-              .groupBy(F.col("product_serial").alias("parent"), *by)
-              .agg(F.max("recorded_at").alias("_newest")))
-    stacked = stack_parents(stack_genealogy, parts).distinct()
-    newest = newest.join(stacked, "parent", "left_semi")
-    all_edges = edges(genealogy)
-    traced = _chain(newest, all_edges.distinct(), origins.distinct(), all_edges, min_hot_rows)
     groups = ["station_name", "origin", *extra]
-    per_parent = traced.groupBy(*groups, "parent").agg(F.max("_newest").alias("_newest"))
+    newest = settle(
+        failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
+        .groupBy(F.col("product_serial").alias("parent"), "station_name", *extra)
+        .agg(F.max("recorded_at").alias("newest")), "failing")
+    built = links(genealogy, newest, parts, shop, stack_shop, max_keys)
+    stacked = newest.join(built.stacks.distinct(), "parent", "left_semi")
+    seeds = _near(origins, built, max_keys).distinct()
+    traced = _chain(stacked, built.edges.distinct(), seeds, built, min_hot_rows)
+    per_parent = traced.groupBy(*groups, "parent").agg(F.max("newest").alias("newest"))
     wide = per_parent.groupBy(*groups).agg(
-        *[F.count_if(after(F.col("_newest"), start)).alias(name) for name, start in lookbacks.items()])
+        *[F.count_if(after(F.col("newest"), start)).alias(name) for name, start in lookbacks.items()])
     return tall(wide, list(lookbacks), groups)
 
 
-def origin_rows(failing: DataFrame, genealogy: DataFrame, stack_genealogy: DataFrame,
-                origins: DataFrame, spools: DataFrame, parts: Sequence[str],
-                lookbacks: Mapping[str, datetime], min_hot_rows: int = HOT_ROWS) -> DataFrame:
+def origin_rows(failing: DataFrame, genealogy: DataFrame, origins: DataFrame, spools: DataFrame,
+                parts: Sequence[str], lookbacks: Mapping[str, datetime], shop: str | None = None,
+                stack_shop: str | None = None, min_hot_rows: int = HOT_ROWS,
+                max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Joined rows per (lookback, station, origin): every combination of edge, failing record,
     stack scan, child record and spool record counts.
 
     The combinations are not built: each input is counted per key and the counts multiplied.
     """
     flags = {name: after(F.col("recorded_at"), start) for name, start in lookbacks.items()}
-    fails = (failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
-             .groupBy(F.col("product_serial").alias("parent"), "station_name")
-             .agg(*[F.count_if(flag).alias(name) for name, flag in flags.items()]))
-    stacks = stack_parents(stack_genealogy, parts).groupBy("parent").agg(F.count("*").alias("_stacks"))
-    fails = fails.join(stacks, "parent")
-    all_edges = edges(genealogy)
-    links = all_edges.groupBy("parent", "child").agg(F.count("*").alias("_links"))
-    per_spool = spools.groupBy("child").agg(F.count("*").alias("_spools"))
-    seeds = (origins.groupBy("child", "origin").agg(F.count("*").alias("_records"))
+    fails = settle(
+        failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
+        .groupBy(F.col("product_serial").alias("parent"), "station_name")
+        .agg(*[F.count_if(flag).alias(name) for name, flag in flags.items()]), "failing")
+    built = links(genealogy, fails, parts, shop, stack_shop, max_keys)
+    stacks = built.stacks.groupBy("parent").agg(F.count("*").alias("_stacks"))
+    edges = built.edges.groupBy("parent", "child").agg(F.count("*").alias("_links"))
+    per_spool = _near(spools, built, max_keys).groupBy("child").agg(F.count("*").alias("_spools"))
+    seeds = (_near(origins, built, max_keys).groupBy("child", "origin").agg(F.count("*").alias("_records"))
              .join(per_spool, "child", "left")
              .select("child", "origin",
                      (F.col("_records") * F.coalesce("_spools", F.lit(1))).alias("_weight")))
-    traced = _chain(fails, links, seeds, all_edges, min_hot_rows)
+    traced = _chain(fails.join(stacks, "parent"), edges, seeds, built, min_hot_rows)
     fan_out = F.col("_links") * F.col("_stacks") * F.col("_weight")
     wide = traced.groupBy("station_name", "origin").agg(
         *[F.sum(F.col(name) * fan_out).alias(name) for name in lookbacks])

@@ -101,8 +101,8 @@ def _origins(tables: LineTables, cfg: LineConfig) -> DataFrame:
     return gen.child_origins(children, cfg.child_prefix, cfg.child_parameter)
 
 
-def _genealogy(tables: LineTables, cfg: LineConfig, shop: bool = True) -> DataFrame:
-    return scope(tables.genealogy, shop_name=cfg.shop if shop else None, line_name=cfg.line)
+def _genealogy(tables: LineTables, cfg: LineConfig) -> DataFrame:
+    return scope(tables.genealogy, line_name=cfg.line)
 
 
 def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -114,8 +114,8 @@ def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
         & (F.col("overall_process_status") == cfg.fail_status))
     children = scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
     spools = gen.wire_spools(children, cfg.child_prefix, cfg.spool_parameter, cfg.spool_value)
-    return gen.origin_rows(failed, _genealogy(tables, cfg), _genealogy(tables, cfg, shop=False),
-                           _origins(tables, cfg), spools, cfg.stack_parts, lookbacks)
+    return gen.origin_rows(failed, _genealogy(tables, cfg), _origins(tables, cfg), spools,
+                           cfg.stack_parts, lookbacks, cfg.shop)
 
 
 def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -123,8 +123,8 @@ def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookb
     failed = _on_line(tables, cfg, lookbacks).filter(
         icontains(F.col("station_name"), cfg.traced_status_station)
         & (F.col("result_status") == cfg.fail_result))
-    return gen.origin_units(failed, _genealogy(tables, cfg), _genealogy(tables, cfg, shop=False),
-                            _origins(tables, cfg), cfg.stack_parts, lookbacks)
+    return gen.origin_units(failed, _genealogy(tables, cfg), _origins(tables, cfg), cfg.stack_parts,
+                            lookbacks, shop=cfg.shop)
 
 
 def _traced(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, variant: str | None) -> DataFrame:
@@ -136,16 +136,15 @@ def limit_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
                           variant: str | None = None) -> DataFrame:
     """Units outside a limit, by origin of their child parts."""
     return gen.origin_units(_traced(tables, cfg, lookbacks, variant), _genealogy(tables, cfg),
-                            _genealogy(tables, cfg, shop=False), _origins(tables, cfg),
-                            cfg.stack_parts, lookbacks)
+                            _origins(tables, cfg), cfg.stack_parts, lookbacks, shop=cfg.shop)
 
 
 def limit_fails_by_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units outside a limit, by origin and by the pin pair that was measured."""
     failed = scope(_traced(tables, cfg, lookbacks, None), shop_name=cfg.shop)
     typed = gen.with_pin_type(failed, tables.work_element_names)
-    return gen.origin_units(typed, _genealogy(tables, cfg), _genealogy(tables, cfg), _origins(tables, cfg),
-                            cfg.stack_parts, lookbacks, extra=("pin_type",))
+    return gen.origin_units(typed, _genealogy(tables, cfg), _origins(tables, cfg), cfg.stack_parts,
+                            lookbacks, extra=("pin_type",), shop=cfg.shop, stack_shop=cfg.shop)
 
 
 def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -154,10 +153,16 @@ def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> D
     return pareto.combined([family(tables, cfg, lookbacks) for family in families])
 
 
-def by_station(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, unique: bool = True) -> DataFrame:
-    """The station Pareto, unless `unique` is off with distinct units where they are counted."""
+def by_station(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, unique: bool = True,
+               counted: DataFrame | None = None) -> DataFrame:
+    """The station Pareto, unless `unique` is off with distinct units where they are counted.
+
+    `counted` is the list of `by_parameter` where it is at hand.
+    """
     override = unique_fails(tables, cfg, lookbacks) if unique else None
-    return pareto.station_pareto(by_parameter(tables, cfg, lookbacks), override)
+    if counted is None:
+        counted = by_parameter(tables, cfg, lookbacks)
+    return pareto.station_pareto(counted, override)
 
 
 def by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:

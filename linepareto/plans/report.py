@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linepareto.functions.times import to_local
 from linepareto.operators.pareto import stack
+from linepareto.operators.settle import settle
 from linepareto.plans import families
 from linepareto.plans.config import SECTION_TITLES, LineConfig, Report
 from linepareto.sources.tables import LineTables
@@ -56,7 +57,8 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFra
     """
     due = cfg.due(as_of)
     starts = cfg.starts(as_of)
-    sections = [families.by_parameter(tables, cfg, starts), families.by_station(tables, cfg, starts),
+    counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter")
+    sections = [counted, families.by_station(tables, cfg, starts, counted=counted),
                 families.by_origin(tables, cfg, starts)]
     with_pins = {r.name: starts[r.name] for r in due if r.pin_types}
     if with_pins:
