@@ -39,33 +39,50 @@ def wire_spools(records: DataFrame, station_prefix: str, parameter: str, value:
             .select(F.col("product_serial").alias("child")))
 
 
+def failing_units(failing: DataFrame, lookbacks: Mapping[str, datetime],
+                  extra: Sequence[str] = ()) -> DataFrame:
+    """Newest failure per parent, station and `extra` column: `(parent, station_name, …, newest)`."""
+    recent = failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
+    return (recent.groupBy(F.col("product_serial").alias("parent"), "station_name", *extra)
+            .agg(F.max("recorded_at").alias("newest")))
+
+
+def failing_rows(failing: DataFrame, lookbacks: Mapping[str, datetime]) -> DataFrame:
+    """Failing records per parent and station, one column per lookback."""
+    recent = failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
+    return (recent.groupBy(F.col("product_serial").alias("parent"), "station_name")
+            .agg(*[F.count_if(after(F.col("recorded_at"), start)).alias(name)
+                   for name, start in lookbacks.items()]))
+
+
 class Links(NamedTuple):
     """Genealogy around failing parents."""
 
     edges: DataFrame  # (parent, child), once per scan
-    stacks: DataFrame  # (parent) a stack part was built into, once per scan
+    stacks: DataFrame  # (parent, shop_name) a stack part was built into, once per scan
     size: int | None  # number of genealogy rows; None: not reduced to the failing parents
 
 
-def links(genealogy: DataFrame, failing: DataFrame, parts: Sequence[str], shop: str | None = None,
-          stack_shop: str | None = None, max_keys: int = MAX_BROADCAST_KEYS) -> Links:
-    """Edges and stack scans, read in one pass.
+def links(genealogy: DataFrame, parents: DataFrame, parts: Sequence[str], shop: str | None = None,
+          max_keys: int = MAX_BROADCAST_KEYS) -> Links:
+    """Edges (of one shop, if given) and stack scans, read in one pass.
 
-    If few parents failed, theirs only, settled: the joins after this read them several times.
+    `parents` is a settled table of failing parents. If it has few rows only their genealogy is
+    kept, and settled: the joins after this read it several times.
     """
     rows = genealogy.select(F.col("product_serial").alias("parent"),
                             F.col("scanned_child_serial").alias("child"), "shop_name",
                             F.col("scanned_child_part").isin(*parts).alias("_stack"))
     size = None
-    if few(failing, max_keys):
-        rows = settle(narrow(rows, "parent", failing), "genealogy")
+    if few(parents, max_keys):
+        rows = settle(narrow(rows, "parent", parents), "genealogy")
         size = rows.count()
     return Links(scope(rows, shop_name=shop).select("parent", "child"),
-                 scope(rows, shop_name=stack_shop).filter("_stack").select("parent"), size)
+                 rows.filter("_stack").select("parent", "shop_name"), size)
 
 
-def _near(records: DataFrame, built: Links, max_keys: int) -> DataFrame:
-    """Records of the children in `built`, if those are known to be few."""
+def near(records: DataFrame, built: Links, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Records of the children in `built`, if those are known to be few; else all of them."""
     if built.size is None or built.size > max_keys:
         return records
     return narrow(records, "child", built.edges)
@@ -81,53 +98,42 @@ def _chain(failing: DataFrame, edges: DataFrame, seeds: DataFrame, built: Links,
     return spread_join(traced, seeds, "child", ["parent"], hot_children)
 
 
-def origin_units(failing: DataFrame, genealogy: DataFrame, origins: DataFrame, parts: Sequence[str],
-                 lookbacks: Mapping[str, datetime], extra: Sequence[str] = (), shop: str | None = None,
-                 stack_shop: str | None = None, min_hot_rows: int = HOT_ROWS,
-                 max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def origin_units(failing: DataFrame, built: Links, origins: DataFrame, lookbacks: Mapping[str, datetime],
+                 extra: Sequence[str] = (), stack_shop: str | None = None,
+                 min_hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct failing parents per (lookback, station, origin and `extra` columns).
 
-    `failing` has product_serial, station_name, recorded_at and the `extra` columns. Spools do
-    not appear: an outer join cannot change a distinct count.
+    `failing` is from `failing_units`. Spools do not appear: an outer join cannot change a
+    distinct count.
     """
     groups = ["station_name", "origin", *extra]
-    newest = settle(
-        failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
-        .groupBy(F.col("product_serial").alias("parent"), "station_name", *extra)
-        .agg(F.max("recorded_at").alias("newest")), "failing")
-    built = links(genealogy, newest, parts, shop, stack_shop, max_keys)
-    stacked = newest.join(built.stacks.distinct(), "parent", "left_semi")
-    seeds = _near(origins, built, max_keys).distinct()
-    traced = _chain(stacked, built.edges.distinct(), seeds, built, min_hot_rows)
+    stacks = scope(built.stacks, shop_name=stack_shop).select("parent").distinct()
+    stacked = failing.join(stacks, "parent", "left_semi")
+    traced = _chain(stacked, built.edges.distinct(), origins.distinct(), built, min_hot_rows)
     per_parent = traced.groupBy(*groups, "parent").agg(F.max("newest").alias("newest"))
     wide = per_parent.groupBy(*groups).agg(
         *[F.count_if(after(F.col("newest"), start)).alias(name) for name, start in lookbacks.items()])
     return tall(wide, list(lookbacks), groups)
 
 
-def origin_rows(failing: DataFrame, genealogy: DataFrame, origins: DataFrame, spools: DataFrame,
-                parts: Sequence[str], lookbacks: Mapping[str, datetime], shop: str | None = None,
-                stack_shop: str | None = None, min_hot_rows: int = HOT_ROWS,
-                max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def origin_rows(failing: DataFrame, built: Links, origins: DataFrame, spools: DataFrame,
+                lookbacks: Sequence[str], stack_shop: str | None = None,
+                min_hot_rows: int = HOT_ROWS) -> DataFrame:
     """Joined rows per (lookback, station, origin): every combination of edge, failing record,
     stack scan, child record and spool record counts.
 
-    The combinations are not built: each input is counted per key and the counts multiplied.
+    `failing` is from `failing_rows`. The combinations are not built: each input is counted per
+    key and the counts multiplied.
     """
-    flags = {name: after(F.col("recorded_at"), start) for name, start in lookbacks.items()}
-    fails = settle(
-        failing.filter(after(F.col("recorded_at"), min(lookbacks.values())))
-        .groupBy(F.col("product_serial").alias("parent"), "station_name")
-        .agg(*[F.count_if(flag).alias(name) for name, flag in flags.items()]), "failing")
-    built = links(genealogy, fails, parts, shop, stack_shop, max_keys)
-    stacks = built.stacks.groupBy("parent").agg(F.count("*").alias("_stacks"))
+    stacks = (scope(built.stacks, shop_name=stack_shop).groupBy("parent")
+              .agg(F.count("*").alias("_stacks")))
     edges = built.edges.groupBy("parent", "child").agg(F.count("*").alias("_links"))
-    per_spool = _near(spools, built, max_keys).groupBy("child").agg(F.count("*").alias("_spools"))
-    seeds = (_near(origins, built, max_keys).groupBy("child", "origin").agg(F.count("*").alias("_records"))
+    per_spool = spools.groupBy("child").agg(F.count("*").alias("_spools"))
+    seeds = (origins.groupBy("child", "origin").agg(F.count("*").alias("_records"))
              .join(per_spool, "child", "left")
              .select("child", "origin",
                      (F.col("_records") * F.coalesce("_spools", F.lit(1))).alias("_weight")))
-    traced = _chain(fails.join(stacks, "parent"), edges, seeds, built, min_hot_rows)
+    traced = _chain(failing.join(stacks, "parent"), edges, seeds, built, min_hot_rows)
     fan_out = F.col("_links") * F.col("_stacks") * F.col("_weight")
     wide = traced.groupBy("station_name", "origin").agg(
         *[F.sum(F.col(name) * fan_out).alias(name) for name in lookbacks])

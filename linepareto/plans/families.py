@@ -15,6 +15,7 @@ from linepareto.functions.text import icontains
 from linepareto.functions.times import after
 from linepareto.operators import alarms as al, genealogy as gen, pareto
 from linepareto.operators.limits import check_violations, for_variant, status_fails
+from linepareto.operators.settle import settle
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
 from linepareto.sources.tables import LineTables
@@ -96,55 +97,122 @@ def weld_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> Dat
     return nonzero(found.agg(*counts.values()).select(F.inline(F.array(*rows))))
 
 
-def _origins(tables: LineTables, cfg: LineConfig) -> DataFrame:
-    children = scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
-    return gen.child_origins(children, cfg.child_prefix, cfg.child_parameter)
+def _children(tables: LineTables, cfg: LineConfig) -> DataFrame:
+    return scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
 
 
-def _genealogy(tables: LineTables, cfg: LineConfig) -> DataFrame:
-    return scope(tables.genealogy, line_name=cfg.line)
+def _origins(tables: LineTables, cfg: LineConfig, built: gen.Links) -> DataFrame:
+    origins = gen.child_origins(_children(tables, cfg), cfg.child_prefix, cfg.child_parameter)
+    return gen.near(origins, built)
 
 
-def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    """Force-check failures by origin of the child parts, counted in joined rows."""
-    failed = _on_line(tables, cfg, lookbacks).filter(
+def _spools(tables: LineTables, cfg: LineConfig, built: gen.Links) -> DataFrame:
+    spools = gen.wire_spools(_children(tables, cfg), cfg.child_prefix, cfg.spool_parameter, cfg.spool_value)
+    return gen.near(spools, built)
+
+
+def _links(tables: LineTables, cfg: LineConfig, parents: DataFrame) -> gen.Links:
+    return gen.links(scope(tables.genealogy, line_name=cfg.line), parents, cfg.stack_parts, cfg.shop)
+
+
+def _failed_force(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+    return _on_line(tables, cfg, lookbacks).filter(
         icontains(F.col("station_name"), cfg.force.station)
         & (F.col("parameter_name") == cfg.force.parameter)
         & (F.col("parameter_id") == cfg.force.parameter_id)
         & (F.col("overall_process_status") == cfg.fail_status))
-    children = scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
-    spools = gen.wire_spools(children, cfg.child_prefix, cfg.spool_parameter, cfg.spool_value)
-    return gen.origin_rows(failed, _genealogy(tables, cfg), _origins(tables, cfg), spools,
-                           cfg.stack_parts, lookbacks, cfg.shop)
 
 
-def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    """Units failed by result at one station, by origin of their child parts."""
-    failed = _on_line(tables, cfg, lookbacks).filter(
+def _failed_result(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+    return _on_line(tables, cfg, lookbacks).filter(
         icontains(F.col("station_name"), cfg.traced_status_station)
         & (F.col("result_status") == cfg.fail_result))
-    return gen.origin_units(failed, _genealogy(tables, cfg), _origins(tables, cfg), cfg.stack_parts,
-                            lookbacks, shop=cfg.shop)
 
 
-def _traced(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, variant: str | None) -> DataFrame:
+def _failed_limits(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, variant: str | None) -> DataFrame:
     check = cfg.traced_check._replace(limits=for_variant(cfg.traced_check.limits, variant))
     return check_violations(_on_line(tables, cfg, lookbacks), [check])
 
 
+def _failed_pins(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+    failed = scope(_failed_limits(tables, cfg, lookbacks, None), shop_name=cfg.shop)
+    return gen.with_pin_type(failed, tables.work_element_names)
+
+
+def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+    """Force-check failures by origin of the child parts, counted in joined rows."""
+    failing = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
+    built = _links(tables, cfg, failing)
+    return gen.origin_rows(failing, built, _origins(tables, cfg, built), _spools(tables, cfg, built),
+                           list(lookbacks))
+
+
+def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks,
+                     **options) -> DataFrame:
+    failing = settle(gen.failing_units(failed, lookbacks, options.get("extra", ())), "failing")
+    built = _links(tables, cfg, failing)
+    return gen.origin_units(failing, built, _origins(tables, cfg, built), lookbacks, **options)
+
+
+def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+    """Units failed by result at one station, by origin of their child parts."""
+    return _units_by_origin(tables, cfg, _failed_result(tables, cfg, lookbacks), lookbacks)
+
+
 def limit_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks,
                           variant: str | None = None) -> DataFrame:
     """Units outside a limit, by origin of their child parts."""
-    return gen.origin_units(_traced(tables, cfg, lookbacks, variant), _genealogy(tables, cfg),
-                            _origins(tables, cfg), cfg.stack_parts, lookbacks, shop=cfg.shop)
+    return _units_by_origin(tables, cfg, _failed_limits(tables, cfg, lookbacks, variant), lookbacks)
 
 
 def limit_fails_by_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units outside a limit, by origin and by the pin pair that was measured."""
-    failed = scope(_traced(tables, cfg, lookbacks, None), shop_name=cfg.shop)
-    typed = gen.with_pin_type(failed, tables.work_element_names)
-    return gen.origin_units(typed, _genealogy(tables, cfg), _origins(tables, cfg), cfg.stack_parts,
-                            lookbacks, extra=("pin_type",), shop=cfg.shop, stack_shop=cfg.shop)
+    return _units_by_origin(tables, cfg, _failed_pins(tables, cfg, lookbacks), lookbacks,
+                            extra=("pin_type",), stack_shop=cfg.shop)
+
+
+def _variants(cfg: LineConfig, lookbacks: Lookbacks) -> dict[str | None, dict[str, datetime]]:
+    """Lookbacks by the limits variant their report uses."""
+    of_report = {r.name: r.variant for r in cfg.reports}
+    found: dict[str | None, dict[str, datetime]] = {}
+    for name, start in lookbacks.items():
+        found.setdefault(of_report.get(name), {})[name] = start
+    return found
+
+
+def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks,
+                           pin_lookbacks: Lookbacks) -> tuple[DataFrame, DataFrame]:
+    """The list by origin and the one by pin type, which share one pass over the genealogy.
+
+    All failing units are found first; a `list` column tells what they failed by.
+    """
+    keys = ("list", "pin_type")
+
+    def listed(failed: DataFrame, name: str, starts: Lookbacks) -> DataFrame:
+        if "pin_type" not in failed.columns:
+            failed = failed.withColumn("pin_type", F.lit(None).cast("string"))
+        return gen.failing_units(failed.withColumn("list", F.lit(name)), starts, keys)
+
+    variants = {f"limits {number}": (variant, starts)
+                for number, (variant, starts) in enumerate(_variants(cfg, lookbacks).items())}
+    units = [listed(_failed_result(tables, cfg, lookbacks), "result", lookbacks)]
+    units += [listed(_failed_limits(tables, cfg, starts, variant), name, starts)
+              for name, (variant, starts) in variants.items()]
+    if pin_lookbacks:
+        units.append(listed(_failed_pins(tables, cfg, pin_lookbacks), "pins", pin_lookbacks))
+    units = settle(pareto.stack(units), "failing")
+    force = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
+    built = _links(tables, cfg, units.select("parent").union(force.select("parent")))
+    origins = _origins(tables, cfg, built)
+
+    counted = gen.origin_units(units.filter("list <> 'pins'"), built, origins, lookbacks, keys)
+    wanted = (F.col("list") == "result")
+    for name, (_, starts) in variants.items():
+        wanted |= (F.col("list") == name) & F.col("lookback").isin(*starts)
+    by_force = gen.origin_rows(force, built, origins, _spools(tables, cfg, built), list(lookbacks))
+    pins = gen.origin_units(units.filter("list = 'pins'"), built, origins, pin_lookbacks or lookbacks,
+                            keys, stack_shop=cfg.shop)
+    return pareto.stack([by_force, counted.filter(wanted).drop(*keys)]), pins.drop("list")
 
 
 def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -167,10 +235,4 @@ def by_station(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, unique
 
 def by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """The three origin lists in one; each lookback with its report's limits."""
-    variants: dict[str | None, dict[str, datetime]] = {}
-    of_report = {r.name: r.variant for r in cfg.reports}
-    for name, start in lookbacks.items():
-        variants.setdefault(of_report.get(name), {})[name] = start
-    traced = [limit_fails_by_origin(tables, cfg, starts, variant) for variant, starts in variants.items()]
-    return pareto.stack([force_fails_by_origin(tables, cfg, lookbacks),
-                         result_fails_by_origin(tables, cfg, lookbacks), *traced])
+    return by_origin_and_pin_type(tables, cfg, lookbacks, {})[0]

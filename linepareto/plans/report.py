@@ -57,12 +57,10 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFra
     """
     due = cfg.due(as_of)
     starts = cfg.starts(as_of)
-    counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter")
-    sections = [counted, families.by_station(tables, cfg, starts, counted=counted),
-                families.by_origin(tables, cfg, starts)]
     with_pins = {r.name: starts[r.name] for r in due if r.pin_types}
-    if with_pins:
-        sections.append(families.limit_fails_by_pin_type(tables, cfg, with_pins))
+    counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter")
+    origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins)
+    sections = [counted, families.by_station(tables, cfg, starts, counted=counted), origins, pins]
     lines = []
     for number, rows in enumerate(sections, start=1):
         details = [c for c in DETAILS if c in rows.columns]
