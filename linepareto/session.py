@@ -31,10 +31,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
     Only a local master may go without that setting; it then gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="linepareto-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="linepareto-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/linepareto/{purpose}-{uuid4().hex}"
