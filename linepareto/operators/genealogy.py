@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from linepareto.functions.text import icontains, short_pair_name
 from linepareto.functions.times import after
-from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join, spread_lookup
+from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join
 from linepareto.operators.settle import MAX_BROADCAST_KEYS, few, narrow, settle
 from linepareto.operators.units import scope, tall
 
@@ -140,9 +140,15 @@ def origin_rows(failing: DataFrame, built: Links, origins: DataFrame, spools: Da
     return tall(wide, list(lookbacks), ["station_name", "origin"])
 
 
-def with_pin_type(failing: DataFrame, names: DataFrame) -> DataFrame:
-    """Add the short pin-pair name of each record's work element; records without one drop."""
-    named = names.select(F.col("work_element").alias("_element"),
-                         short_pair_name(F.col("pin_pair")).alias("pin_type"))
-    return spread_lookup(failing, named, {"work_element": "_element"},
-                         ["product_serial", "recorded_at"]).drop("_element")
+def with_pin_type(failing: DataFrame, names: DataFrame, min_hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Replace the work element of settled `failing_units` by its short pin-pair name.
+
+    Units whose element has no name drop.
+    """
+    named = names.select("work_element", short_pair_name(F.col("pin_pair")).alias("pin_type"))
+    if failing.count() < min_hot_rows:  # no work element can be hot
+        typed = failing.join(named, "work_element")
+    else:
+        hot = hot_keys(failing, "work_element", min_hot_rows)
+        typed = spread_join(failing, named, "work_element", ["parent", "station_name"], hot)
+    return typed.drop("work_element")

@@ -201,6 +201,24 @@ def limit_violations(records: DataFrame, limits: Sequence[Limit] | DataFrame, va
     return _spread(_measured(records, checks), bounds, _violated(checks, False, True))
 
 
+def as_limited_stations(records: DataFrame, limits: Sequence[Limit]) -> DataFrame:
+    """Records under each limited station whose name theirs contains, for looser station names.
+
+    Adds `own_station` with the record's own name.
+    """
+    stations = sorted({x.station_name for x in limits})
+    name = F.lower("station_name")
+    if len(stations) == 1:
+        kept = records.filter(F.contains(name, F.lit(stations[0].lower())))
+        limited = F.lit(stations[0])
+    else:
+        kept = records
+        limited = F.explode(F.filter(F.array(*[F.lit(s) for s in stations]),
+                                     lambda s: F.contains(name, F.lower(s))))
+    others = [c for c in records.columns if c != "station_name"]
+    return kept.select(*others, F.col("station_name").alias("own_station"), limited.alias("station_name"))
+
+
 def status_fails(records: DataFrame, station: str, parameter: str, parameter_id: int,
                  status: str) -> DataFrame:
     """Records of one parameter that failed by status, whatever their value."""

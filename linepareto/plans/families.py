@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from linepareto.functions.text import icontains
 from linepareto.functions.times import after
 from linepareto.operators import alarms as al, genealogy as gen, pareto
-from linepareto.operators.limits import check_violations, for_variant, status_fails
+from linepareto.operators.limits import (
+    as_limited_stations, check_violations, for_variant, status_fails)
 from linepareto.operators.settle import settle
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
@@ -135,8 +136,11 @@ def _failed_limits(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, va
 
 
 def _failed_pins(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    failed = scope(_failed_limits(tables, cfg, lookbacks, None), shop_name=cfg.shop)
-    return gen.with_pin_type(failed, tables.work_element_names)
+    """Records outside a limit at any station that has the limited one in its name."""
+    check = cfg.traced_check._replace(limits=for_variant(cfg.traced_check.limits))
+    records = scope(_on_line(tables, cfg, lookbacks), shop_name=cfg.shop)
+    failed = check_violations(as_limited_stations(records, check.limits), [check])
+    return failed.withColumn("station_name", F.col("own_station"))
 
 
 def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -147,11 +151,10 @@ def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
                            list(lookbacks))
 
 
-def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks,
-                     **options) -> DataFrame:
-    failing = settle(gen.failing_units(failed, lookbacks, options.get("extra", ())), "failing")
+def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks) -> DataFrame:
+    failing = settle(gen.failing_units(failed, lookbacks), "failing")
     built = _links(tables, cfg, failing)
-    return gen.origin_units(failing, built, _origins(tables, cfg, built), lookbacks, **options)
+    return gen.origin_units(failing, built, _origins(tables, cfg, built), lookbacks)
 
 
 def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -167,8 +170,11 @@ def limit_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
 
 def limit_fails_by_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units outside a limit, by origin and by the pin pair that was measured."""
-    return _units_by_origin(tables, cfg, _failed_pins(tables, cfg, lookbacks), lookbacks,
-                            extra=("pin_type",), stack_shop=cfg.shop)
+    failing = settle(gen.failing_units(_failed_pins(tables, cfg, lookbacks), lookbacks, ["work_element"]),
+                     "failing")
+    built = _links(tables, cfg, failing)
+    typed = gen.with_pin_type(failing, tables.work_element_names)
+    return gen.origin_units(typed, built, _origins(tables, cfg, built), lookbacks, ["pin_type"], cfg.shop)
 
 
 def _variants(cfg: LineConfig, lookbacks: Lookbacks) -> dict[str | None, dict[str, datetime]]:
@@ -181,17 +187,14 @@ def _variants(cfg: LineConfig, lookbacks: Lookbacks) -> dict[str | None, dict[st
 
 
 def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks,
-                           pin_lookbacks: Lookbacks) -> tuple[DataFrame, DataFrame]:
-    """The list by origin and the one by pin type, which share one pass over the genealogy.
+                           pin_lookbacks: Lookbacks) -> tuple[DataFrame, DataFrame | None]:
+    """The list by origin and, if asked for, the one by pin type; they share one pass over the genealogy.
 
     All failing units are found first; a `list` column tells what they failed by.
     """
-    keys = ("list", "pin_type")
-
-    def listed(failed: DataFrame, name: str, starts: Lookbacks) -> DataFrame:
-        if "pin_type" not in failed.columns:
-            failed = failed.withColumn("pin_type", F.lit(None).cast("string"))
-        return gen.failing_units(failed.withColumn("list", F.lit(name)), starts, keys)
+    def listed(failed: DataFrame, name: str, starts: Lookbacks, element=F.lit(None)) -> DataFrame:
+        marked = failed.withColumns({"list": F.lit(name), "work_element": element})
+        return gen.failing_units(marked, starts, ["list", "work_element"])
 
     variants = {f"limits {number}": (variant, starts)
                 for number, (variant, starts) in enumerate(_variants(cfg, lookbacks).items())}
@@ -199,20 +202,23 @@ def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookb
     units += [listed(_failed_limits(tables, cfg, starts, variant), name, starts)
               for name, (variant, starts) in variants.items()]
     if pin_lookbacks:
-        units.append(listed(_failed_pins(tables, cfg, pin_lookbacks), "pins", pin_lookbacks))
+        units.append(listed(_failed_pins(tables, cfg, pin_lookbacks), "pins", pin_lookbacks,
+                            F.col("work_element")))
     units = settle(pareto.stack(units), "failing")
     force = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
     built = _links(tables, cfg, units.select("parent").union(force.select("parent")))
     origins = _origins(tables, cfg, built)
 
-    counted = gen.origin_units(units.filter("list <> 'pins'"), built, origins, lookbacks, keys)
+    counted = gen.origin_units(units.filter("list <> 'pins'"), built, origins, lookbacks, ["list"])
     wanted = (F.col("list") == "result")
     for name, (_, starts) in variants.items():
         wanted |= (F.col("list") == name) & F.col("lookback").isin(*starts)
     by_force = gen.origin_rows(force, built, origins, _spools(tables, cfg, built), list(lookbacks))
-    pins = gen.origin_units(units.filter("list = 'pins'"), built, origins, pin_lookbacks or lookbacks,
-                            keys, stack_shop=cfg.shop)
-    return pareto.stack([by_force, counted.filter(wanted).drop(*keys)]), pins.drop("list")
+    lists = pareto.stack([by_force, counted.filter(wanted).drop("list")])
+    if not pin_lookbacks:
+        return lists, None
+    typed = gen.with_pin_type(units.filter("list = 'pins'"), tables.work_element_names)
+    return lists, gen.origin_units(typed, built, origins, pin_lookbacks, ["pin_type"], cfg.shop)
 
 
 def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:

@@ -60,7 +60,9 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFra
     with_pins = {r.name: starts[r.name] for r in due if r.pin_types}
     counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter")
     origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins)
-    sections = [counted, families.by_station(tables, cfg, starts, counted=counted), origins, pins]
+    sections = [counted, families.by_station(tables, cfg, starts, counted=counted), origins]
+    if pins is not None:
+        sections.append(pins)
     lines = []
     for number, rows in enumerate(sections, start=1):
         details = [c for c in DETAILS if c in rows.columns]

@@ -87,11 +87,12 @@ def _views(sql: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in used) + "\n" + sql
 
 
-def _lim(limits: str, value: str = RAW, by_name: bool = False) -> str:
+def _lim(limits: str, value: str = RAW, by_name: bool = False, loose: bool = False) -> str:
     here = ("r.work_location_name = lpad(cast(l.loc AS varchar), 2, '0')" if by_name
             else "r.work_location_id = l.loc")
+    station = "r.station_name ILIKE '%' || l.station || '%'" if loose else "r.station_name = l.station"
     return f"""EXISTS (SELECT 1 FROM (VALUES {limits}) AS l(station, mode, pattern, loc, lo, hi)
- WHERE l.station = r.station_name AND ((l.mode = 'eq' AND r.parameter_name = l.pattern)
+ WHERE {station} AND ((l.mode = 'eq' AND r.parameter_name = l.pattern)
    OR (l.mode = 'ilike' AND r.parameter_name ILIKE l.pattern))
  AND (l.loc = 0 OR {here}) AND ({value} < l.lo OR {value} > l.hi))"""
 
@@ -183,9 +184,9 @@ def _origin_status(start: str = START) -> str:
  AND station_name ILIKE '%050%' AND recorded_at > TIMESTAMP '{start}'""", UNITS)
 
 
-def _traced(start: str, limits: str) -> str:
+def _traced(start: str, limits: str, loose: bool = False) -> str:
     return f"""SELECT DISTINCT product_serial, station_name, parameter_name, recorded_at, work_element
- FROM param_records r WHERE recorded_at > TIMESTAMP '{start}' AND {_lim(limits)}"""
+ FROM param_records r WHERE recorded_at > TIMESTAMP '{start}' AND {_lim(limits, loose=loose)}"""
 
 
 def _origin_limits(start: str = START, limits: str = ALL) -> str:
@@ -196,7 +197,7 @@ SHORT = "left(pin_pair, 5) || ' & ' || substring(pin_pair, position('&' IN pin_p
 
 
 def _pins(start: str = START) -> str:
-    return _chain(_traced(start, ALL), UNITS, f", {SHORT} AS pin_type",
+    return _chain(_traced(start, ALL, True), UNITS, f", {SHORT} AS pin_type",
                   "JOIN work_element_names we ON op.work_element = we.work_element")
 
 

@@ -127,9 +127,11 @@ def test_few_failing_parents_filter_the_scan_without_shuffling_it(spark, tmp_pat
     assert "BroadcastHashJoin LeftSemi" in text and "Exchange hashpartitioning" not in big_side
 
 
-def test_pin_types_drop_records_without_a_name(spark, skewed):
+@pytest.mark.parametrize("min_hot_rows", [1, 10_000])
+def test_pin_types_drop_units_without_a_name(spark, skewed, min_hot_rows):
     names = spark.createDataFrame([("w1", "U1-L2 xx & V3-L4 yy"), ("w2", None)], "work_element string, pin_pair string")
-    typed = gen.with_pin_type(skewed[0], names)
+    failing = settle(gen.failing_units(skewed[0], LOOKBACKS, ["work_element"]), "failing")
+    typed = gen.with_pin_type(failing, names, min_hot_rows)
     by_type = {r.pin_type: r["count"] for r in typed.groupBy("pin_type").count().collect()}
-    pandas = skewed[0].toPandas().work_element.value_counts()
-    assert by_type == {"U1-L2 & V3-L4": pandas["w1"], None: pandas["w2"]}
+    pairs = skewed[0].toPandas().drop_duplicates(["product_serial", "station_name", "work_element"]).work_element
+    assert by_type == {"U1-L2 & V3-L4": (pairs == "w1").sum(), None: (pairs == "w2").sum()}

@@ -172,3 +172,15 @@ def test_exact_limits_are_a_hash_join_on_station_and_parameter(spark, plan, tmp_
 def test_mixed_limits_never_nest_loops(spark, mixed, plan):
     text = plan(check_violations(mixed, CHECKS))
     assert "ExistenceJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_stations_with_a_limited_one_in_their_name(spark):
+    name = "Value Height Pin X"
+    rows = [row("a", "065", name, "1"), row("b", "X065-2", name, "1"), row("c", "650", name, "1"),
+            row("d", "110-065", name, "1"), row("e", "110-065", "Humidity Value", "101")]
+    for limits, found in ((values.VISION_065, ["a", "b", "d"]),
+                          (values.VISION_065 + values.ELECTRICAL_110, ["a", "b", "d", "e"])):
+        under = lim.as_limited_stations(records(spark, rows), limits)
+        got = limit_violations(under, limits)
+        assert serials(got) == found
+        assert {r.own_station for r in got.collect()} == {"065", "X065-2", "110-065"}

@@ -60,6 +60,7 @@ def tables(spark):
         record("A", "050", "Twist", "1", result_status="FAIL"),
         record("A", "065", "Value Height Pin X", "38", overall_process_status="OK", work_element="W1"),
         record("A", "065", "Value Height Pin X", "no reading"),
+        record("A", "065-R", "Value Height Pin X", "1", work_element="W1"),  # by pin type only
         record("B", "065", "Value Angle 2 Pin X", "10", SHIFT, work_element="W1"),
         record("B", "065", "Value Level Difference", "0.7", SHIFT, work_element="W2"),
         record("A", "100", "Edge DEFECT size", "0.5"),
@@ -155,14 +156,15 @@ def test_by_origin(lines):
 
 
 def test_by_pin_type_uses_the_base_limits_and_drops_unnamed(lines):
-    expected = [(1, "065", "030-1 / U1-L2 & V3-L4"), (1, "065", "030-2 / U1-L2 & V3-L4")]
+    expected = [(1, station, f"{origin} / U1-L2 & V3-L4")
+                for station in ("065", "065-R") for origin in ("030-1", "030-2")]
     assert sorted(section(lines, "hourly", 4)) == expected
     assert sorted(section(lines, "shift_end", 4)) == expected
 
 
 def test_body_is_json(lines):
     body = [json.loads(r.body_json) for r in lines if r.report == "hourly" and r.section_no == 4 and r.body_json]
-    assert body[0] == {"fail_count": 1, "station_name": "065", "origin": "030-1", "pin_type": "U1-L2 & V3-L4"}
+    assert len(body) == 4 and body[0] == {"fail_count": 1, "station_name": "065", "origin": "030-1", "pin_type": "U1-L2 & V3-L4"}
 
 
 def test_mid_shift_has_no_pin_types(tables):
