@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linepareto.functions.text import icontains, key_after
 from linepareto.functions.times import after_local, is_ntz
+from linepareto.sources.layout import from_day
 
 
 def alarm_scope(alarms: DataFrame, source: str, priorities: Sequence[str],
                 start: datetime | None = None, tz: str = "UTC") -> DataFrame:
     """Alarms of the sources containing `source`, of these priorities, newer than plant time `start`."""
+    if start is not None:
+        alarms = from_day(alarms, start, zones=True)
     kept = alarms.filter(F.col("alarm_priority_desc").isin(*priorities)
                          & icontains(F.col("alarm_source"), source))
     if start is not None:

@@ -19,6 +19,7 @@ from linepareto.operators.limits import (
 from linepareto.operators.settle import settle
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
+from linepareto.sources.layout import from_day
 from linepareto.sources.tables import LineTables
 
 Lookbacks = Mapping[str, datetime]
@@ -26,15 +27,17 @@ Lookbacks = Mapping[str, datetime]
 
 def job_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units whose job failed at the first station, by work location."""
-    failed = scope(tables.jobs, shop_name=cfg.shop, line_name=cfg.line, station_name=cfg.job_station,
+    jobs = from_day(tables.jobs, min(lookbacks.values()))
+    failed = scope(jobs, shop_name=cfg.shop, line_name=cfg.line, station_name=cfg.job_station,
                    work_location_name=cfg.job_location, job_status=cfg.fail_status)
     return count_units(failed.withColumnRenamed("work_location_desc", "parameter_name"),
                        "started_at", lookbacks)
 
 
 def _on_line(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    recent = after(F.col("recorded_at"), min(lookbacks.values()))
-    return scope(tables.param_records, line_name=cfg.line).filter(recent)
+    start = min(lookbacks.values())
+    recent = from_day(tables.param_records, start).filter(after(F.col("recorded_at"), start))
+    return scope(recent, line_name=cfg.line)
 
 
 def force_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:

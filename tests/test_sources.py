@@ -58,3 +58,37 @@ def test_all_five_from_catalog_views(spark):
     relations = tables.line_tables(spark, {name: f"v_{name}" for name in names}, "table")
     assert {name: getattr(relations, name).schema.names for name in names} == {
         name: schema.names for name, schema in names.items()}
+
+
+def test_lookback_opens_only_the_days_it_reaches(spark, tmp_path, plan):
+    from datetime import datetime
+
+    from linepareto.operators.alarms import alarm_scope
+    from linepareto.plans import families
+    from linepareto.plans.config import STATOR_LINE
+    from linepareto.sources.layout import write_by_day
+
+    days = spark.range(48).selectExpr("timestamp'2024-01-01 00:30:00Z' + make_dt_interval(0, cast(id as int)) AS at")
+
+    def logged(schema, ts, **values):
+        kind = schema[ts].dataType
+        columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) if f.name != ts
+                   else F.col("at").cast(kind).alias(ts) for f in schema.fields]
+        return days.select(*columns)
+
+    records, alarms = str(tmp_path / "records"), str(tmp_path / "alarms")
+    write_by_day(logged(schemas.PARAM_RECORDS, "recorded_at", line_name="STTR01", station_name="040",
+                        parameter_name="Force process value", parameter_id=2, product_serial="P",
+                        overall_process_status="NOK"), "recorded_at", records)
+    write_by_day(logged(schemas.ALARMS, "activated_at", alarm_source="STTR01-060", alarm_priority_desc="high"),
+                 "activated_at", alarms)
+    source = tables.LineTables(param_records=tables.param_records(spark, records),
+                               alarms=tables.alarms(spark, alarms))
+    start = {"all": datetime(2024, 1, 2, 12)}
+    found = families.force_fails(source, STATOR_LINE, start)
+    assert [r.fail_count for r in found.collect()] == [1]
+    pruned = [x for x in plan(found).splitlines() if "PartitionFilters" in x][0]
+    assert "log_day" in pruned and "2024-01-02" in pruned
+    kept = alarm_scope(source.alarms, "060", ("high",), start["all"], "America/Chicago")
+    assert kept.count() == 6  # 18:30 to 23:30 UTC is 12:30 to 17:30 at the plant
+    assert "2024-01-01" in [x for x in plan(kept).splitlines() if "PartitionFilters" in x][0]
