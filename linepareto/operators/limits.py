@@ -74,10 +74,11 @@ def load_limits(limits: DataFrame) -> tuple[Limit, ...] | DataFrame:
     return tuple(Limit(*row) for row in rows)
 
 
-def might_violate(check: LimitCheck) -> Column:
+def might_violate(check: LimitCheck, loose: bool = False) -> Column:
     """A necessary condition in plain comparisons, for the scan to prune on."""
     limits = check.limits
-    possible = F.col("station_name").isin(sorted({x.station_name for x in limits}))
+    stations = sorted({x.station_name for x in limits})
+    possible = _any(_at_station(s, True) for s in stations) if loose else F.col("station_name").isin(stations)
     if check.status is not None:
         possible &= F.col("overall_process_status") == check.status
     if all(x.match_mode == "eq" for x in limits):
@@ -92,20 +93,26 @@ def _any(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def _at_station(name: str, loose: bool) -> Column:
+    if loose:
+        return F.contains(F.lower("station_name"), F.lit(name.lower()))
+    return F.col("station_name") == name
+
+
 def _located(location: str, limit_location: Column) -> Column:
     if location == "id":
         return F.col("work_location_id") == limit_location
     return F.col("work_location_name") == F.lpad(limit_location.cast("string"), 2, "0")
 
 
-def _pattern_violated(check: LimitCheck) -> Column:
+def _pattern_violated(check: LimitCheck, loose: bool) -> Column:
     """The pattern limits as one predicate: constant patterns are compiled once."""
     value = F.col("_measured" if check.value == "raw" else "parameter_value_num")
     violated = []
     for limit in check.limits:
         if limit.match_mode == "eq":
             continue
-        applies = ((F.col("station_name") == limit.station_name)
+        applies = (_at_station(limit.station_name, loose)
                    & F.col("parameter_name").ilike(limit.pattern))
         if limit.work_location_id is not None:
             applies &= _located(check.location, F.lit(limit.work_location_id))
@@ -145,18 +152,19 @@ def _measured(records: DataFrame, checks: Sequence[LimitCheck]) -> DataFrame:
     return records
 
 
-AT_STATION = "station_name = _station_name"
-EXACT = f"{AT_STATION} AND parameter_name = _pattern"
-EXACT_OR_PATTERN = f"""{AT_STATION} AND ((_match_mode = 'eq' AND parameter_name = _pattern)
-                       OR (_match_mode = 'ilike' AND parameter_name ILIKE _pattern))"""
+EXACT = "station_name = _station_name AND parameter_name = _pattern"
+EXACT_LOOSE = "contains(lower(station_name), lower(_station_name)) AND parameter_name = _pattern"
+EXACT_OR_PATTERN = """station_name = _station_name AND ((_match_mode = 'eq' AND parameter_name = _pattern)
+                      OR (_match_mode = 'ilike' AND parameter_name ILIKE _pattern))"""
 
 
-def check_violations(records: DataFrame, checks: Sequence[LimitCheck]) -> DataFrame:
+def check_violations(records: DataFrame, checks: Sequence[LimitCheck], loose_stations: bool = False) -> DataFrame:
     """Records outside a limit that applies to them, for several checks in one scan.
 
     The text value counts where it is a number and is never a violation elsewhere. Exact limits
     are a broadcast hash join on station and parameter, their number being known; the few
-    pattern limits a predicate beside it.
+    pattern limits a predicate beside it. With `loose_stations` a limit applies to all stations
+    with its own in their name; the hash join is on the parameter then.
     """
     limits = [x for c in checks for x in c.limits]
     violated = _violated(checks, all(x.work_location_id is None for x in limits),
@@ -164,15 +172,18 @@ def check_violations(records: DataFrame, checks: Sequence[LimitCheck]) -> DataFr
     bounds = limits_frame(records.sparkSession, checks)
     patterns = sum(x.match_mode != "eq" for x in limits)
     if len(limits) > MAX_LOCAL_LIMITS:
+        if loose_stations:
+            raise ValueError("loose station names need a limit set that fits into every task")
         return _spread(_measured(records, checks), bounds, violated)
 
-    kept = _measured(records.filter(_any(might_violate(c) for c in checks)), checks)
+    possible = _any(might_violate(c, loose_stations) for c in checks)
+    kept = _measured(records.filter(possible), checks)
+    exactly = F.expr(EXACT_LOOSE if loose_stations else EXACT) & violated
     if not patterns:
-        found = kept.join(F.broadcast(bounds), F.expr(EXACT) & violated, "left_semi")
-    elif patterns <= MAX_PATTERNS and not records.isStreaming:
-        exact = bounds.filter("_match_mode = 'eq'")
-        matched = exact.filter((F.expr(EXACT) & violated).outer()).exists()
-        found = kept.filter(_any(_pattern_violated(c) for c in checks) | matched)
+        found = kept.join(F.broadcast(bounds), exactly, "left_semi")
+    elif loose_stations or (patterns <= MAX_PATTERNS and not records.isStreaming):
+        matched = bounds.filter("_match_mode = 'eq'").filter(exactly.outer()).exists()
+        found = kept.filter(_any(_pattern_violated(c, loose_stations) for c in checks) | matched)
     else:
         found = kept.join(F.broadcast(bounds), F.expr(EXACT_OR_PATTERN) & violated, "left_semi")
     return found.drop("_measured")
@@ -201,24 +212,6 @@ def limit_violations(records: DataFrame, limits: Sequence[Limit] | DataFrame, va
     return _spread(_measured(records, checks), bounds, _violated(checks, False, True))
 
 
-def as_limited_stations(records: DataFrame, limits: Sequence[Limit]) -> DataFrame:
-    """Records under each limited station whose name theirs contains, for looser station names.
-
-    Adds `own_station` with the record's own name.
-    """
-    stations = sorted({x.station_name for x in limits})
-    name = F.lower("station_name")
-    if len(stations) == 1:
-        kept = records.filter(F.contains(name, F.lit(stations[0].lower())))
-        limited = F.lit(stations[0])
-    else:
-        kept = records
-        limited = F.explode(F.filter(F.array(*[F.lit(s) for s in stations]),
-                                     lambda s: F.contains(name, F.lower(s))))
-    others = [c for c in records.columns if c != "station_name"]
-    return kept.select(*others, F.col("station_name").alias("own_station"), limited.alias("station_name"))
-
-
 def status_fails(records: DataFrame, station: str, parameter: str, parameter_id: int,
                  status: str) -> DataFrame:
     """Records of one parameter that failed by status, whatever their value."""

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from linepareto.functions.text import icontains
 from linepareto.functions.times import after
 from linepareto.operators import alarms as al, genealogy as gen, pareto
-from linepareto.operators.limits import (
-    as_limited_stations, check_violations, for_variant, status_fails)
+from linepareto.operators.limits import check_violations, for_variant, status_fails
 from linepareto.operators.settle import settle
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
@@ -142,8 +141,7 @@ def _failed_pins(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> D
     """Records outside a limit at any station that has the limited one in its name."""
     check = cfg.traced_check._replace(limits=for_variant(cfg.traced_check.limits))
     records = scope(_on_line(tables, cfg, lookbacks), shop_name=cfg.shop)
-    failed = check_violations(as_limited_stations(records, check.limits), [check])
-    return failed.withColumn("station_name", F.col("own_station"))
+    return check_violations(records, [check], loose_stations=True)
 
 
 def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:

@@ -180,7 +180,14 @@ def test_stations_with_a_limited_one_in_their_name(spark):
             row("d", "110-065", name, "1"), row("e", "110-065", "Humidity Value", "101")]
     for limits, found in ((values.VISION_065, ["a", "b", "d"]),
                           (values.VISION_065 + values.ELECTRICAL_110, ["a", "b", "d", "e"])):
-        under = lim.as_limited_stations(records(spark, rows), limits)
-        got = limit_violations(under, limits)
-        assert serials(got) == found
-        assert {r.own_station for r in got.collect()} == {"065", "X065-2", "110-065"}
+        assert serials(check_violations(records(spark, rows), [LimitCheck(limits)], True)) == found
+    pattern = (Limit("065", "ilike", "%height%", None, 39, 47),)
+    assert serials(check_violations(records(spark, rows), [LimitCheck(pattern)], True)) == ["a", "b", "d"]
+
+
+def test_loose_stations_join_on_the_parameter(spark, mixed, plan, monkeypatch):
+    text = plan(check_violations(mixed, CHECKS, True))
+    assert "Left keys [1]: [parameter_name" in text and "NestedLoop" not in text
+    monkeypatch.setattr(lim, "MAX_LOCAL_LIMITS", 3)
+    with pytest.raises(ValueError):
+        check_violations(mixed, CHECKS, True)
