@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from linepareto.functions.text import icontains, short_pair_name
 from linepareto.functions.times import after
 from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join
-from linepareto.operators.settle import MAX_BROADCAST_KEYS, few, narrow, settle
+from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, narrow, settle
 from linepareto.operators.units import scope, tall
 
 
@@ -63,20 +63,19 @@ class Links(NamedTuple):
     size: int | None  # number of genealogy rows; None: not reduced to the failing parents
 
 
-def links(genealogy: DataFrame, parents: DataFrame, parts: Sequence[str], shop: str | None = None,
+def links(genealogy: DataFrame, parents: Settled, parts: Sequence[str], shop: str | None = None,
           max_keys: int = MAX_BROADCAST_KEYS) -> Links:
     """Edges (of one shop, if given) and stack scans, read in one pass.
 
-    `parents` is a settled table of failing parents. If it has few rows only their genealogy is
-    kept, and settled: the joins after this read it several times.
+    If the failing `parents` are few, only their genealogy is kept, and settled: the joins after
+    this read it several times.
     """
     rows = genealogy.select(F.col("product_serial").alias("parent"),
                             F.col("scanned_child_serial").alias("child"), "shop_name",
                             F.col("scanned_child_part").isin(*parts).alias("_stack"))
     size = None
-    if few(parents, max_keys):
-        rows = settle(narrow(rows, "parent", parents), "genealogy")
-        size = rows.count()
+    if parents.size <= max_keys:
+        rows, size = settle(narrow(rows, "parent", parents.df), "genealogy")
     return Links(scope(rows, shop_name=shop).select("parent", "child"),
                  rows.filter("_stack").select("parent", "shop_name"), size)
 
@@ -140,15 +139,15 @@ def origin_rows(failing: DataFrame, built: Links, origins: DataFrame, spools: Da
     return tall(wide, list(lookbacks), ["station_name", "origin"])
 
 
-def with_pin_type(failing: DataFrame, names: DataFrame, min_hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Replace the work element of settled `failing_units` by its short pin-pair name.
+def with_pin_type(failing: Settled, names: DataFrame, min_hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Replace the work element of `failing_units` by its short pin-pair name.
 
     Units whose element has no name drop.
     """
     named = names.select("work_element", short_pair_name(F.col("pin_pair")).alias("pin_type"))
-    if failing.count() < min_hot_rows:  # no work element can be hot
-        typed = failing.join(named, "work_element")
+    if failing.size < min_hot_rows:  # no work element can be hot
+        typed = failing.df.join(named, "work_element")
     else:
-        hot = hot_keys(failing, "work_element", min_hot_rows)
-        typed = spread_join(failing, named, "work_element", ["parent", "station_name"], hot)
+        hot = hot_keys(failing.df, "work_element", min_hot_rows)
+        typed = spread_join(failing.df, named, "work_element", ["parent", "station_name"], hot)
     return typed.drop("work_element")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from linepareto.session import shared_folder
 
@@ -10,23 +12,26 @@ from linepareto.session import shared_folder
 MAX_BROADCAST_KEYS = 500_000
 
 
-def settle(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
+class Settled(NamedTuple):
+    """A table in the shared folder."""
+
+    df: DataFrame
+    size: int  # its number of rows, or more
+
+
+def settle(df: DataFrame, purpose: str) -> Settled:
+    """Write `df` to the shared folder and read it back; its rows are counted on the way.
 
     It is computed once, survives lost executors, and Spark knows its true size from there on.
     """
     folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def few(keys: DataFrame, max_keys: int = MAX_BROADCAST_KEYS) -> bool:
-    """Has this settled table few enough rows to send it to every task?"""
-    return keys.count() <= max_keys
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("size")).write.parquet(folder)
+    return Settled(df.sparkSession.read.schema(df.schema).parquet(folder), counted.get["size"])
 
 
 def narrow(big: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows of `big` whose key is in `keys`, which must be `few`.
+    """The rows of `big` whose key is in `keys`, which must be known to be few.
 
     The scan of `big` is filtered where it is read, without a shuffle.
     """

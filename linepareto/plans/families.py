@@ -15,7 +15,7 @@ from linepareto.functions.text import icontains
 from linepareto.functions.times import after
 from linepareto.operators import alarms as al, genealogy as gen, pareto
 from linepareto.operators.limits import check_violations, for_variant, status_fails
-from linepareto.operators.settle import settle
+from linepareto.operators.settle import Settled, settle
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
 from linepareto.sources.layout import from_day
@@ -114,7 +114,7 @@ def _spools(tables: LineTables, cfg: LineConfig, built: gen.Links) -> DataFrame:
     return gen.near(spools, built)
 
 
-def _links(tables: LineTables, cfg: LineConfig, parents: DataFrame) -> gen.Links:
+def _links(tables: LineTables, cfg: LineConfig, parents: Settled) -> gen.Links:
     return gen.links(scope(tables.genealogy, line_name=cfg.line), parents, cfg.stack_parts, cfg.shop)
 
 
@@ -148,14 +148,14 @@ def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
     """Force-check failures by origin of the child parts, counted in joined rows."""
     failing = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
     built = _links(tables, cfg, failing)
-    return gen.origin_rows(failing, built, _origins(tables, cfg, built), _spools(tables, cfg, built),
+    return gen.origin_rows(failing.df, built, _origins(tables, cfg, built), _spools(tables, cfg, built),
                            list(lookbacks))
 
 
 def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks) -> DataFrame:
     failing = settle(gen.failing_units(failed, lookbacks), "failing")
     built = _links(tables, cfg, failing)
-    return gen.origin_units(failing, built, _origins(tables, cfg, built), lookbacks)
+    return gen.origin_units(failing.df, built, _origins(tables, cfg, built), lookbacks)
 
 
 def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -207,18 +207,19 @@ def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookb
                             F.col("work_element")))
     units = settle(pareto.stack(units), "failing")
     force = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
-    built = _links(tables, cfg, units.select("parent").union(force.select("parent")))
+    parents = units.df.select("parent").union(force.df.select("parent"))
+    built = _links(tables, cfg, Settled(parents, units.size + force.size))
     origins = _origins(tables, cfg, built)
 
-    counted = gen.origin_units(units.filter("list <> 'pins'"), built, origins, lookbacks, ["list"])
+    counted = gen.origin_units(units.df.filter("list <> 'pins'"), built, origins, lookbacks, ["list"])
     wanted = (F.col("list") == "result")
     for name, (_, starts) in variants.items():
         wanted |= (F.col("list") == name) & F.col("lookback").isin(*starts)
-    by_force = gen.origin_rows(force, built, origins, _spools(tables, cfg, built), list(lookbacks))
+    by_force = gen.origin_rows(force.df, built, origins, _spools(tables, cfg, built), list(lookbacks))
     lists = pareto.stack([by_force, counted.filter(wanted).drop("list")])
     if not pin_lookbacks:
         return lists, None
-    typed = gen.with_pin_type(units.filter("list = 'pins'"), tables.work_element_names)
+    typed = gen.with_pin_type(Settled(units.df.filter("list = 'pins'"), units.size), tables.work_element_names)
     return lists, gen.origin_units(typed, built, origins, pin_lookbacks, ["pin_type"], cfg.shop)
 
 

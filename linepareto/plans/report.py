@@ -58,7 +58,7 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFra
     due = cfg.due(as_of)
     starts = cfg.starts(as_of)
     with_pins = {r.name: starts[r.name] for r in due if r.pin_types}
-    counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter")
+    counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter").df
     origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins)
     sections = [counted, families.by_station(tables, cfg, starts, counted=counted), origins]
     if pins is not None:

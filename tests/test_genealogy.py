@@ -29,12 +29,12 @@ def run(spark, failing, genealogy, children, max_keys, min_hot_rows, rows):
         fails = settle(gen.failing_rows(failing, LOOKBACKS), "failing")
         built = gen.links(genealogy, fails, PARTS, "DU", max_keys)
         spools = gen.wire_spools(children, "030", "batch", "spool-a")
-        found = gen.origin_rows(fails, built, gen.near(origins, built, max_keys),
+        found = gen.origin_rows(fails.df, built, gen.near(origins, built, max_keys),
                                 gen.near(spools, built, max_keys), list(LOOKBACKS), None, min_hot_rows)
     else:
         fails = settle(gen.failing_units(failing, LOOKBACKS), "failing")
         built = gen.links(genealogy, fails, PARTS, "DU", max_keys)
-        found = gen.origin_units(fails, built, gen.near(origins, built, max_keys), LOOKBACKS,
+        found = gen.origin_units(fails.df, built, gen.near(origins, built, max_keys), LOOKBACKS,
                                  (), None, min_hot_rows)
     return {(r.lookback, r.station_name, r.origin): r.fail_count for r in found.collect()}
 
@@ -120,7 +120,8 @@ def test_few_failing_parents_filter_the_scan_without_shuffling_it(spark, tmp_pat
     path = str(tmp_path / "genealogy")
     spark.range(1000).selectExpr("cast(id as string) AS parent", "cast(id % 7 as string) AS child").write.parquet(path)
     keys = settle(spark.createDataFrame([("1",), ("2",), ("2",)], "parent string"), "keys")
-    narrowed = narrow(spark.read.parquet(path), "parent", keys)
+    assert keys.size == keys.df.count() == 3
+    narrowed = narrow(spark.read.parquet(path), "parent", keys.df)
     assert narrowed.count() == 2
     text = plan(narrowed)
     big_side = text.split("BroadcastExchange")[0]
