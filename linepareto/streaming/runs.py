@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,11 +12,27 @@ from pyspark.sql.streaming import StreamingQuery
 from linepareto.plans.report import deliver
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start queries with no more state partitions than tasks the cluster runs at once.
+
+    A query keeps the number it started with; each partition is a state store per operator.
+    """
+    name = "spark.sql.shuffle.partitions"
+    session = spark.conf.get(name)
+    spark.conf.set(name, min(int(session), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, session)
+
+
 def run_available(stream: DataFrame, folder: str) -> DataFrame:
     """Process all data present, append the result to `folder`, and read it."""
-    query = (stream.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/rows")
-             .trigger(availableNow=True).start())
+    with state_partitions(stream.sparkSession):
+        query = (stream.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/rows")
+                 .trigger(availableNow=True).start())
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
