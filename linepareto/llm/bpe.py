@@ -9,7 +9,7 @@ root. The trees of many matches stand side by side in one array and take their m
 from __future__ import annotations
 
 import base64
-import hashlib
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +51,8 @@ class Ranks:
         found = (self.pairs[at] == key) & (a >= 0) & (b >= 0)
         return np.where(found, self.pair_ranks[at] << _AT | position, _NONE)
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of byte strings of at least two bytes, all of one padded length."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of byte strings of at least two bytes, all of one padded length."""
         n, size = len(words), 1
         while size < max(map(len, words)):
             size *= 2
@@ -91,15 +91,17 @@ class Ranks:
                     tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
                     node = node >> 1
             live = live[tree[live, 1] < _NONE]
-        return [row[row >= 0].tolist() for row in ids]
+        kept = ids >= 0
+        flat, ends = ids[kept].astype("<u4").tobytes(), np.cumsum(4 * kept.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct matches of the pattern."""
+    def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of distinct matches of the pattern."""
         out, sized = {}, {}
         for word in words:
             rank = self.ranks.get(word)
             if rank is not None:
-                out[word] = [rank]
+                out[word] = pack("<I", rank)
             else:
                 sized.setdefault((len(word) - 1).bit_length(), []).append(word)
         for bits, group in sized.items():
@@ -109,15 +111,10 @@ class Ranks:
         return out
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        split = [[m.encode() for m in self.pattern.findall(p)] for p in pieces]
+        find = self.pattern.findall
+        split = [[m.encode() for m in find(p)] for p in pieces]
         ids = self.encode_words(list({w for words in split for w in words}))
-        flat = np.array([i for words in split for w in words for i in ids[w]], "<u4").tobytes()
-        out, start = [], 0
-        for words in split:
-            end = start + 4 * sum(len(ids[w]) for w in words)
-            out.append(flat[start:end])
-            start = end
-        return out
+        return [ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]) for words in split]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
