@@ -28,12 +28,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+# Stands for a null id inside the operators, so that ids stay whole numbers in arrays.
+NO_ID = -(2**63)
+
+
 def texts(docs: DataFrame) -> DataFrame:
-    """doc_id and the whole text as UTF-8 bytes, null as empty; other columns are not read."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    """doc_id and the whole text as UTF-8 bytes, null as empty; other columns are not read.
+
+    A null id is `NO_ID`, below all others; `with_null_ids` brings it back.
+    """
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
+def with_null_ids(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
 def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     """Blocks for a table, from the bytes of all its texts; one cheap pass."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

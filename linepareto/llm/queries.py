@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linepareto.llm import bpe, exact_dedup, packing
+from linepareto.llm import bpe, exact_dedup, packing, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digests(_table(spark, folder, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN)
@@ -28,7 +32,7 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op4_byte_bpe, op6_exact_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op6_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
