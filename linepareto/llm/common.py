@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from linepareto.session import shared_folder
 
 # Text bytes of one block; a task holds a block and its keys.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 12_000_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,8 +41,8 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def with_null_ids(df: DataFrame) -> DataFrame:
-    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+def with_null_ids(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.nullif(c, F.lit(NO_ID)) for c in columns or ("doc_id",)})
 
 
 def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linepareto.llm import bpe, exact_dedup, packing, substrings
+from linepareto.llm import bpe, exact_dedup, jaccard, packing, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,8 +31,13 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op6_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op6_exact_dedup, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,7 +27,7 @@ from linepareto.llm.common import ASKED, Totals, ask, block_count, blocked, tota
 # A place is the row's number among rows of its id, then the byte in its text.
 ROW_BITS = np.int64(40)
 BATCH_BYTES = 1_000_000
-SHARDS_PER_BLOCK = 12
+SHARDS_PER_BLOCK = 6
 SENT = "block int, shard int, kind string, docs binary, places binary, lengths binary, data binary"
 PLACES = "block int, docs binary, places binary, lengths binary"
 
@@ -124,7 +124,7 @@ def first_places(sent: Sent) -> tuple[Sent, tuple[np.ndarray, np.ndarray, np.nda
 def repeats(docs: DataFrame, method: Method, n_blocks: int | None = None) -> DataFrame:
     """doc_id and `method.columns` per row of `docs`. Null text is empty; an empty table gives none."""
     n_blocks = n_blocks or block_count(docs)
-    buckets, shards = 4 * n_blocks, SHARDS_PER_BLOCK * n_blocks
+    buckets, shards = n_blocks, SHARDS_PER_BLOCK * n_blocks
     text = blocked(docs, n_blocks)
 
     def keys(pdf: pd.DataFrame) -> pd.DataFrame:
