@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linepareto.llm import bpe, exact_dedup, jaccard, language, packing, substrings
+from linepareto.llm import bpe, exact_dedup, jaccard, language, line_chunks, packing, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,13 +35,17 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.held_out_predictions(_table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_chunks.digests(_table(spark, folder, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op6_exact_dedup, op7_language_id,
+        op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op6_exact_dedup, op7_language_id, op8_line_dedup,
         op10_ngram_jaccard_join)}
 
 

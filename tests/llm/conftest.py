@@ -23,7 +23,7 @@ def prose():
     import random
 
     def make(seed, words):
-        rnd = random.Random(seed)
+        rnd = random.Random(str(seed))
         return " ".join("".join(rnd.choice(["th", "er", "on", "an", "re", "he", "in", "ed"]) for _ in range(rnd.randint(1, 4)))
                         for _ in range(words))
 
