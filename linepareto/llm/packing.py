@@ -6,14 +6,17 @@ of documents); pieces then take the planned slots by a join on their rank within
 
 from __future__ import annotations
 
+import json
 import zlib
 from struct import pack
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from linepareto.llm.common import stored
+from linepareto.llm.pieces import PATTERN, Pieces
 
 CAPACITY = 1024
 END = 2
@@ -67,23 +70,50 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Slots]:
     return out
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that a byte-level vocabulary writes for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 def _encoder(path: str):
     """One per Python worker: its cache serves all tasks."""
     if path not in _encoders:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
-        from linepareto.llm.pieces import Pieces
-
         tokenizer = Tokenizer.from_file(path)
+        settings = json.loads(tokenizer.to_str())
+        first = settings["pre_tokenizer"] or {}
+        plain = (settings["normalizer"] is None and first.get("type") == "ByteLevel" and first.get("use_regex")
+                 and not first["add_prefix_space"])
+        specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        find, letters, tokens = regex.compile(PATTERN).findall, _byte_letters(), tokenizer.model.tokenize
 
         def encode(pieces: list[str]) -> list[bytes]:
-            return [pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
-
-        specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        _encoders[path] = Pieces(encode), tokenizer, specials
+            """The library's own model on each match; its whole pipeline costs twice as much per piece."""
+            split = [find(p) for p in pieces]
+            ids = {}
+            for match in {m for matches in split for m in matches}:
+                found = [t.id for t in tokens(match.encode().decode("latin-1").translate(letters))]
+                ids[match] = pack(f"<{len(found)}I", *found)
+            return [b"".join([ids[m] for m in matches]) for matches in split]
+
+        def whole(text: str) -> bytes:
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            return pack(f"<{len(ids)}I", *ids)
+
+        cache = Pieces(encode)
+
+        def encode_texts(texts: list[str]) -> list[bytes]:
+            # special strings may reach across spaces; other pre-tokenizers may cut elsewhere
+            odd = {i for i, t in enumerate(texts) if not plain or any(s in t for s in specials)}
+            codes = cache.ids([t for i, t in enumerate(texts) if i not in odd])
+            for i in sorted(odd):
+                codes.insert(i, whole(texts[i]))
+            return codes
+
+        _encoders[path] = encode_texts
     return _encoders[path]
 
 
@@ -94,17 +124,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
     Only documents longer than `capacity` are cut; their first piece takes what is over.
     """
     def tokenize(batches):
-        cache, tokenizer, specials = _encoder(tokenizer_path)
+        encode = _encoder(tokenizer_path)
         last = pack("<I", end)
         for batch in batches:
             for part in range(0, batch.num_rows, 1000):
                 some = batch.slice(part, 1000)
-                texts = some.column("text").to_pylist()
-                odd = {i for i, t in enumerate(texts) if any(s in t for s in specials)}
-                codes = cache.ids([t for i, t in enumerate(texts) if i not in odd])
-                for i in sorted(odd):  # special strings may reach across spaces
-                    whole = tokenizer.encode(texts[i], add_special_tokens=False).ids
-                    codes.insert(i, pack(f"<{len(whole)}I", *whole))
+                codes = encode(some.column("text").to_pylist())
                 rows: list[list] = [[], [], [], [], [], []]
                 for doc_id, ids in zip(some.column("doc_id").to_pylist(), codes):
                     ids, n = memoryview(ids + last), len(ids) // 4 + 1

@@ -10,10 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+# Fixed value: the public pattern of byte-level vocabularies.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 GAP = re.compile(r"(?<=\S) (?=\S)")
 ODD = re.compile(r"\s\s|^\s|\s\Z")
-# Entries a worker keeps; the cache is emptied at this size, which costs time only.
-CACHE = 400_000
+# Entries in one of a worker's two generations; older ones go when the newer is full, which costs time only.
+CACHE = 600_000
 # Text characters whose unseen pieces are tokenized together.
 TOGETHER = 3_000_000
 
@@ -27,7 +29,7 @@ class Pieces:
     """Ids of texts as little-endian uint32 bytes; `encode` gets the unseen pieces of many texts at once."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.spaced, self.first = encode, {}, {}
+        self.encode, self.new, self.old, self.first = encode, {}, {}, {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out, start = [], 0
@@ -41,19 +43,34 @@ class Pieces:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self.spaced) + len(self.first) > CACHE:
-            self.spaced, self.first = {}, {}
-        known, first, new, new_first, lists = self.spaced, self.first, set(), set(), []
+        if len(self.new) > CACHE:
+            self.new, self.old, self.first = {}, self.new, {}
+        new, old, first = self.new, self.old, self.first
+        lists, holes, unseen = [], [], {}
         for text in texts:
             pieces = cut(text)
-            lists.append(pieces)
-            if pieces[0] not in first:
-                new_first.add(pieces[0])
-            new.update(pieces[1:])
-        new = [p for p in new if p not in known]
-        new_first = list(new_first)
-        codes = self.encode([f" {p}" for p in new] + new_first)
-        known.update(zip(new, codes))
-        first.update(zip(new_first, codes[len(new):]))
-        get = known.__getitem__
-        return [b"".join([first[p[0]], *map(get, p[1:])]) for p in lists]
+            codes = list(map(new.get, pieces))
+            start = pieces[0]
+            codes[0] = first.get(start)
+            if None in codes:
+                gaps = [k for k, code in enumerate(codes) if code is None]
+                if gaps[0] == 0:
+                    unseen[start, 0] = None
+                    holes.append((codes, 0, (start, 0)))
+                    del gaps[0]
+                for k in gaps:
+                    piece = pieces[k]
+                    code = old.get(piece)
+                    if code is None:
+                        unseen[piece, 1] = None
+                        holes.append((codes, k, (piece, 1)))
+                    else:
+                        codes[k] = new[piece] = code
+            lists.append(codes)
+        if unseen:
+            unseen.update(zip(unseen, self.encode([" " + p if spaced else p for p, spaced in unseen])))
+            for (piece, spaced), code in unseen.items():
+                (new if spaced else first)[piece] = code
+            for codes, k, key in holes:
+                codes[k] = unseen[key]
+        return [b"".join(codes) for codes in lists]

@@ -1,0 +1,109 @@
+"""Packing: ids and cuts against the library, the plan against single documents, gapless places."""
+
+import random
+import zlib
+from collections import Counter
+from struct import pack
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from linepareto.llm import packing
+from linepareto.llm.pieces import PATTERN
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\r'sdm ab1é,.\x85\xa0　\x1c日😀<|endoftext|>"), max_size=30), max_size=5))
+def test_ids_are_the_librarys(texts):
+    whole = Tokenizer.from_file(PATH)
+    assert PATTERN == public_tokenizers.PATTERN
+    expected = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert packing._encoder(PATH)(texts) == [pack(f"<{len(e)}I", *e) for e in expected]
+
+
+def test_special_strings(tokenizer):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x y", " <|endoftext|>  <|endof text|>"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert packing._encoder(PATH)(texts) == [pack(f"<{len(e)}I", *e) for e in expected]
+
+
+def best_fit(lengths, capacity):
+    """Best-fit decreasing, one piece at a time."""
+    free = []
+    for length in sorted(lengths, reverse=True):
+        fits = [k for k, f in enumerate(free) if f >= length]
+        if fits:
+            k = min(fits, key=lambda k: free[k])
+            free[k] -= length
+        else:
+            free.append(capacity - length)
+    return len(free)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=200))
+def test_plan_equals_best_fit_decreasing(lengths):
+    histogram, at, taken = Counter(lengths), {}, Counter()
+    for s in packing.plan(histogram, 64):
+        assert s.first == taken[s.length]
+        taken[s.length] += s.count
+        for k in range(s.count):
+            at.setdefault(s.sequence + k // s.each, []).append((s.offset + k % s.each * s.length, s.length))
+    assert taken == histogram and len(at) == best_fit(lengths, 64)
+    for pieces in at.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= 64
+
+
+def test_documents(table, prose, tokenizer, spark):
+    rnd = random.Random(2)
+    rows = [(k, prose(k, rnd.choice([0, 3, 30, 400, 1200]))) for k in range(50)]
+    rows += [(60, None), (61, ""), (62, "x" * 9000), (None, "a b"), (3, rows[3][1]), (63, prose(1, 20000))]
+    got = packing.pack_documents(table(rows), PATH, with_ids=True).collect()
+    assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(got[0].asDict())
+    whole = {}
+    for doc_id, text in rows:
+        whole.setdefault(doc_id, []).append(tokenizer.encode(text or "", add_special_tokens=False).ids + [2])
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+        assert r["ids_crc32"] == zlib.crc32(pack(f"<{r['length']}I", *r["ids"])) and 1 <= r["length"] <= 1024
+    for doc_id, pieces in by.items():
+        n = len(whole[doc_id][0])
+        assert len(pieces) == sum(-(-len(w) // 1024) for w in whole[doc_id])
+        if len(whole[doc_id]) == 1:
+            pieces.sort(key=lambda r: r["piece"])
+            assert [i for r in pieces for i in r["ids"]] == whole[doc_id][0]
+            assert [r["length"] for r in pieces[1:]] == [1024] * (len(pieces) - 1) and pieces[0]["length"] == (n - 1) % 1024 + 1
+            assert [r["start"] for r in pieces] == [sum(q["length"] for q in pieces[:k]) for k in range(len(pieces))]
+    places = {}
+    for r in got:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for place in places.values():
+        ends = [a + b for a, b in sorted(place)]
+        assert [a for a, _ in sorted(place)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert len(places) == best_fit([r["length"] for r in got], 1024)
+    made = packing.sequences(packing.pack_documents(table(rows), PATH, with_ids=True)).collect()
+    assert sum(len(r["ids"]) for r in made) == sum(r["length"] for r in got)
+
+
+def test_many_ranks_of_one_length(table, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED_TOGETHER", 7)
+    got = packing.pack_documents(table([(k, "same words here") for k in range(500)]), PATH).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 500
+
+
+def test_empty_table(table):
+    assert packing.pack_documents(table([]), PATH).collect() == []
