@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linepareto.llm import bpe, exact_dedup, jaccard, language, line_chunks, packing, substrings
+from linepareto.llm import bpe, exact_dedup, hash_forest, jaccard, language, line_chunks, main_text, packing, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(_table(spark, folder, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
@@ -39,14 +43,18 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.digests(_table(spark, folder, "documents"))
 
 
+def op9_hash_forest_search(spark: SparkSession, folder: str) -> DataFrame:
+    return hash_forest.every_nth(_table(spark, folder, "embeddings"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op6_exact_dedup, op7_language_id, op8_line_dedup,
-        op10_ngram_jaccard_join)}
+        op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op5_html_extraction, op6_exact_dedup, op7_language_id, op8_line_dedup,
+        op9_hash_forest_search, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
