@@ -32,13 +32,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 NO_ID = -(2**63)
 
 
-def texts(docs: DataFrame) -> DataFrame:
-    """doc_id and the whole text as UTF-8 bytes, null as empty; other columns are not read.
+def texts(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, the whole text as UTF-8 bytes, null as empty, and `more`; other columns are not read.
 
     A null id is `NO_ID`, below all others; `with_null_ids` brings it back.
     """
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *more)
 
 
 def with_null_ids(df: DataFrame, *columns: str) -> DataFrame:
@@ -88,8 +88,11 @@ def ask(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, short: b
                          "counts": [counts[a:b].tobytes() for a, b in zip(starts, ends)]})
 
 
-def totals(asked: DataFrame, least: int, short: bool) -> DataFrame:
-    """ANSWERED: for every block those of its keys whose total over all blocks is `least` or more."""
+def totals(asked: DataFrame, least: int, short: bool, summary: bool = False) -> DataFrame:
+    """ANSWERED: for every block those of its keys whose total over all blocks is `least` or more.
+
+    With `summary`, block -1 gets the number of such keys and the sum of their totals per bucket (int64).
+    """
     kind = "<u4" if short else "<u8"
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -102,6 +105,10 @@ def totals(asked: DataFrame, least: int, short: bool) -> DataFrame:
         total = np.minimum(total, 2**32 - 1).astype("<u4")
         ends = np.cumsum([len(p) for p in parts])
         out = []
+        if summary:
+            sums = np.bincount(at, weights=numbers, minlength=len(distinct))
+            sums = sums[sums >= least]
+            out.append((-1, pdf["bucket"].iloc[0], np.int64(len(sums)).tobytes(), np.int64(sums.sum()).tobytes()))
         for block, bucket, a, b in zip(pdf["block"], pdf["bucket"], np.r_[0, ends[:-1]], ends):
             if (k := keep[a:b]).any():
                 out.append((block, bucket, all_keys[a:b][k].tobytes(), total[a:b][k].tobytes()))

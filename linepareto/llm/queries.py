@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linepareto.llm import bpe, exact_dedup, hash_forest, jaccard, language, line_chunks, main_text, packing, substrings
+from linepareto.llm import attention_lm, bpe, exact_dedup, hash_forest, jaccard, language, line_chunks, main_text, packing, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return attention_lm.scores(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digests(_table(spark, folder, "documents"))
 
@@ -53,7 +57,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_suffix_array_dedup, op4_byte_bpe, op5_html_extraction, op6_exact_dedup, op7_language_id, op8_line_dedup,
+        op1_best_fit_packing, op2_language_model_scores, op3_suffix_array_dedup, op4_byte_bpe, op5_html_extraction, op6_exact_dedup, op7_language_id, op8_line_dedup,
         op9_hash_forest_search, op10_ngram_jaccard_join)}
 
 
