@@ -13,7 +13,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
-from linepareto.llm.repeats import Method, Segments, repeats
+from linepareto.llm.repeats import Method, Segments, changed_texts, repeats
 
 # One in so many places is a cut.
 CUT_EVERY = 3
@@ -87,3 +87,12 @@ def digests(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
     """`without_repeated_lines` with the SHA-256 of the text that is left."""
     columns = {"n_lines": "long", "n_removed": "long", "kept_sha256": "string"}
     return repeats(docs, Method(segments, nothing_more, _digest, columns), n_blocks)
+
+
+def _text(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple:
+    return (_kept(text, starts)[0].decode() if len(starts) else None),
+
+
+def cut_documents(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
+    """Rows of `docs` with the texts that are left, without those left empty; see `changed_texts`."""
+    return changed_texts(docs, Method(segments, nothing_more, _text, {"new_text": "string"}), n_blocks)

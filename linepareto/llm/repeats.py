@@ -20,9 +20,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linepareto.llm.common import ASKED, Totals, ask, block_count, blocked, totals, with_null_ids
+from linepareto.llm.common import ASKED, NO_ID, Totals, ask, block_count, blocked, totals, with_null_ids
 
 # A place is the row's number among rows of its id, then the byte in its text.
 ROW_BITS = np.int64(40)
@@ -121,12 +121,17 @@ def first_places(sent: Sent) -> tuple[Sent, tuple[np.ndarray, np.ndarray, np.nda
             (sent.docs[again], sent.places[again], sent.lengths[again]))
 
 
-def repeats(docs: DataFrame, method: Method, n_blocks: int | None = None) -> DataFrame:
-    """doc_id and `method.columns` per row of `docs`. Null text is empty; an empty table gives none."""
+def repeats(docs: DataFrame, method: Method, n_blocks: int | None = None, row: str | None = None) -> DataFrame:
+    """doc_id and `method.columns` per row of `docs`, with its number among the rows of its id as `row`.
+
+    Null text is empty; an empty table gives none.
+    """
     n_blocks = n_blocks or block_count(docs)
     buckets, shards = n_blocks, SHARDS_PER_BLOCK * n_blocks
     text = blocked(docs, n_blocks)
 
+    extra = [row] if row else []
+
     def keys(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [method.segments(batch) for _, batch in _batches(pdf["text"].tolist())]
         distinct, at = np.unique(np.concatenate([f.key for f in found]), return_inverse=True)
@@ -207,17 +212,37 @@ def repeats(docs: DataFrame, method: Method, n_blocks: int | None = None) -> Dat
             places = p[lo:hi]
             mine = (places >> ROW_BITS) == number
             start = places[mine] & ((np.int64(1) << ROW_BITS) - 1)
-            out.append((doc_id, *method.report(text, start, start + n[lo:hi][mine])))
-        return pd.DataFrame(out, columns=["doc_id", *method.columns])
+            out.append((doc_id, *[number][:len(extra)], *method.report(text, start, start + n[lo:hi][mine])))
+        return pd.DataFrame(out, columns=["doc_id", *extra, *method.columns])
 
     asked = text.groupBy("block").applyInPandas(keys, ASKED)
     answers = totals(asked, least=2, short=True)
     sent = text.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(send, SENT)
     cuts = sent.groupBy("shard").applyInPandas(decide, PLACES)
-    schema = ", ".join(["doc_id long", *(f"{k} {v}" for k, v in method.columns.items())])
+    schema = ", ".join(["doc_id long", *(f"{c} int" for c in extra), *(f"{k} {v}" for k, v in method.columns.items())])
     return with_null_ids(text.groupBy("block").cogroup(cuts.groupBy("block")).applyInPandas(report, schema))
 
 
+def changed_texts(docs: DataFrame, method: Method, n_blocks: int | None = None) -> DataFrame:
+    """`docs` with the same columns and the texts that `method` leaves; rows left without text go.
+
+    `method` reports new_text, null where nothing was cut. n_chars, if there is such a column, follows
+    a changed text. Rows that share an id are told apart by the order of their texts, as places are.
+    """
+    cut = repeats(docs, method, n_blocks, "row").filter("new_text IS NOT NULL")
+    cut = cut.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("cut_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("row", "new_text"))).alias("cuts"))
+    own = F.struct(*docs.columns).alias("own")
+    rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("cut_id"))
+    order = W.partitionBy("cut_id").orderBy(F.coalesce("own.text", F.lit("")).cast("binary"))
+    rows = rows.withColumn("row", F.row_number().over(order) - 1).join(cut, "cut_id", "left")
+    rows = rows.select("own", F.try_element_at("cuts", "row").alias("new_text"))
+    text = F.coalesce("new_text", "own.text")
+    changes = {"text": text, "n_chars": F.when(F.col("new_text").isNull(), F.col("own.n_chars"))
+               .otherwise(F.length("new_text")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": text}
+    return rows.filter(text != "").select(*[changes.get(c, F.col("own")[c]).alias(c) for c in docs.columns])
+
+
 def _later(code: np.ndarray, docs: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Rows whose code stands at an earlier place too."""
     order = np.lexsort((places, docs, code[:, 1], code[:, 0]))

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from linepareto.llm.common import mix
-from linepareto.llm.repeats import Method, Segments, Sent, repeats
+from linepareto.llm.repeats import Method, Segments, Sent, changed_texts, repeats
 
 MIN_BYTES = 100
 GRAM = 32
@@ -75,20 +75,32 @@ def windows(text: bytes, start: int, end: int, size: int = MIN_BYTES) -> tuple[n
     return _hashes(data, size, _BASE), _hashes(data, size, _OTHER)
 
 
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order and sorted keys of at most `bits` bits; packed with their places where both fit one number."""
+    at = max(1, (len(key) - 1).bit_length())
+    if bits + at > 63:
+        order = np.argsort(key)
+        return order, key[order]
+    both = key << at | np.arange(len(key))
+    both.sort()
+    return both & ((1 << at) - 1), both >> at
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of a cyclic text in the order of their first `depth` symbols, by prefix doubling."""
-    n, known = len(symbols), 7  # seven symbols of nine bits make the first key
-    key = np.zeros(n, np.int64)
+    n, (used, dense) = len(symbols), np.unique(symbols, return_inverse=True)
+    width, place = max(1, (len(used) - 1).bit_length()), max(1, (n - 1).bit_length())
+    known = max(1, (63 - place) // width)  # so many symbols make the first key
+    key, bits = np.zeros(n, np.int64), known * width
     for k in range(known):
-        key = key << 9 | np.roll(symbols, -k)
+        key = key << width | np.roll(dense, -k)
     while True:
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
+        order, ranked = _sorted(key, bits)
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
         if known >= depth or rank[order[-1]] == n - 1:
             return order
-        key = rank << 32 | np.roll(rank, -known)
+        key, bits = rank << place | np.roll(rank, -known), 2 * place
         known *= 2
 
 
@@ -106,8 +118,9 @@ def shared_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.nd
         first = np.cumsum(width) - width
         owner = np.repeat(np.arange(len(low)), width)
         place = back[np.arange(len(owner)) - first[owner] + low[owner]]
-        by = np.argsort(place, kind="stable")
-        place, owner = place[by], owner[by]
+        both = place << 32 | owner
+        both.sort()
+        place, owner = both >> 32, both & (2**32 - 1)
         symbol = symbols[order[place]]
         new = np.r_[True, (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])]
         low = place[new]
@@ -181,3 +194,13 @@ def digests(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
     """`repeated_substrings` as figures: n_bytes, n_removed, n_spans, kept_sha256."""
     columns = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
     return repeats(docs, Method(report=_digest, columns=columns, **_STEPS), n_blocks)
+
+
+def _text(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple:
+    """What is left as text; a character cut in the middle goes."""
+    return (report(text, starts, ends)[3].decode(errors="ignore") if len(starts) else None),
+
+
+def cut_documents(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
+    """Rows of `docs` with the texts that are left, without those left empty; see `changed_texts`."""
+    return changed_texts(docs, Method(report=_text, columns={"new_text": "string"}, **_STEPS), n_blocks)
