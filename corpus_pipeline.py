@@ -1,22 +1,53 @@
-"""The corpus pipeline: stages from documents to packed sequences."""
+"""The corpus pipeline: stages from documents to packed sequences.
+
+Every stage takes all that the one before kept and gives back rows of `documents` with the same
+columns; the last one gives the packed pieces. Texts change in the stages that cut them, and n_chars
+with them. A document whose text is cut to nothing leaves. Null texts leave with the first stage.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linepareto.llm import packing
+from linepareto.llm import jaccard, language, line_chunks, packing, substrings
 from linepareto.llm.common import stored
 
+# Documents below this score, or of no known language, leave with the first stage. Clean prose of a
+# learned language scores above 0.4 even in a single short line.
+LEAST_SCORE = 0.1
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model knows; it learns from all labelled documents."""
+    found = language.languages(docs, language.train(docs))
+    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that an earlier place holds."""
+    return line_chunks.cut_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id."""
+    return jaccard.one_of_each_group(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 100-byte strings that an earlier place holds."""
+    return substrings.cut_documents(docs)
+
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document left, in as few sequences of 1024 tokens as best-fit finds."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("best_fit_packing", packed)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("ngram_jaccard_join", near_duplicates),
+          ("suffix_array_dedup", substring_dedup), ("best_fit_packing", best_fit_packing)]
 
-# Language models and hash signatures are not SQL; the stages are tested against brute force.
+# Trained classifiers and rolling hashes are not SQL; tests/llm/test_pipeline.py has brute force.
 ORACLE_SQL = None
 
 

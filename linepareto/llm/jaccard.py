@@ -17,10 +17,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from linepareto.llm import words
-from linepareto.llm.common import ASKED, Totals, ask, block_count, block_of, blocked, stored, texts, totals, with_null_ids
+from linepareto.llm.common import ASKED, NO_ID, Totals, ask, block_count, block_of, blocked, stored, texts, totals, with_null_ids
 from linepareto.llm.components import components
 
 # Similarity as a ratio of whole numbers.
@@ -35,16 +35,20 @@ def _key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+
+
 def sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node): size and 128-bit key of every row's shingle set."""
+    """(doc_id, text_key, n, node): size and 128-bit key of every row's shingle set."""
     def run(batches):
         for batch in batches:
             found = [words.shingles(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()),
-                 pa.array([_key(s) for s in found], pa.binary())], names=["doc_id", "n", "node"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in found], pa.int64()),
+                 pa.array([_key(s) for s in found], pa.binary())], names=["doc_id", "text_key", "n", "node"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, node binary")
+    return texts(docs, _text_key()).mapInArrow(run, "doc_id long, text_key long, n long, node binary")
 
 
 def _first_of_each(pdf: pd.DataFrame, wanted: set[bytes]):
@@ -145,6 +149,21 @@ def linked(node: DataFrame) -> DataFrame:
     return roots
 
 
+def groups(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
+    """(doc_id, text_key, n, root, component_id) per row; the root is null for rows without shingles."""
+    n_blocks = n_blocks or block_count(docs)
+    members = stored(sets(docs), "sets")
+    classes = stored(members.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "classes")
+    roots = linked(stored(nodes(docs, classes, n_blocks), "nodes"))
+    of_class = classes.filter("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lowest = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    found = of_class.join(lowest, "root").select("node", "root", "component_id")
+    some = members.filter("n > 0").join(found, "node").select("doc_id", "text_key", "n", "root", "component_id")
+    none = members.filter("n = 0").select("doc_id", "text_key", "n", F.lit(None).cast("binary").alias("root"),
+                                          F.col("doc_id").alias("component_id"))
+    return some.union(none)
+
+
 def similar_documents(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of `docs`.
 
@@ -153,13 +172,20 @@ def similar_documents(docs: DataFrame, n_blocks: int | None = None) -> DataFrame
     shingle and stands alone; one with fewer words is one shingle. A null id is smaller than others;
     repeated rows link with each other. An empty table gives no rows.
     """
-    n_blocks = n_blocks or block_count(docs)
-    members = stored(sets(docs), "sets")
-    classes = stored(members.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "classes")
-    roots = linked(stored(nodes(docs, classes, n_blocks), "nodes"))
-    of_class = classes.filter("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = of_class.join(lowest, "root").select("node", "component_id")
-    some = members.filter("n > 0").join(found, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    none = members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return with_null_ids(some.union(none), "doc_id", "component_id")
+    return with_null_ids(groups(docs, n_blocks), "doc_id", "component_id").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, n_blocks: int | None = None) -> DataFrame:
+    """Rows of `docs`: of every group of `similar_documents` one row with the smallest id.
+
+    Rows without shingles all stay. Of rows that share id and text one stays.
+    """
+    found = groups(docs, n_blocks)
+    first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select("f.*")
+    stay = stored(first.union(found.filter("root IS NULL").select("doc_id", "text_key")).distinct(), "representatives")
+    own = F.struct(*docs.columns).alias("own")
+    rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), _text_key())
+    same = W.partitionBy("doc_id", "text_key").orderBy(F.lit(0))
+    rows = rows.join(stay, ["doc_id", "text_key"], "left_semi").withColumn("copy", F.row_number().over(same))
+    return rows.filter("copy = 1").select("own.*")
