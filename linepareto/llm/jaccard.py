@@ -6,8 +6,8 @@ n - ceil(t n) + 1. Nodes meet on those; length, positional and suffix filters co
 themselves are compared, once per pair.
 
 The result is the components of the links. Within a prefix shingle's group, nodes that are already
-connected need no comparison, so each group is first compared with one of its members, twice, and
-only what is still unconnected after that is joined with the rest of its group. A group of copies,
+connected need no comparison, so each group is first compared with single members, the most typical
+one first, and only what is still unconnected after that is joined with the rest of its group. A group of copies,
 however large, costs a few comparisons per member.
 """
 
@@ -28,7 +28,7 @@ ABOVE, BELOW = 4, 5
 # Ranges of the hash space whose counts bound an overlap.
 RANGES = 16
 STARS = 2
-NODE = "node binary, n int, grams array<long>, spots array<int>, ranges array<int>, shingles array<long>"
+NODE = "node binary, n int, common int, grams array<long>, spots array<int>, ranges array<int>, shingles array<long>"
 
 
 def _key(shingles: np.ndarray) -> bytes:
@@ -83,51 +83,54 @@ def nodes(docs: DataFrame, classes: DataFrame, n_blocks: int) -> DataFrame:
             shared = np.flatnonzero(seen[order] >= 2)
             if len(shared):
                 ranges = np.bincount((found >> np.uint64(60)).astype(np.int64), minlength=RANGES)
-                out.append((key, n, found[order[shared]].view(np.int64), shared.astype(np.int32),
+                out.append((key, n, int(1000 * (seen >= 2).mean()), found[order[shared]].view(np.int64), shared.astype(np.int32),
                             ranges.astype(np.int32), found.view(np.int64)))
-        return pd.DataFrame(out, columns=["node", "n", "grams", "spots", "ranges", "shingles"])
+        return pd.DataFrame(out, columns=["node", "n", "common", "grams", "spots", "ranges", "shingles"])
 
     asked = text.groupBy("block").cogroup(wanted.groupBy("block")).applyInPandas(keys, ASKED)
     answers = totals(asked, least=2, short=True).union(wanted)
     return text.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(prefixes, NODE)
 
 
-def _may_link(n: Column, spot: Column, m: Column, other: Column) -> Column:
-    """Length filter, and positional filter for a shared shingle at these places."""
-    rest = F.least(n - spot, m - other)
-    return (BELOW * F.least(n, m) >= ABOVE * F.greatest(n, m)) & (rest * (ABOVE + BELOW) >= ABOVE * (n + m))
+def _may_link() -> Column:
+    """Length filter, positional filter for the shared shingle's places, and suffix filter for a joined pair.
+
+    The suffix filter counts both sets by ranges of the hash space: what the counts differ by is not shared.
+    """
+    n, m = F.col("n"), F.col("m_n")
+    rest = F.least(n - F.col("spot"), m - F.col("m_spot"))
+    apart = F.aggregate(F.zip_with("ranges", "m_ranges", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return ((BELOW * F.least(n, m) >= ABOVE * F.greatest(n, m)) & (rest * (ABOVE + BELOW) >= ABOVE * (n + m))
+            & ((n + m - apart) * (ABOVE + BELOW) >= 2 * ABOVE * (n + m)))
 
 
 def links(pairs: DataFrame, node: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    small, large = node.select("node", "n", "ranges"), node.select("node", "shingles")
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(name if c == "node" else f"{name}_{c}") for c in df.columns])
+    def side(name: str) -> DataFrame:
+        return node.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_shingles"))
 
-    both = pairs.join(side(small, "a"), "a").join(side(small, "b"), "b")
-    apart = F.aggregate(F.zip_with("a_ranges", "b_ranges", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    total = F.col("a_n") + F.col("b_n")
-    # n + m - distance is twice the most that can be shared
-    both = both.filter((total - apart) * (ABOVE + BELOW) >= 2 * ABOVE * total).select("a", "b", total.alias("total"))
-    both = both.join(side(large, "a"), "a").join(side(large, "b"), "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    total = F.size("a_shingles") + F.size("b_shingles")
     shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    return both.filter(shared * (ABOVE + BELOW) >= ABOVE * F.col("total")).select("a", "b")
+    return both.filter(shared * (ABOVE + BELOW) >= ABOVE * total).select("a", "b")
+
+
+_SIDE = ("node", "n", "spot", "root", "ranges")
 
 
 def linked(node: DataFrame) -> DataFrame:
     """(node, root) of all nodes that have a link."""
-    rows = node.select("node", "n", F.explode(F.arrays_zip("grams", "spots")).alias("g")).select(
-        "node", "n", F.col("g.grams").alias("gram"), F.col("g.spots").alias("spot"))
+    rows = node.select("node", "n", "common", "ranges", F.explode(F.arrays_zip("grams", "spots")).alias("g")).select(
+        "node", "n", "common", "ranges", F.col("g.grams").alias("gram"), F.col("g.spots").alias("spot"))
     tested = edges = roots = None
     for turn in range(STARS + 1):
         at = rows.withColumn("root", F.col("node")) if roots is None else \
             rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if turn < STARS:
-            one = F.struct("node", "n", "spot", "root")
-            groups = at.groupBy("gram").agg(F.min_by(one, F.xxhash64("node", F.lit(turn))).alias("m"),
+        if turn < STARS:  # the member with the largest share of common shingles, then others
+            choice = F.struct(F.col("common") if turn == 0 else F.lit(0), F.xxhash64("node", F.lit(turn)))
+            groups = at.groupBy("gram").agg(F.max_by(F.struct(*_SIDE), choice).alias("m"),
                                             F.min("root").alias("low"), F.max("root").alias("high"))
-            other = groups.filter("low != high").select("gram", *[F.col(f"m.{c}").alias(f"m_{c}") for c in ("node", "n", "spot", "root")])
+            other = groups.filter("low != high").select("gram", *[F.col(f"m.{c}").alias(f"m_{c}") for c in _SIDE])
             left = at
         else:  # whatever is not in its group's largest component, with all others of the group
             parts = at.groupBy("gram", "root").count()
@@ -135,9 +138,8 @@ def linked(node: DataFrame) -> DataFrame:
                                              F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("gram", "main")
             open_rows = at.join(main, "gram")
             left = open_rows.filter("root != main").drop("main")
-            other = open_rows.select("gram", *[F.col(c).alias(f"m_{c}") for c in ("node", "n", "spot", "root")])
-        pairs = left.join(other, "gram").filter(
-            (F.col("root") != F.col("m_root")) & _may_link(F.col("n"), F.col("spot"), F.col("m_n"), F.col("m_spot")))
+            other = open_rows.select("gram", *[F.col(c).alias(f"m_{c}") for c in _SIDE])
+        pairs = left.join(other, "gram").filter((F.col("root") != F.col("m_root")) & _may_link())
         pairs = pairs.select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
