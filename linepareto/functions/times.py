@@ -23,7 +23,9 @@ def instant_literal(value: datetime) -> Column:
 
 
 def to_local(as_of: datetime, tz: str) -> datetime:
-    """The plant's wall clock at an instant."""
+    """The plant's wall clock at an instant, which needs its zone: the host's says nothing about a plant."""
+    if as_of.tzinfo is None:
+        raise ValueError(f"an instant with its time zone is needed, not {as_of}")
     return as_of.astimezone(ZoneInfo(tz)).replace(tzinfo=None)
 
 

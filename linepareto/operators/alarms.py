@@ -29,41 +29,53 @@ def _order(alarms: DataFrame) -> list[str]:
     return ["activated_at", *ties]
 
 
-# Time slices alarms are ordered in, finest first.
-SLICES = ("1 minute", "1 day")
+# Seconds of the time slices alarms are ordered in, finest first; each divides the next.
+SLICES = (60, 86_400)
 
 
-def _previous(rows: DataFrame, time: str, order: Sequence[str], value: str, result: str,
-              slices: Sequence[str]) -> DataFrame:
-    """Add `value` of the row before, per source.
+def _seconds(rows: DataFrame, time: str) -> Column:
+    """Whole seconds since 1970 of an instant, or of a zone-less time as it stands; null stays null."""
+    t = F.col(time)
+    if not is_ntz(rows, time):
+        return F.unix_seconds(t)
+    days = F.datediff(F.to_date(t), F.to_date(F.lit("1970-01-01"))).cast("long")
+    return days * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
+def _previous(rows: DataFrame, at: Column, order: Sequence[str], value: str, result: str,
+              slices: Sequence[int]) -> DataFrame:
+    """Add `value` of the row before, per source; `at` is the second a row belongs to.
 
     Rows are ordered within slices of time, so a busy source is spread over many tasks. The
     first row of a slice takes the last value of the source's slice before, which is found the
-    same way among the last rows of all slices, in the next coarser slices.
+    same way among the last rows of all slices, in the next coarser slices. Rows without a source
+    are a source of their own, rows without a time the earliest slice, as a plain order has them.
     """
     if not slices:
         whole = Window.partitionBy("alarm_source").orderBy(*order)
         return rows.withColumn(result, F.lag(value).over(whole))
-    at, last, carried = f"_slice{len(slices)}", f"_last{len(slices)}", f"_carried{len(slices)}"
-    sliced = rows.withColumn(at, F.window(time, slices[0])["start"])
-    inside = Window.partitionBy("alarm_source", at).orderBy(*order)
+    name, last, carried = f"_slice{len(slices)}", f"_last{len(slices)}", f"_carried{len(slices)}"
+    sliced = rows.withColumn(name, F.floor(at / slices[0]))
+    inside = Window.partitionBy("alarm_source", name).orderBy(*order)
     local = sliced.withColumns({"_first": F.row_number().over(inside) == 1,
                                 result: F.lag(value).over(inside)})
-    ends = sliced.groupBy("alarm_source", at).agg(F.max_by(value, F.struct(*order)).alias(last))
-    ends = _previous(ends, at, [at], last, carried, slices[1:]).select("alarm_source", at, carried)
-    joined = local.join(ends, ["alarm_source", at], "left")
+    ends = sliced.groupBy("alarm_source", name).agg(F.max_by(value, F.struct(*order)).alias(last))
+    ends = _previous(ends, F.col(name) * slices[0], [name], last, carried, slices[1:]).select(
+        F.col("alarm_source").alias("_source"), F.col(name).alias("_at"), carried)
+    joined = local.join(ends, F.col("alarm_source").eqNullSafe(F.col("_source")) & F.col(name).eqNullSafe(F.col("_at")),
+                        "left")
     found = F.when(F.col("_first"), F.col(carried)).otherwise(F.col(result))
-    return joined.withColumn(result, found).drop(at, carried, "_first")
+    return joined.withColumn(result, found).drop(name, carried, "_first", "_source", "_at")
 
 
-def with_prev_cleared(alarms: DataFrame, slices: Sequence[str] = SLICES) -> DataFrame:
+def with_prev_cleared(alarms: DataFrame, slices: Sequence[int] = SLICES) -> DataFrame:
     """Add times of the alarm before, per source, in order of activation.
 
     Adds `prev_activated_at` (null: no alarm before) and `prev_cleared_at` (null as well if
     that alarm never cleared).
     """
     times = alarms.withColumn("_times", F.struct("activated_at", "cleared_at"))
-    found = _previous(times, "activated_at", _order(alarms), "_times", "_prev", slices)
+    found = _previous(times, _seconds(alarms, "activated_at"), _order(alarms), "_times", "_prev", slices)
     return found.select(*alarms.columns, F.col("_prev.activated_at").alias("prev_activated_at"),
                         F.col("_prev.cleared_at").alias("prev_cleared_at"))
 
@@ -74,7 +86,7 @@ def gap_passed(gap: str) -> Column:
     return later | F.col("prev_cleared_at").isNull()
 
 
-def debounce(alarms: DataFrame, gap: str = "30 seconds", slices: Sequence[str] = SLICES) -> DataFrame:
+def debounce(alarms: DataFrame, gap: str = "30 seconds", slices: Sequence[int] = SLICES) -> DataFrame:
     """Alarms that do not follow the one before of their source too closely.
 
     Filter by source, time and priority before, by description after: an alarm of another

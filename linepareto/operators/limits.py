@@ -1,8 +1,9 @@
 """Limit violations: measurement records against a table of limits.
 
 A limit names a station, a parameter (exactly or by pattern), optionally a work location,
-and an inclusive pass band. A record violates if any limit that applies to it is exceeded.
-The join is a left semi join, so a record two limits apply to is kept once.
+and an inclusive pass band, open on a side without a bound. A record violates if any limit that
+applies to it is exceeded. All limits of a station and parameter are one row with an array of
+bands, so the join adds no rows and a record two limits apply to is kept once.
 """
 
 from __future__ import annotations
@@ -11,15 +12,13 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linepareto import schemas
-from linepareto.operators.skew import spread_lookup
 
-# Limit sets up to this size travel to every task; larger ones are shuffled.
+# Local limits up to this number are broadcast; more are joined by shuffle.
 MAX_LOCAL_LIMITS = 10_000
-# Pattern limits up to this number are written into the predicate; more are joined.
+# Pattern limits up to this number are written into the predicate; more are resolved to names first.
 MAX_PATTERNS = 200
 
 
@@ -27,20 +26,21 @@ class Limit(NamedTuple):
     station_name: str
     match_mode: str  # 'eq' or 'ilike'
     pattern: str
-    work_location_id: int | None  # None: any location
-    lo: float
-    hi: float
+    work_location_id: int | None  # None or 0: any location
+    lo: float | None  # None: no bound on this side
+    hi: float | None
     variant: str | None = None
 
 
 def for_variant(limits: Sequence[Limit], variant: str | None = None) -> tuple[Limit, ...]:
-    """The base limits, those of `variant` in place of the ones they redefine."""
+    """The base limits, those of `variant` in place of the ones they redefine, as base limits."""
     def scope(limit):
-        return limit[:4]
+        return (*limit[:3], limit.work_location_id or None)
 
     special = [x for x in limits if x.variant is not None and x.variant == variant]
     replaced = {scope(x) for x in special}
-    return tuple([x for x in limits if x.variant is None and scope(x) not in replaced] + special)
+    return tuple([x for x in limits if x.variant is None and scope(x) not in replaced]
+                 + [x._replace(variant=None) for x in special])
 
 
 class LimitCheck(NamedTuple):
@@ -52,26 +52,34 @@ class LimitCheck(NamedTuple):
     location: str = "id"  # a limit's work location against the record's 'id' or two-digit 'name'
 
 
+BOUNDS = """_station_name string, _match_mode string, _pattern string, _work_location_id int, _lo double, _hi double,
+ _value string, _status string, _location string"""
+_SCOPE = ("station_name", "match_mode", "pattern", "work_location_id")
+_BAND = ("_work_location_id", "_lo", "_hi", "_value", "_status", "_location")
+
+
 def limits_frame(spark: SparkSession, checks: Sequence[LimitCheck]) -> DataFrame:
-    """Limits as a relation whose exact size Spark knows at plan time."""
-    rows = [(*limit[:-1], check.value, check.status, check.location)
-            for check in checks for limit in check.limits]
-    columns = list(zip(*rows)) if rows else [[]] * len(_COLUMNS)
-    arrays = [pa.array(list(values), kind) for values, kind in zip(columns, _COLUMNS.values())]
-    return spark.createDataFrame(pa.table(arrays, names=list(_COLUMNS)))
+    """Local limits as a relation; work location 0 is any, as null is."""
+    rows = [(x.station_name, x.match_mode, x.pattern, x.work_location_id or None, _float(x.lo), _float(x.hi),
+             check.value, check.status, check.location) for check in checks for x in check.limits]
+    return spark.createDataFrame(rows, BOUNDS)
 
 
-_COLUMNS = {"_station_name": pa.string(), "_match_mode": pa.string(), "_pattern": pa.string(),
-            "_work_location_id": pa.int32(), "_lo": pa.float64(), "_hi": pa.float64(),
-            "_value": pa.string(), "_status": pa.string(), "_location": pa.string()}
+def _float(bound: float | None) -> float | None:
+    return None if bound is None else float(bound)
 
 
-def load_limits(limits: DataFrame) -> tuple[Limit, ...] | DataFrame:
-    """A limits table as local rows if it is small, else the table itself."""
-    rows = limits.select(*schemas.LIMITS.names).limit(MAX_LOCAL_LIMITS + 1).collect()
-    if len(rows) > MAX_LOCAL_LIMITS:
-        return limits
-    return tuple(Limit(*row) for row in rows)
+def table_bounds(limits: DataFrame, check: LimitCheck, variant: str | None = None) -> DataFrame:
+    """A limits table as `limits_frame` gives local ones: base rows, those that `variant` redefines replaced."""
+    own = limits.select(*schemas.LIMITS.names).withColumn("work_location_id", F.nullif("work_location_id", F.lit(0)))
+    chosen = own.filter("variant IS NULL")
+    if variant is not None:
+        special = own.filter(F.col("variant") == variant)
+        scopes = special.select(*[F.col(c).alias(f"_{c}") for c in _SCOPE]).distinct()
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _SCOPE])
+        chosen = chosen.join(scopes, same, "left_anti").union(special)
+    return chosen.select(*[F.col(c).alias(f"_{c}") for c in (*_SCOPE, "lo", "hi")], F.lit(check.value).alias("_value"),
+                         F.lit(check.status).alias("_status"), F.lit(check.location).alias("_location"))
 
 
 def might_violate(check: LimitCheck, loose: bool = False) -> Column:
@@ -84,13 +92,15 @@ def might_violate(check: LimitCheck, loose: bool = False) -> Column:
     if all(x.match_mode == "eq" for x in limits):
         possible &= F.col("parameter_name").isin(sorted({x.pattern for x in limits}))
     if check.value == "num" and limits:
-        possible &= ((F.col("parameter_value_num") < max(x.lo for x in limits))
-                     | (F.col("parameter_value_num") > min(x.hi for x in limits)))
+        number = F.col("parameter_value_num")
+        low, high = [x.lo for x in limits if x.lo is not None], [x.hi for x in limits if x.hi is not None]
+        possible &= _any([number < max(low)] * bool(low) + [number > min(high)] * bool(high))
     return possible
 
 
 def _any(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+    conditions = list(conditions)
+    return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
 def _at_station(name: str, loose: bool) -> Column:
@@ -105,111 +115,141 @@ def _located(location: str, limit_location: Column) -> Column:
     return F.col("work_location_name") == F.lpad(limit_location.cast("string"), 2, "0")
 
 
-def _pattern_violated(check: LimitCheck, loose: bool) -> Column:
-    """The pattern limits as one predicate: constant patterns are compiled once."""
+def _predicate(check: LimitCheck, limits: Sequence[Limit], loose: bool) -> Column:
+    """Limits as one predicate: constant patterns are compiled once."""
     value = F.col("_measured" if check.value == "raw" else "parameter_value_num")
     violated = []
-    for limit in check.limits:
-        if limit.match_mode == "eq":
-            continue
-        applies = (_at_station(limit.station_name, loose)
-                   & F.col("parameter_name").ilike(limit.pattern))
-        if limit.work_location_id is not None:
+    for limit in limits:
+        name = F.col("parameter_name")
+        applies = _at_station(limit.station_name, loose) & (
+            name == limit.pattern if limit.match_mode == "eq" else name.ilike(limit.pattern))
+        if limit.work_location_id:
             applies &= _located(check.location, F.lit(limit.work_location_id))
         if check.status is not None:
             applies &= F.col("overall_process_status") == check.status
-        violated.append(applies & ((value < limit.lo) | (value > limit.hi)))
+        sides = [value < limit.lo] * (limit.lo is not None) + [value > limit.hi] * (limit.hi is not None)
+        violated.append(applies & _any(sides))
     return _any(violated)
 
 
-def _choose(options: dict[str, Column], used: set[str], column: str) -> Column:
-    """The option a limit's `column` names; a plain one if only one is used."""
+def _choose(options: dict[str, Column], used: set[str], chosen: Column) -> Column:
+    """The option `chosen` names; a plain one if only one is used."""
     if len(used) == 1:
-        return options[used.pop()]
+        return options[next(iter(used))]
     first, second = options
-    return F.when(F.col(column) == first, options[first]).otherwise(options[second])
-
-
-def _violated(checks: Sequence[LimitCheck], any_location: bool, any_status: bool) -> Column:
-    """Range, location and status conditions of a joined limit row."""
-    def outside(measured: str) -> Column:
-        return (F.col(measured) < F.col("_lo")) | (F.col(measured) > F.col("_hi"))
-
-    violated = _choose({"raw": outside("_measured"), "num": outside("parameter_value_num")},
-                       {c.value for c in checks}, "_value")
-    if not any_location:
-        here = _choose({kind: _located(kind, F.col("_work_location_id")) for kind in ("id", "name")},
-                       {c.location for c in checks}, "_location")
-        violated &= F.col("_work_location_id").isNull() | here
-    if not any_status:
-        violated &= F.col("_status").isNull() | (F.col("overall_process_status") == F.col("_status"))
+    return F.when(chosen == first, options[first]).otherwise(options[second])
+
+
+def _band_violated(values: set[str], locations: set[str]):
+    """The test of one band of a record's array."""
+    def outside(measured: str, band: Column) -> Column:
+        below, above = F.col(measured) < band["_lo"], F.col(measured) > band["_hi"]
+        return F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False))
+
+    def violated(band: Column) -> Column:
+        here = _choose({kind: _located(kind, band["_work_location_id"]) for kind in ("id", "name")}, locations,
+                       band["_location"])
+        measured = _choose({"raw": outside("_measured", band), "num": outside("parameter_value_num", band)}
+                           if "raw" in values else {"num": outside("parameter_value_num", band)}, values, band["_value"])
+        return (measured & (band["_work_location_id"].isNull() | F.coalesce(here, F.lit(False)))
+                & (band["_status"].isNull() | F.coalesce(F.col("overall_process_status") == band["_status"], F.lit(False))))
+
     return violated
 
 
-def _measured(records: DataFrame, checks: Sequence[LimitCheck]) -> DataFrame:
-    if any(c.value == "raw" for c in checks):
-        return records.withColumn("_measured", F.col("parameter_value_raw").try_cast("double"))
-    return records
+def _measured(records: DataFrame, values: set[str]) -> DataFrame:
+    return records.withColumn("_measured", F.col("parameter_value_raw").try_cast("double")) if "raw" in values else records
 
 
-EXACT = "station_name = _station_name AND parameter_name = _pattern"
-EXACT_LOOSE = "contains(lower(station_name), lower(_station_name)) AND parameter_name = _pattern"
-EXACT_OR_PATTERN = """station_name = _station_name AND ((_match_mode = 'eq' AND parameter_name = _pattern)
-                      OR (_match_mode = 'ilike' AND parameter_name ILIKE _pattern))"""
+def _resolve(records: DataFrame, bounds: DataFrame, loose: bool) -> DataFrame:
+    """Limits by exact station and parameter: every limit once for each pair of the log that it applies to.
+
+    The distinct pairs are few against the log; a pattern is tested once per pair, not per record.
+    """
+    pairs = records.select("station_name", "parameter_name").distinct()
+    exact = F.col("parameter_name") == F.col("_pattern")
+    pattern = F.like(F.lower("parameter_name"), F.lower("_pattern"))
+    if not loose:
+        return pairs.join(bounds.filter("_match_mode <> 'eq'"), (F.col("station_name") == F.col("_station_name")) & pattern) \
+            .select("station_name", "parameter_name", *_BAND) \
+            .union(bounds.filter("_match_mode = 'eq'").select("_station_name", "_pattern", *_BAND))
+    stations = pairs.select("station_name").distinct()
+    near = stations.join(bounds.select("_station_name").distinct(), F.contains(F.lower("station_name"), F.lower("_station_name")))
+    spread = bounds.join(near, "_station_name")
+    named = spread.filter("_match_mode <> 'eq'").join(pairs, "station_name").filter(pattern)
+    return named.select("station_name", "parameter_name", *_BAND).union(
+        spread.filter("_match_mode = 'eq'").select("station_name", "_pattern", *_BAND))
+
+
+def _bands(rows: DataFrame) -> DataFrame:
+    """One row per station and parameter."""
+    station, name, *band = rows.columns
+    return rows.groupBy(F.col(station).alias("_station_name"), F.col(name).alias("_pattern")).agg(
+        F.collect_list(F.struct(*[F.col(own).alias(c) for own, c in zip(band, _BAND)])).alias("_bands"))
+
+
+def _local_bands(spark: SparkSession, checks: Sequence[LimitCheck]) -> DataFrame:
+    """The same for local limits: a relation whose size Spark knows at plan time."""
+    grouped: dict[tuple[str, str], list] = {}
+    for check in checks:
+        for x in check.limits:
+            if x.match_mode == "eq":
+                grouped.setdefault((x.station_name, x.pattern), []).append(
+                    (x.work_location_id or None, _float(x.lo), _float(x.hi), check.value, check.status, check.location))
+    band = "struct<_work_location_id:int,_lo:double,_hi:double,_value:string,_status:string,_location:string>"
+    return spark.createDataFrame([(*key, bands) for key, bands in grouped.items()],
+                                 f"_station_name string, _pattern string, _bands array<{band}>")
+
+
+def _violating(records: DataFrame, bands: DataFrame, values: set[str], locations: set[str], beside: Column) -> DataFrame:
+    """Records outside a band of their station and parameter, or for which `beside` holds."""
+    own = (F.col("station_name") == F.col("_station_name")) & (F.col("parameter_name") == F.col("_pattern"))
+    outside = F.coalesce(F.exists("_bands", _band_violated(values, locations)), F.lit(False))
+    found = records.join(bands, own, "left").filter(outside | F.coalesce(beside, F.lit(False)))
+    return found.drop("_station_name", "_pattern", "_bands", "_measured")
 
 
 def check_violations(records: DataFrame, checks: Sequence[LimitCheck], loose_stations: bool = False) -> DataFrame:
     """Records outside a limit that applies to them, for several checks in one scan.
 
-    The text value counts where it is a number and is never a violation elsewhere. Exact limits
-    are a broadcast hash join on station and parameter, their number being known; the few
-    pattern limits a predicate beside it. With `loose_stations` a limit applies to all stations
-    with its own in their name; the hash join is on the parameter then.
+    The text value counts where it is a number and is never a violation elsewhere. Exact limits are
+    joined on station and parameter, by broadcast where their number, which is known, allows; the few
+    pattern limits are a predicate beside it, many are resolved to the names of the log first. With
+    `loose_stations` a limit applies to all stations with its own in their name, resolved the same way.
+    A stream cannot be read for its names: patterns and loose stations are predicates there.
     """
     limits = [x for c in checks for x in c.limits]
-    violated = _violated(checks, all(x.work_location_id is None for x in limits),
-                         all(c.status is None for c in checks))
-    bounds = limits_frame(records.sparkSession, checks)
+    values, locations = {c.value for c in checks}, {c.location for c in checks}
+    if not limits:
+        return records.filter(F.lit(False))
+    kept = records.filter(_any(might_violate(c, loose_stations) for c in checks)) if len(limits) <= MAX_LOCAL_LIMITS else records
+    measured = _measured(kept, values)
     patterns = sum(x.match_mode != "eq" for x in limits)
-    if len(limits) > MAX_LOCAL_LIMITS:
-        if loose_stations:
-            raise ValueError("loose station names need a limit set that fits into every task")
-        return _spread(_measured(records, checks), bounds, violated)
-
-    possible = _any(might_violate(c, loose_stations) for c in checks)
-    kept = _measured(records.filter(possible), checks)
-    exactly = F.expr(EXACT_LOOSE if loose_stations else EXACT) & violated
-    if not patterns:
-        found = kept.join(F.broadcast(bounds), exactly, "left_semi")
-    elif loose_stations or (patterns <= MAX_PATTERNS and not records.isStreaming):
-        matched = bounds.filter("_match_mode = 'eq'").filter(exactly.outer()).exists()
-        found = kept.filter(_any(_pattern_violated(c, loose_stations) for c in checks) | matched)
-    else:
-        found = kept.join(F.broadcast(bounds), F.expr(EXACT_OR_PATTERN) & violated, "left_semi")
-    return found.drop("_measured")
-
-
-def _spread(records: DataFrame, bounds: DataFrame, violated: Column) -> DataFrame:
-    names = F.expr(EXACT_OR_PATTERN)
-    return spread_lookup(records, bounds, {"station_name": "_station_name"},
-                         ["product_serial", "parameter_name", "recorded_at"], names & violated,
-                         "left_semi").drop("_measured")
+    if records.isStreaming and loose_stations:
+        return measured.filter(_any(_predicate(c, c.limits, True) for c in checks)).drop("_measured")
+    if not records.isStreaming and (loose_stations or patterns > MAX_PATTERNS):
+        bands = _bands(_resolve(kept, limits_frame(records.sparkSession, checks), loose_stations))
+        return _violating(measured, bands, values, locations, F.lit(False))
+    bands = _local_bands(records.sparkSession, checks)
+    beside = _any(_predicate(c, [x for x in c.limits if x.match_mode != "eq"], False) for c in checks)
+    return _violating(measured, F.broadcast(bands) if len(limits) <= MAX_LOCAL_LIMITS else bands, values, locations, beside)
 
 
 def limit_violations(records: DataFrame, limits: Sequence[Limit] | DataFrame, value: str = "raw",
-                     status: str | None = None, location: str = "id") -> DataFrame:
-    """Records outside a limit that applies to them.
+                     status: str | None = None, location: str = "id", variant: str | None = None,
+                     loose_stations: bool = False) -> DataFrame:
+    """Records outside a limit that applies to them: the base limits, or those of `variant` in their place.
 
-    Local limits are broadcast, their number being known; a limits table of any size is
-    joined by shuffle, its stations spread over several tasks.
+    Local limits are broadcast, their number being known; a limits table of any size (batch only) is
+    resolved to stations and parameters and joined by shuffle.
     """
+    check = LimitCheck((), value, status, location)
     if not isinstance(limits, DataFrame):
-        return check_violations(records, [LimitCheck(tuple(limits), value, status, location)])
-    bounds = limits.select(*[F.col(c).alias(f"_{c}") for c in schemas.LIMITS.names[:-1]])
-    checks = [LimitCheck((), value, None, location)]
+        return check_violations(records, [check._replace(limits=for_variant(limits, variant))], loose_stations)
+    bands = _bands(_resolve(records, table_bounds(limits, check, variant), loose_stations))
     if status is not None:
         records = records.filter(F.col("overall_process_status") == status)
-    return _spread(_measured(records, checks), bounds, _violated(checks, False, True))
+    return _violating(_measured(records, {value}), bands, {value}, {location}, F.lit(False))
 
 
 def status_fails(records: DataFrame, station: str, parameter: str, parameter_id: int,

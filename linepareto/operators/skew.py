@@ -4,41 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot from this share of the rows on, if it also has this many rows.
-HOT_SHARE = 1 / 500
+# A key is hot from this number of rows on; it is spread over one task per so many rows.
 HOT_ROWS = 1_000_000
-FAN = 64
+# Keys the sketch tells apart and the most it reports.
+TRACKED = 65_536
+REPORTED = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> DataFrame:
-    """Keys too frequent for one task, found with a fixed-size sketch.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys too frequent for one task with their `_fan`, found with a fixed-size sketch.
 
     One scan of the key column; the shuffle moves one sketch per task and the result has at
-    most 1000 rows. The sketch only chooses where `spread_join` splits, never which rows join.
+    most REPORTED rows. The sketch only chooses where `spread_join` splits, never which rows join.
     """
     top = df.filter(F.col(key).isNotNull()).selectExpr(key).groupBy().agg(
-        F.expr(f"approx_top_k({key}, 1000, 16384)").alias("top"), F.count("*").alias("total"))
-    hot = top.select(F.inline("top"), "total")
-    return hot.filter((F.col("count") >= min_rows) & (F.col("count") >= F.col("total") * share)) \
-              .select(F.col("item").alias(key))
+        F.expr(f"approx_top_k({key}, {REPORTED}, {TRACKED})").alias("top"))
+    return top.select(F.inline("top")).filter(F.col("count") >= min_rows).select(
+        F.col("item").alias(key), F.ceil(F.col("count") / min_rows).cast("int").alias("_fan"))
 
 
-def _salt(spread_by: list[str], fan: int) -> Column:
-    return F.pmod(F.xxhash64(*spread_by), F.lit(fan)).cast("int")
+def spread_join(left: DataFrame, right: DataFrame, key: str, spread_by: list[str], hot: DataFrame) -> DataFrame:
+    """Inner equi join whose hot left keys are spread over their `_fan` tasks.
 
-
-def spread_join(left: DataFrame, right: DataFrame, key: str, spread_by: list[str],
-                hot: DataFrame, fan: int = FAN) -> DataFrame:
-    """Inner equi join whose hot left keys are spread over `fan` tasks.
-
-    `right` must have few rows per key (pre-aggregated): its rows are copied `fan` times for
-    the hot keys and kept single for all others. The result equals the plain join.
+    `right` must have few rows per key (pre-aggregated): its rows are copied for the hot keys and
+    kept single for all others. The result equals the plain join.
     """
-    marked = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
-    left = left.join(marked, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), _salt(spread_by, fan)).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    right = right.join(marked, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    marked = F.broadcast(hot.select(key, "_fan"))
+    fan = F.coalesce("_fan", F.lit(1))
+    left = left.join(marked, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), fan).cast("int")).drop("_fan")
+    right = right.join(marked, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_fan")
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
@@ -50,7 +44,7 @@ def spread_lookup(left: DataFrame, dimension: DataFrame, on: dict[str, str], spr
     every key spread over `fan` tasks so that no hot key lands in one of them. `on` maps left
     to dimension columns.
     """
-    left = left.withColumn("_salt", _salt(spread_by, fan))
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(fan)).cast("int"))
     copied = dimension.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))))
     match = F.col("_salt") == F.col("_copy")
     for ours, theirs in on.items():

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from linepareto import schemas
 from linepareto.functions.text import icontains, key_after, short_pair_name
 from linepareto.functions.times import after, due, hour_floor, plant_time, since, since_local
 from linepareto.operators import alarms as al, genealogy as gen, pareto
@@ -20,7 +21,7 @@ from linepareto.session import shared_folder
 from linepareto.sources import driver_data
 from linepareto.sources.tables import LineTables
 from linepareto.streaming.counts import stream_units
-from linepareto.streaming.debounce import start_debounce
+from linepareto.streaming.debounce import finish_debounce, start_debounce
 from linepareto.streaming.runs import run_available, start_reports
 
 VISION = (
@@ -46,6 +47,10 @@ PATTERNS = (
     Limit("070", "ilike", "Discount value", None, 0, 0),
 )
 SUMMARY = (Limit("030", "eq", "Tax Value", None, 0.01, 0.01, "summary"),)
+ONE_SIDED = (Limit("010", "eq", "Quantity Value", 0, None, 45.0), Limit("010", "ilike", "%tax%", None, 0.01, None))
+# apply to every station with theirs in its name
+LOOSE = (Limit("0", "eq", "Tax Value", None, 0, 0.07), Limit("2", "ilike", "%DEFECT%", None, 1000, 90000),
+         Limit("5", "eq", "Quantity Value", 2, 5, 45))
 
 YEAR = 365 * 24
 # the measurements are decades older than the alarms, so lookbacks are in years
@@ -115,6 +120,18 @@ def limit_violations_variant(t: LineTables) -> DataFrame:
     return fails_by_parameter(limit_violations(_records(t), for_variant(LIMITS + SUMMARY, "summary")))
 
 
+def limit_violations_table(t: LineTables) -> DataFrame:
+    """Limits from a table, with a variant, a side without a bound and location 0 for any."""
+    rows = [x._replace(lo=None if x.lo is None else float(x.lo), hi=None if x.hi is None else float(x.hi))
+            for x in LIMITS + SUMMARY + ONE_SIDED]
+    limits = t.param_records.sparkSession.createDataFrame(rows, schemas.LIMITS)
+    return fails_by_parameter(limit_violations(_records(t), limits, variant="summary"))
+
+
+def limit_violations_loose(t: LineTables) -> DataFrame:
+    return fails_by_parameter(limit_violations(_records(t), LOOSE, loose_stations=True))
+
+
 def alarm_debounced(t: LineTables) -> DataFrame:
     counted = _described(al.debounce(_alarms(t, "LINE1-050")), LINE.plate.description)
     return al.count_alarms(counted, "050", "Check plate", "parameter_name", keep_empty=True)
@@ -180,6 +197,8 @@ def batch_queries() -> dict:
         "limit_violations_patterns":
             lambda t: fails_by_parameter(limit_violations(_records(t), PATTERNS)),
         "limit_violations_variant": limit_violations_variant,
+        "limit_violations_table": limit_violations_table,
+        "limit_violations_loose": limit_violations_loose,
         "limit_violations_one_scan": lambda t: _single(families.limit_fails(t, LINE, ONE)),
         "unique_failed_units":
             lambda t: unique_failed_units(limit_violations(_failed(t), LOCATED, "num", location="name")),
@@ -236,9 +255,9 @@ def stream_sliding_units(spark: SparkSession, folder: str) -> DataFrame:
 def stream_debounced(spark: SparkSession, folder: str) -> DataFrame:
     alarms = driver_data.alarms(_stream_tables(spark, folder)("events"))
     target = shared_folder(spark, "stream_debounced")
-    start_debounce(alarms, target).awaitTermination()
-    counted = spark.read.schema(alarms.schema).parquet(f"{target}/counted/batch=*")
-    return counted.groupBy("alarm_source").agg(F.count("*").alias("n"))
+    query = start_debounce(alarms, target)
+    query.awaitTermination()
+    return finish_debounce(spark, query, target, alarms.schema).groupBy("alarm_source").agg(F.count("*").alias("n"))
 
 
 def stream_limit_check(spark: SparkSession, folder: str) -> DataFrame:
@@ -253,7 +272,7 @@ def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     target = shared_folder(spark, "stream_report")
 
     def build(session: SparkSession, newest: datetime) -> DataFrame:
-        start = {"all": newest.replace(year=newest.year - 4)}
+        start = {"all": newest.replace(year=newest.year - 4, tzinfo=None)}
         return nonzero(_single(families.job_fails(tables(session, folder), LINE, start)))
 
     def ordered(session, newest):

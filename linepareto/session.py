@@ -16,7 +16,7 @@ def local_session(cores: int | str = "*", app: str = "linepareto") -> SparkSessi
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
@@ -39,3 +39,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="linepareto-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/linepareto/{purpose}-{uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate tables, wherever it is stored; none is fine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

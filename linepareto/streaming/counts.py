@@ -29,10 +29,12 @@ def as_wall(instant: Column) -> Column:
 
 def stream_units(rows: DataFrame, ts: str, by: Sequence[str], unit: str, width: str = "1 hour",
                  slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """`(window_start, group, n)` per closed window; `slide` makes the windows overlap."""
-    timed = as_instant(rows, ts).withWatermark(ts, delay)
-    window = F.window(ts, width, slide) if slide else F.window(ts, width)
-    once = (timed.select(window.alias("window"), *by, unit).filter(F.col(unit).isNotNull())
+    """`(window_start, group, n)` per closed window; `slide`, which divides `width`, makes them overlap."""
+    timed = as_instant(rows, ts).withWatermark(ts, delay).filter(F.col(unit).isNotNull())
+    once = (timed.select(F.window(ts, slide or width).alias("window"), *by, unit)
             .dropDuplicates(["window", *by, unit]))
+    if slide:  # one row per slide and unit goes into the windows over it, however often it was seen
+        overlapping = F.window(F.window_time("window"), width, slide)
+        once = once.select(overlapping.alias("window"), *by, unit).dropDuplicates(["window", *by, unit])
     counted = once.groupBy("window", *by).agg(F.count("*").alias("n"))
     return counted.select(as_wall(F.col("window.start")).alias("window_start"), *by, "n")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from linepareto.functions.times import is_ntz
 from linepareto.plans.report import deliver
 
 
@@ -37,19 +39,27 @@ def run_available(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
+def newest_instant(batch: DataFrame, ts: str, tz: str = "UTC") -> datetime | None:
+    """The newest time of a batch as an instant; a zone-less column is the clock of `tz`."""
+    if is_ntz(batch, ts):
+        newest = batch.agg(F.max(ts).cast("string")).first()[0]
+        return None if newest is None else datetime.fromisoformat(newest).replace(tzinfo=ZoneInfo(tz)).astimezone(timezone.utc)
+    micros = batch.agg(F.unix_micros(F.max(ts))).first()[0]
+    return None if micros is None else datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+
+
 def start_reports(arrivals: DataFrame, ts: str, build: Callable[[SparkSession, datetime], DataFrame],
-                  folder: str, **trigger) -> StreamingQuery:
+                  folder: str, tz: str = "UTC", **trigger) -> StreamingQuery:
     """Write a report as of the newest time of every batch to `folder`/reports.
 
-    `build` gets that time as a naive datetime and reads the tables anew, so rows that came
-    late are counted as long as they lie in a lookback.
+    `build` gets that time as an instant in UTC and reads the tables anew, so rows that came late
+    are counted as long as they lie in a lookback. `tz` is the clock of a zone-less `ts`.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.agg(F.max(ts).cast("string")).first()[0]
+        newest = newest_instant(batch, ts, tz)
         if newest is not None:
-            report = build(batch.sparkSession, datetime.fromisoformat(newest))
-            deliver(report, f"{folder}/reports/batch={batch_id}", "parquet")
+            deliver(build(batch.sparkSession, newest), f"{folder}/reports/batch={batch_id}", "parquet")
 
     return (arrivals.writeStream.foreachBatch(process)
             .option("checkpointLocation", f"{folder}/checkpoint")

@@ -70,6 +70,9 @@ ELECTRICAL = """('050','eq','Quantity Value',2,5e0,45e0), ('050','eq','Tax Value
 LOCATED = """('060','eq','Quantity Value',1,4e0,47e0), ('060','eq','Discount Value',2,0e0,0.05e0)"""
 ALL = f"{VISION}, {ELECTRICAL}, {LOCATED}"
 SUMMARY = f"{VISION_SUMMARY}, {ELECTRICAL}, {LOCATED}"
+ONE_SIDED = "('010','eq','Quantity Value',0,NULL,45e0), ('010','ilike','%tax%',0,0.01e0,NULL)"
+LOOSE = """('0','eq','Tax Value',0,0e0,0.07e0), ('2','ilike','%DEFECT%',0,1000e0,90000e0),
+ ('5','eq','Quantity Value',2,5e0,45e0)"""
 PATTERNS = """('010','ilike','%value%',0,0e0,50000e0), ('040','ilike','%DEFECT%',0,1000e0,100000e0),
  ('050','ilike','tax VALUE',0,0e0,0e0), ('070','ilike','Discount value',0,0e0,0e0)"""
 
@@ -291,6 +294,8 @@ def oracle_sql() -> dict[str, str]:
         "limit_violations_by_location": _fails(_lim(f"{ELECTRICAL}, {LOCATED}", NUM)),
         "limit_violations_patterns": _fails(_lim(PATTERNS)),
         "limit_violations_variant": _fails(_lim(SUMMARY)),
+        "limit_violations_table": _fails(_lim(f"{SUMMARY}, {ONE_SIDED}")),
+        "limit_violations_loose": _fails(_lim(LOOSE, loose=True)),
         "limit_violations_one_scan": _checks(),
         "unique_failed_units": _unique(),
         "alarm_count_constant_group": _labelled("060", "Assembly error :", "Weld fail", ALARM_START),

@@ -66,7 +66,7 @@ def lagged(rows):
     return out
 
 
-@pytest.mark.parametrize("slices", [(), ("1 hour",), ("1 minute", "1 day"), ("10 seconds", "1 hour", "7 days")])
+@pytest.mark.parametrize("slices", [(), (3600,), (60, 86_400), (10, 3600, 604_800)])
 def test_sliced_order_equals_plain_order(spark, busy, slices):
     got = al.with_prev_cleared(frame(spark, busy), slices).collect()
     assert len(got) == len(busy)
@@ -117,3 +117,18 @@ def test_no_task_orders_a_whole_source(spark, busy, plan):
     windows = [x for x in text.splitlines() if x.startswith("Arguments") and "windowspecdefinition(alarm_source" in x]
     fine = [x for x in windows if "activated_at" in x]
     assert fine and all("_slice2" in x.split("activated_at")[0] + x for x in fine)
+
+
+def test_alarms_without_source_or_time_have_predecessors(spark):
+    from pyspark.sql import Window
+
+    rows = [("S", None), ("S", "2024-01-01 00:00:05"), (None, "2024-01-01 00:00:01"), (None, "2024-01-01 00:01:20"),
+            (None, "2024-01-03 00:00:00"), (None, None), ("S", "2024-01-02 00:00:06")]
+    for kind in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(rows)], "event_id int, alarm_source string, t string")
+        df = df.select("event_id", "alarm_source", F.col("t").cast(kind).alias("activated_at"),
+                       (F.col("t").cast(kind) + F.expr("INTERVAL 10 seconds")).alias("cleared_at"),
+                       F.lit("d").alias("alarm_description"))
+        plain = df.withColumn("p", F.lag("cleared_at").over(Window.partitionBy("alarm_source").orderBy("activated_at", "event_id")))
+        expected = {r.event_id: r.p for r in plain.collect()}
+        assert {r.event_id: r.prev_cleared_at for r in al.with_prev_cleared(df).collect()} == expected

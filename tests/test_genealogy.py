@@ -99,10 +99,10 @@ def test_every_way_gives_the_full_join(spark, skewed, rows, max_keys, min_hot_ro
 
 def test_hot_keys_are_found_and_spread(spark, skewed):
     edges = skewed[1].select(F.col("product_serial").alias("parent"), F.col("scanned_child_serial").alias("child"))
-    hot = {r.child for r in hot_keys(edges, "child", min_rows=100, share=0.1).collect()}
+    hot = {r.child for r in hot_keys(edges, "child", min_rows=100).collect()}
     assert hot == {"C0", "C1"}
     weights = edges.select("child").distinct().na.drop().withColumn("w", F.length("child"))
-    joined = spread_join(edges, weights, "child", ["parent"], hot_keys(edges, "child", 100, 0.1))
+    joined = spread_join(edges, weights, "child", ["parent"], hot_keys(edges, "child", 100))
     assert sorted(joined.collect()) == sorted(edges.join(weights, "child").select(*joined.columns).collect())
 
 

@@ -1,5 +1,5 @@
 import shutil
-from datetime import datetime, timedelta
+from datetime import datetime, timezone, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from linepareto.operators.windows import sliding_units, tumbling_units
 from linepareto.plans.driver_line import LIMITS
 from linepareto.sources import driver_data
 from linepareto.streaming.counts import stream_units
-from linepareto.streaming.debounce import start_debounce
+from linepareto.streaming.debounce import finish_debounce, start_debounce
 from linepareto.streaming.runs import run_available, start_reports
 
 FOLDER = "/root/testdata/sf0.001"
@@ -64,12 +64,29 @@ def test_sliding_batch_equals_plain_distinct(spark, events):
 
 
 def test_debounce_over_batches_equals_batch(spark, events, tmp_path):
-    folder = str(tmp_path / "run")
-    start_debounce(stream(spark, events), folder).awaitTermination()
-    got = spark.read.parquet(f"{folder}/counted/batch=*")
+    folder, alarms = str(tmp_path / "run"), stream(spark, events)
+    query = start_debounce(alarms, folder)
+    query.awaitTermination()
+    got = finish_debounce(spark, query, folder, alarms.schema)
     plain = debounce(batch(spark, events)).drop("prev_activated_at", "prev_cleared_at")
     assert rows(got) == rows(plain)
-    assert spark.read.parquet(f"{folder}/state/batch=3").count() == batch(spark, events).select("alarm_source").distinct().count()
+    assert sorted(p.name for p in (tmp_path / "run" / "state").iterdir()) == ["batch=2", "batch=3"]
+
+
+def test_late_alarms_within_the_delay_equal_batch(spark, events, tmp_path):
+    """Arrivals in another order than the alarms', by up to 50 minutes."""
+    alarms = batch(spark, events)
+    jitter = F.pmod(F.xxhash64("event_id"), F.lit(3000)).cast("int")
+    order = F.unix_seconds(F.col("activated_at").cast("timestamp")) + jitter
+    bounds = alarms.select(F.percentile(order, F.array(*[F.lit(k / 5) for k in range(1, 5)]))).first()[0]
+    part = sum(((order > b).cast("int") for b in bounds), F.lit(0))
+    for k in range(5):
+        alarms.filter(part == k).coalesce(1).write.mode("append").parquet(str(tmp_path / "late"))
+    late = spark.readStream.schema(alarms.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "late"))
+    folder = str(tmp_path / "run")
+    query = start_debounce(late, folder, delay="1 hour")
+    query.awaitTermination()
+    assert rows(finish_debounce(spark, query, folder, alarms.schema)) == rows(debounce(alarms).select(*alarms.columns))
 
 
 def test_repeated_batch_gives_the_same_rows(spark, events, tmp_path):
@@ -105,4 +122,4 @@ def test_report_per_arrival(spark, events, tmp_path):
     reports = spark.read.parquet(f"{folder}/reports/batch=*")
     assert reports.count() == 4
     last = batch(spark, events).agg(F.max("activated_at").cast("string")).first()[0]
-    assert reports.agg(F.max("as_of")).first()[0] == str(datetime.fromisoformat(last))
+    assert reports.agg(F.max("as_of")).first()[0] == str(datetime.fromisoformat(last).replace(tzinfo=timezone.utc))
