@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from linepareto.llm.pieces import Pieces
+from linepareto.llm.pieces import Pieces, matches
 
 _NONE = np.int64(2**62)
 _AT = np.int64(32)  # bits of a position below its rank
@@ -112,7 +112,7 @@ class Ranks:
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         find = self.pattern.findall
-        split = [[m.encode() for m in find(p)] for p in pieces]
+        split = [[m.encode() for m in matches(p, find)] for p in pieces]
         ids = self.encode_words(list({w for words in split for w in words}))
         return [ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]) for words in split]
 

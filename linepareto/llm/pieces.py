@@ -13,16 +13,33 @@ from collections.abc import Callable
 # Fixed value: the public pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 GAP = re.compile(r"(?<=\S) (?=\S)")
-ODD = re.compile(r"\s\s|^\s|\s\Z")
+# White space other than the space and the line feed, by Unicode and by Python.
+RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Entries in one of a worker's two generations; older ones go when the newer is full, which costs time only.
-CACHE = 600_000
+CACHE = 900_000
 # Text characters whose unseen pieces are tokenized together.
 TOGETHER = 3_000_000
 
 
 def cut(text: str) -> list[str]:
     """The pieces between the single spaces; all but the first had a space in front."""
-    return GAP.split(text) if not text or ODD.search(text) else text.split(" ")
+    odd = ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in " \n" or text[-1] in " \n"
+           or RARE.search(text))
+    return GAP.split(text) if odd else text.split(" ")
+
+
+def matches(piece: str, find: Callable[[str], list[str]]) -> list[str]:
+    """The pattern's matches in a piece; a plain word, with a mark behind it or not, needs no search.
+
+    Plain letters are those of the Latin blocks, on which all Unicode versions agree.
+    """
+    word = piece[1:] if piece[:1] == " " else piece
+    if word and max(word) < "\u0250":
+        if word.isalpha():
+            return [piece]
+        if word[-1] in ",.!?;:" and word[:-1].isalpha():
+            return [piece[:-1], word[-1]]
+    return find(piece)
 
 
 class Pieces:
@@ -61,6 +78,9 @@ class Pieces:
                 for k in gaps:
                     piece = pieces[k]
                     code = old.get(piece)
+                    if code is None and piece[-1] in ",." and piece[:-1].isalpha():  # the word alone, then the mark
+                        word, mark = new.get(piece[:-1]), first.get(piece[-1])
+                        code = word and mark and word + mark
                     if code is None:
                         unseen[piece, 1] = None
                         holes.append((codes, k, (piece, 1)))
