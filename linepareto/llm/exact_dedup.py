@@ -22,10 +22,9 @@ def exact_duplicates(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     step = [F.octet_length(text).alias("size"), F.xxhash64(F.substring(text, 1, prefix)).alias("head")]
-    narrow = docs.select(*step)
-    lengths = narrow.groupBy("size").count().filter("count > 1").select("size")
-    heads = (narrow.join(lengths, "size", "left_semi").groupBy("size", "head").count()
-             .filter("count > 1").select("size", "head"))
+    narrow = docs.select(*step).groupBy("size", "head").count()  # combined first, so no length is hot
+    lengths = narrow.groupBy("size").agg(F.sum("count").alias("rows")).filter("rows > 1").select("size")
+    heads = narrow.join(lengths, "size", "left_semi").filter("count > 1").select("size", "head")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text.cast("binary"), 256).alias("text_sha256"),
                        *step)
     groups = (rows.join(heads, ["size", "head"], "left_semi").groupBy("text_sha256")
