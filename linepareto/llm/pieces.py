@@ -16,7 +16,7 @@ GAP = re.compile(r"(?<=\S) (?=\S)")
 # White space other than the space and the line feed, by Unicode and by Python.
 RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Entries in one of a worker's two generations; older ones go when the newer is full, which costs time only.
-CACHE = 900_000
+CACHE = 250_000
 # Text characters whose unseen pieces are tokenized together.
 TOGETHER = 3_000_000
 
@@ -45,8 +45,8 @@ def matches(piece: str, find: Callable[[str], list[str]]) -> list[str]:
 class Pieces:
     """Ids of texts as little-endian uint32 bytes; `encode` gets the unseen pieces of many texts at once."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.new, self.old, self.first = encode, {}, {}, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], keep: int = CACHE):
+        self.encode, self.keep, self.new, self.old, self.first = encode, keep, {}, {}, {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out, start = [], 0
@@ -60,7 +60,7 @@ class Pieces:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self.new) > CACHE:
+        if len(self.new) > self.keep:
             self.new, self.old, self.first = {}, self.new, {}
         new, old, first = self.new, self.old, self.first
         lists, holes, unseen = [], [], {}
