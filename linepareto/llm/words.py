@@ -10,7 +10,7 @@ from linepareto.llm.common import mix
 SHINGLE = 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Words a worker remembers; more are hashed again.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 class Remembered(dict):
