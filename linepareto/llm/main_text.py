@@ -33,6 +33,11 @@ BESIDE = frozenset("ad ads advert advertisement adverts alert alertdialog banner
                    "masthead menu message modal nav navbar navigation newsletter notice pager pagination popup promo promoted "
                    "promotion related replies reply reviews search share sharing sidebar signup skip social sponsor sponsored "
                    "subscribe tags toolbar widget".split())
+# Words that may stand beside those in one name: 'sidebar-left' is a sidebar, 'no-sidebar' and 'comments-open' are not.
+NEUTRAL = frozenset("area bar block bottom box form item items left links list main mobile posts primary right secondary section "
+                    "site sticky title top wrap wrapper".split())
+# Never beside by their names.
+WHOLE = frozenset("html body main article".split())
 
 
 class Block(NamedTuple):
@@ -120,20 +125,39 @@ def tree() -> tuple | int:
     return _tree[0]
 
 
-def _is_beside(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in ASIDE and not (tag == "header" and in_article):
-        return True
+def _named_beside(attributes: str, in_article: bool) -> bool:
+    """Whether a whole class, id or role names something beside the article; an article's header is its own."""
     if "=" not in attributes:
         return False
-    named = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).lower()
-    return not BESIDE.isdisjoint(_WORD.findall(named))
+    for token in " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).lower().split():
+        found = set(_WORD.findall(token)) - NEUTRAL
+        if found and found <= BESIDE and not (in_article and found == {"header"}):
+            return True
+    return False
 
 
-def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order; blocks without text are left out."""
+def _is_aside(tag: str, in_article: bool) -> bool:
+    return tag in ASIDE and not (tag == "header" and in_article)
+
+
+def blocks(page: str, names: bool = True) -> list[Block]:
+    """The text blocks of a page in order; blocks without text are left out.
+
+    With `names`, class, id and role tell what stands beside the article, but never of an element that
+    holds the body, the main element or the first article.
+    """
+    overruled: set[int] = set()
+    while (out := _blocks(page, names, overruled)) is None:
+        pass
+    return out
+
+
+def _blocks(page: str, names: bool, overruled: set[int]) -> list[Block] | None:
+    """None once an element in `overruled` (by the place of its tag) is new; each name of WHOLE ends at most one call."""
     out: list[Block] = []
     text: list[str] = []
-    holders: list[tuple[str, bool, bool]] = []  # open elements: name, beside, in an article
+    holders: list[tuple[str, bool, bool, int]] = []  # open elements: name, beside, in an article, place if named beside or -1
+    met: set[str] = set()
     link, linked, heading, at = False, 0, 0, 0
     beside = inside = alone = False  # alone: the element of this block itself names something beside the article
 
@@ -180,17 +204,24 @@ def blocks(page: str) -> list[Block]:
             heading = 0
         if name in HOLDERS:
             if not closing:
-                beside = beside or _is_beside(name, attributes, inside)
+                named = names and at not in overruled and _named_beside(attributes, inside)
+                if name in WHOLE and not named and name not in met:
+                    met.add(name)
+                    if new := {place for *_, place in holders if place >= 0}:
+                        overruled |= new
+                        return None
+                named = named and name not in WHOLE
+                beside = beside or named or _is_aside(name, inside)
                 inside = inside or name in ARTICLE
-                holders.append((name, beside, inside))
+                holders.append((name, beside, inside, at if named else -1))
             else:
                 for k in range(len(holders) - 1, -1, -1):
                     if holders[k][0] == name:
                         del holders[k:]
                         break
-                _, beside, inside = holders[-1] if holders else ("", False, False)
+                _, beside, inside, _ = holders[-1] if holders else ("", False, False, -1)
         elif not closing:
-            alone = _is_beside(name, attributes, inside)
+            alone = _is_aside(name, inside) or names and name not in WHOLE and _named_beside(attributes, inside)
     flush()
     return out
 
@@ -210,7 +241,9 @@ def main_blocks(found: list[Block]) -> list[Block]:
 
 
 def main_text(page: str | None) -> str:
-    return "\n\n".join(b.text for b in main_blocks(blocks(page or "")))
+    """Where names leave nothing, word and link densities alone decide."""
+    page = page or ""
+    return "\n\n".join(b.text for b in main_blocks(blocks(page)) or main_blocks(blocks(page, names=False)))
 
 
 def extract(pages: DataFrame) -> DataFrame:

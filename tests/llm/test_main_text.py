@@ -60,3 +60,26 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, m.extract(pages).collect()), key=repr) == sorted(
         [(1, None, "", 0), (1, None, "", 0), (None, "u", LONG, len(LONG))], key=repr)
     assert m.extract(pages.limit(0)).collect() == []
+
+
+def test_names_of_the_whole_page_and_parts_of_names():
+    text = f"A title of words\n\n{LONG}"
+    inner = f"<h1>A title of words</h1><p>{LONG}</p>"
+    for page in (f'<html class="has-sidebar sidebar"><body class="no-sidebar has-comments">{inner}</body></html>',
+                 f'<body class="sidebar widget">{inner}</body>',
+                 f'<body><article class="post comments-open comments">{inner}</article></body>',
+                 f'<body><main id="search" class="widget">{inner}</main></body>',
+                 f'<div class="without-sidebar social-enabled">{inner}</div>',
+                 f'<article><div class="entry-header"><h1>A title of words</h1></div><p>{LONG}</p></article>',
+                 f'<article><div class="header"><h1>A title of words</h1></div><p>{LONG}</p></article>',
+                 f'<div class="sidebar"><main>{inner}</main></div>',
+                 f'<div class="modal"><div id="message"><article>{inner}</article></div></div>',
+                 f'<div class="review-message reviews">{inner}</div>'):
+        assert m.main_text(page) == text, page
+
+
+def test_whole_names_still_stand_beside():
+    page = f"""<body class="no-sidebar"><article><p>{LONG}</p></article><div class="sidebar-left"><p>{LONG} One.</p></div>
+    <div class="widget box"><p>{LONG} Two.</p></div><section id="comments"><article class="comment"><p>{LONG} Three.</p></article>
+    <article><p>{LONG} Four.</p></article></section></body>"""
+    assert m.main_text(page) == LONG
