@@ -44,7 +44,7 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_chunks.digests(_table(spark, folder, "documents"))
+    return line_chunks.repeated_runs(_table(spark, folder, "documents"))
 
 
 def op9_hash_forest_search(spark: SparkSession, folder: str) -> DataFrame:

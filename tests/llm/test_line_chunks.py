@@ -70,3 +70,41 @@ def test_whole_text_and_empty_table(table, rows):
     for r in line_chunks.without_repeated_lines(table(rows[:20]), 2).collect():
         assert r["kept_text"].count("\n") + 1 >= r["n_lines"] - r["n_removed"]
     assert got(line_chunks.digests(table([]))) == []
+
+
+def runs(rows):
+    """Every line that stands, with a neighbour, at an earlier place too."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+        lines = text.split("\n") if text else []
+        worded = [k for k, line in enumerate(lines) if line.encode().strip()]
+        gone = set()
+        for a, b in zip(worded, worded[1:]):
+            if (pair := tuple(lines[a:b + 1])) in seen:
+                gone.update(range(a, b + 1))
+            seen.add(pair)
+        kept = "\n".join(line for k, line in enumerate(lines) if k not in gone)
+        out.append((doc_id, len(lines), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("blocks", [1, 6])
+def test_runs_equal_walk(table, rows, blocks):
+    more = rows + [(300, "a b\n\n \nc d\ne"), (301, "x\na b\n\n \nc d\n"), (302, "q\n" * 9), (303, "x\na b\n\nc d")]
+    assert got(line_chunks.repeated_runs(table(more), blocks)) == runs(more)
+
+
+def test_planted_passages_go_whole(spark, table, prose, monkeypatch):
+    from linepareto.llm import queries
+
+    rnd = random.Random(9)
+    passages = [[prose(("passage", k, j), 8) for j in range(rnd.randint(2, 9))] for k in range(40)]
+    out, planted = [], {}
+    for k in range(120):
+        own = [prose(("own", k, j), 7) for j in range(rnd.randint(2, 6))]
+        at, passage = rnd.randint(0, len(own)), passages[k % 40]
+        out.append((k, "\n".join(own[:at] + passage + own[at:])))
+        planted[k] = (len(passage) if k >= 40 else 0, "\n".join(own if k >= 40 else own[:at] + passage + own[at:]))
+    monkeypatch.setattr(queries, "_table", lambda *_: table(out))
+    for doc_id, _, removed, digest in got(queries.op8_line_dedup(spark, "")):
+        assert (removed, digest) == (planted[doc_id][0], hashlib.sha256(planted[doc_id][1].encode()).hexdigest())
