@@ -206,3 +206,49 @@ def test_loose_stations_join_on_names_at_any_size(spark, mixed, monkeypatch):
     local = serials(check_violations(mixed, CHECKS, True))
     monkeypatch.setattr(lim, "MAX_LOCAL_LIMITS", 3)
     assert serials(check_violations(mixed, CHECKS, True)) == local
+
+
+def test_limits_of_one_scope_are_one_band():
+    limits = (Limit("1", "eq", "A", None, 0, 10), Limit("1", "eq", "A", 0, None, 5), Limit("1", "eq", "A", 2, 1, None),
+              Limit("1", "eq", "A", None, -3, None))
+    bands = lim.collapsed([LimitCheck(limits, "num")])
+    assert [(x.work_location_id, x.lo, x.hi) for x in bands] == [(None, 0.0, 5.0), (2, 1.0, None)]
+
+
+@pytest.mark.parametrize("loose", [False, True])
+def test_small_limits_table_leaves_the_log_where_it_is(spark, mixed, plan, tmp_path, loose):
+    mixed.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    found = limit_violations(log, limit_table(spark, ALL), loose_stations=loose)
+    text = plan(found)
+    assert "hashpartitioning" not in text and text.count("Scan parquet") == 2 * 1  # the node and its details
+    assert serials(found) == serials(limit_violations(mixed, ALL, loose_stations=loose))
+
+
+def test_hot_pair_of_a_large_table_is_spread(spark, mixed, monkeypatch, plan):
+    """A third of all rows are of one station; above the bound every pair of 100 rows is hot."""
+    monkeypatch.setattr(lim, "MAX_LOCAL_LIMITS", 5)
+    monkeypatch.setattr(lim, "HOT_ROWS", 100)
+    found = limit_violations(mixed, limit_table(spark, ALL))
+    assert "_salt" in plan(found)
+    assert serials(found) == brute_force(mixed, [LimitCheck(ALL)])
+    assert serials(check_violations(mixed, CHECKS)) == brute_force(mixed, CHECKS)
+    assert serials(check_violations(mixed, CHECKS, True)) == serials(check_violations(mixed, CHECKS, True))
+
+
+def test_many_limits_on_a_stream(spark, mixed, tmp_path):
+    """Exact bands and patterns against the batch result."""
+    from linepareto.streaming.runs import run_available
+    mixed.write.parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(mixed.schema).parquet(str(tmp_path / "log"))
+    found = run_available(check_violations(stream, CHECKS), str(tmp_path / "out"))
+    assert serials(found) == brute_force(mixed, CHECKS)
+
+
+@pytest.mark.parametrize("loose", [False, True])
+def test_every_size_gives_the_same_loose_and_exact_rows(spark, mixed, monkeypatch, loose):
+    expected = serials(check_violations(mixed, CHECKS, loose))
+    for name, number in (("MAX_PATTERNS", 0), ("MAX_LOCAL_LIMITS", 3)):
+        with monkeypatch.context() as patch:
+            patch.setattr(lim, name, number)
+            assert serials(check_violations(mixed, CHECKS, loose)) == expected
