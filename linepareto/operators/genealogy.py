@@ -1,9 +1,9 @@
 """Failures traced through parent/child genealogy to where a child part came from.
 
 All reports share one chain: failing parents, kept if a stack part was built into them, joined
-with their children and those with the children's records. Failing parents of a short lookback
-are few against the history of the genealogy, so their number is taken first: few of them
-filter the big scans in place, without a shuffle; many go through shuffled joins. Each input
+with their children and those with the children's records. Failing parents are few against the
+history of the genealogy, so the big scans are filtered by them in place, without a shuffle: few
+parents by their set, many by a Bloom filter of it, and only what passes is shuffled. Each input
 is reduced to one row per key before it is joined, carrying its multiplicity where rows are
 counted; hot parents and hot children (a batch shared by many units) are spread over several
 tasks.
@@ -15,12 +15,12 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linepareto.functions.text import icontains, short_pair_name
 from linepareto.functions.times import after
 from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join
-from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, narrow, settle
+from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, narrow, settle, thin
 from linepareto.operators.units import scope, tall
 
 
@@ -31,14 +31,25 @@ def child_origins(records: DataFrame, station_prefix: str, parameter: str) -> Da
             .select(F.col("product_serial").alias("child"), F.col("station_name").alias("origin")))
 
 
+def _holds_spool(parameter: str, value: str) -> Column:
+    return icontains(F.col("parameter_name"), parameter) & icontains(F.col("parameter_value_raw"), value)
+
+
 def wire_spools(records: DataFrame, station_prefix: str, parameter: str, value: str) -> DataFrame:
     """Children with a record of the given spool."""
-    return (records.filter(F.col("station_name").like(f"{station_prefix}%")
-                           & icontains(F.col("parameter_name"), parameter)
-                           & icontains(F.col("parameter_value_raw"), value))
+    return (records.filter(F.col("station_name").like(f"{station_prefix}%") & _holds_spool(parameter, value))
             .select(F.col("product_serial").alias("child")))
 
 
+def child_parts(records: DataFrame, station_prefix: str, parameter: str, spool_parameter: str, spool_value: str) -> DataFrame:
+    """Both in one scan: `(child, origin, has_origin, has_spool)`."""
+    origin = F.coalesce(F.col("parameter_name") == parameter, F.lit(False))
+    spool = F.coalesce(_holds_spool(spool_parameter, spool_value), F.lit(False))
+    return records.filter(F.col("station_name").like(f"{station_prefix}%") & (origin | spool)).select(
+        F.col("product_serial").alias("child"), F.col("station_name").alias("origin"), origin.alias("has_origin"),
+        spool.alias("has_spool"))
+
+
 def failing_units(failing: DataFrame, lookbacks: Mapping[str, datetime],
                   extra: Sequence[str] = ()) -> DataFrame:
     """Newest failure per parent, station and `extra` column: `(parent, station_name, …, newest)`."""
@@ -60,36 +71,36 @@ class Links(NamedTuple):
 
     edges: DataFrame  # (parent, child), once per scan
     stacks: DataFrame  # (parent, shop_name) a stack part was built into, once per scan
-    size: int | None  # number of genealogy rows; None: not reduced to the failing parents
+    size: int  # number of genealogy rows
 
 
 def links(genealogy: DataFrame, parents: Settled, parts: Sequence[str], shop: str | None = None,
           max_keys: int = MAX_BROADCAST_KEYS) -> Links:
-    """Edges (of one shop, if given) and stack scans, read in one pass.
+    """Edges (of one shop, if given) and stack scans of the failing `parents`, read in one pass.
 
-    If the failing `parents` are few, only their genealogy is kept, and settled: the joins after
-    this read it several times.
+    The genealogy is filtered where it is read and settled: the joins after this read it several
+    times. Of more than `max_keys` parents a few others' rows are kept as well; the joins drop them.
     """
     rows = genealogy.select(F.col("product_serial").alias("parent"),
                             F.col("scanned_child_serial").alias("child"), "shop_name",
                             F.col("scanned_child_part").isin(*parts).alias("_stack"))
-    size = None
-    if parents.size <= max_keys:
-        rows, size = settle(narrow(rows, "parent", parents.df), "genealogy")
+    rows, size = settle(_filtered(rows, "parent", parents, max_keys), "genealogy")
     return Links(scope(rows, shop_name=shop).select("parent", "child"),
                  rows.filter("_stack").select("parent", "shop_name"), size)
 
 
+def _filtered(big: DataFrame, key: str, keys: Settled, max_keys: int) -> DataFrame:
+    return narrow(big, key, keys.df) if keys.size <= max_keys else thin(big, key, keys.df, keys.size)
+
+
 def near(records: DataFrame, built: Links, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Records of the children in `built`, if those are known to be few; else all of them."""
-    if built.size is None or built.size > max_keys:
-        return records
-    return narrow(records, "child", built.edges)
+    """Records of the children in `built`; of more than `max_keys` a few others as well."""
+    return _filtered(records, "child", Settled(built.edges, built.size), max_keys)
 
 
 def _chain(failing: DataFrame, edges: DataFrame, seeds: DataFrame, built: Links,
            min_hot_rows: int) -> DataFrame:
-    if built.size is not None and built.size < min_hot_rows:  # no key can be hot
+    if built.size < min_hot_rows:  # no key can be hot
         return edges.join(failing, "parent").join(seeds, "child")
     hot_parents = hot_keys(built.edges, "parent", min_hot_rows)
     hot_children = hot_keys(built.edges, "child", min_hot_rows)

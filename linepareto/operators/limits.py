@@ -21,6 +21,8 @@ from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join
 
 # Bands up to this number are broadcast; more are joined by shuffle.
 MAX_LOCAL_LIMITS = 10_000
+# Stations up to this number are told apart in the condition a scan prunes on.
+MAX_STATIONS = 30
 # Bands with a pattern up to this number are written into the predicate; more are resolved to names first.
 MAX_PATTERNS = 200
 
@@ -124,6 +126,10 @@ def might_violate(bands: Sequence[Band], loose: bool = False) -> Column:
             possible &= F.col("overall_process_status") == status
         if all(x.match_mode == "eq" for x in own):
             possible &= F.col("parameter_name").isin(sorted({x.pattern for x in own}))
+        elif loose:
+            possible &= _any(_named(own))
+        if not loose and 1 < len(stations) <= MAX_STATIONS:
+            possible &= _any(_at_station(s, False) & _any(_named([x for x in own if x.station_name == s])) for s in stations)
         if value == "num":
             number = F.col("parameter_value_num")
             low, high = [x.lo for x in own if x.lo is not None], [x.hi for x in own if x.hi is not None]
@@ -133,6 +139,11 @@ def might_violate(bands: Sequence[Band], loose: bool = False) -> Column:
     return _any(one(*kind) for kind in sorted({(x.value, x.status) for x in bands}, key=repr))
 
 
+def _named(bands: Sequence[Band]) -> list[Column]:
+    exact, patterns = ({x.pattern for x in bands if (x.match_mode == "eq") == same} for same in (True, False))
+    return [F.col("parameter_name").isin(sorted(exact))] * bool(exact) + [F.col("parameter_name").ilike(x) for x in sorted(patterns)]
+
+
 def _any(conditions) -> Column:
     conditions = list(conditions)
     return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)

@@ -211,6 +211,8 @@ def batch_queries() -> dict:
         "origin_rowcount": lambda t: _single(families.force_fails_by_origin(t, LINE, ONE)),
         "origin_units_status": lambda t: _single(families.result_fails_by_origin(t, LINE, ONE)),
         "origin_units_limits": lambda t: _single(families.limit_fails_by_origin(t, LINE, ONE)),
+        "origin_units_shuffled":
+            lambda t: _single(families.limit_fails_by_origin(t, LINE, ONE, max_keys=0)),
         "pin_type_units": lambda t: _single(families.limit_fails_by_pin_type(t, LINE, ONE)),
         "origin_pareto":
             lambda t: pareto.by_count_and_station(_single(families.by_origin(t, LINE, ONE)), "origin"),

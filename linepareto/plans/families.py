@@ -12,12 +12,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from linepareto.functions.text import icontains
-from linepareto.functions.times import after
 from linepareto.operators import alarms as al, genealogy as gen, pareto
-from linepareto.operators.limits import check_violations, for_variant, status_fails
-from linepareto.operators.settle import Settled, settle
+from linepareto.operators.limits import check_violations, status_fails
+from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, settle
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
+from linepareto.plans.scans import (
+    BY_PARAMETER_LISTS, FORCE, LIMITS, ORIGIN_LISTS, PINS, RESULT, UNIQUE, Scans, force_failed, on_line, result_failed, traced_check)
 from linepareto.sources.layout import from_day
 from linepareto.sources.tables import LineTables
 
@@ -33,38 +34,27 @@ def job_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> Data
                        "started_at", lookbacks)
 
 
-def _on_line(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    start = min(lookbacks.values())
-    recent = from_day(tables.param_records, start).filter(after(F.col("recorded_at"), start))
-    return scope(recent, line_name=cfg.line)
-
-
 def force_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units that failed the force check by status."""
-    failed = status_fails(_on_line(tables, cfg, lookbacks), *cfg.force, cfg.fail_status)
+    failed = status_fails(on_line(tables, cfg, lookbacks), *cfg.force, cfg.fail_status)
     return count_units(failed, "recorded_at", lookbacks)
 
 
 def limit_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units outside a limit, by station and parameter; all stations in one scan."""
-    failed = check_violations(_on_line(tables, cfg, lookbacks), cfg.checks)
+    failed = check_violations(on_line(tables, cfg, lookbacks), cfg.checks)
     return count_units(failed, "recorded_at", lookbacks)
 
 
-def unique_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    """Units outside any limit of the station whose units are counted once: `(…, station_name, n)`."""
-    failed = check_violations(_on_line(tables, cfg, lookbacks), [cfg.unique_check])
-    return (count_units(failed, "recorded_at", lookbacks, by=("station_name",))
-            .withColumnRenamed("fail_count", "n"))
-
-
-def _scoped(tables: LineTables, cfg: LineConfig, rule: AlarmRule, lookbacks: Lookbacks) -> DataFrame:
+def _scoped(tables: LineTables, cfg: LineConfig, rule: AlarmRule, lookbacks: Lookbacks, scans: Scans | None) -> DataFrame:
+    if scans is not None:
+        return scans.alarms.filter(icontains(F.col("alarm_source"), rule.source))
     return al.alarm_scope(tables.alarms, rule.source, cfg.priorities, min(lookbacks.values()), cfg.plant_tz)
 
 
-def plate_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+def plate_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans: Scans | None = None) -> DataFrame:
     """Debounced alarms of the check plate; a zero row per lookback without any."""
-    ordered = al.with_prev_cleared(_scoped(tables, cfg, cfg.plate, lookbacks))
+    ordered = al.with_prev_cleared(_scoped(tables, cfg, cfg.plate, lookbacks, scans))
     flags = al.debounced_flags(ordered, lookbacks, cfg.plant_tz, cfg.gap)
     matching = ordered.filter(icontains(F.col("alarm_description"), cfg.plate.description))
     wide = al.count_flags(matching, flags).select(
@@ -72,9 +62,9 @@ def plate_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> Da
     return tall(wide, list(lookbacks), BY_PARAMETER, keep_zero=True)
 
 
-def gripper_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+def gripper_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans: Scans | None = None) -> DataFrame:
     """Gripper alarms by the key in their description."""
-    found = _scoped(tables, cfg, cfg.gripper, lookbacks).filter(
+    found = _scoped(tables, cfg, cfg.gripper, lookbacks, scans).filter(
         icontains(F.col("alarm_description"), cfg.gripper.description))
     flags = al.lookback_flags(tables.alarms, lookbacks, cfg.plant_tz)
     keyed = found.select("activated_at", F.lit(cfg.gripper.station).alias("station_name"),
@@ -82,7 +72,7 @@ def gripper_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) ->
     return tall(al.count_flags(keyed, flags, BY_PARAMETER), list(lookbacks), BY_PARAMETER)
 
 
-def weld_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+def weld_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans: Scans | None = None) -> DataFrame:
     """Alarms per weld and laser rule; all rules in one scan."""
     rules = [(rule, icontains(F.col("alarm_source"), rule.source)
               & icontains(F.col("alarm_description"), rule.description)) for rule in cfg.weld]
@@ -90,7 +80,9 @@ def weld_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> Dat
     kept = F.lit(False)
     for _, matches in rules:
         kept = kept | matches
-    found = al.alarm_scope(tables.alarms, "", cfg.priorities, min(lookbacks.values()), cfg.plant_tz).filter(kept)
+    alarms = scans.alarms if scans is not None else al.alarm_scope(
+        tables.alarms, "", cfg.priorities, min(lookbacks.values()), cfg.plant_tz)
+    found = alarms.filter(kept)
     counts = {(number, name): F.count_if(matches & flag).alias(f"n{number}_{name}")
               for number, (_, matches) in enumerate(rules) for name, flag in flags.items()}
     rows = [F.struct(F.lit(name).alias("lookback"), F.col(f"n{number}_{name}").alias("fail_count"),
@@ -104,9 +96,9 @@ def _children(tables: LineTables, cfg: LineConfig) -> DataFrame:
     return scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
 
 
-def _origins(tables: LineTables, cfg: LineConfig, built: gen.Links) -> DataFrame:
+def _origins(tables: LineTables, cfg: LineConfig, built: gen.Links, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     origins = gen.child_origins(_children(tables, cfg), cfg.child_prefix, cfg.child_parameter)
-    return gen.near(origins, built)
+    return gen.near(origins, built, max_keys)
 
 
 def _spools(tables: LineTables, cfg: LineConfig, built: gen.Links) -> DataFrame:
@@ -114,59 +106,45 @@ def _spools(tables: LineTables, cfg: LineConfig, built: gen.Links) -> DataFrame:
     return gen.near(spools, built)
 
 
-def _links(tables: LineTables, cfg: LineConfig, parents: Settled) -> gen.Links:
-    return gen.links(scope(tables.genealogy, line_name=cfg.line), parents, cfg.stack_parts, cfg.shop)
-
-
-def _failed_force(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    return _on_line(tables, cfg, lookbacks).filter(
-        icontains(F.col("station_name"), cfg.force.station)
-        & (F.col("parameter_name") == cfg.force.parameter)
-        & (F.col("parameter_id") == cfg.force.parameter_id)
-        & (F.col("overall_process_status") == cfg.fail_status))
-
-
-def _failed_result(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
-    return _on_line(tables, cfg, lookbacks).filter(
-        icontains(F.col("station_name"), cfg.traced_status_station)
-        & (F.col("result_status") == cfg.fail_result))
+def _links(tables: LineTables, cfg: LineConfig, parents: Settled, max_keys: int = MAX_BROADCAST_KEYS) -> gen.Links:
+    return gen.links(scope(tables.genealogy, line_name=cfg.line), parents, cfg.stack_parts, cfg.shop, max_keys)
 
 
 def _failed_limits(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, variant: str | None) -> DataFrame:
-    check = cfg.traced_check._replace(limits=for_variant(cfg.traced_check.limits, variant))
-    return check_violations(_on_line(tables, cfg, lookbacks), [check])
+    return check_violations(on_line(tables, cfg, lookbacks), [traced_check(cfg, variant)])
 
 
 def _failed_pins(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Records outside a limit at any station that has the limited one in its name."""
-    check = cfg.traced_check._replace(limits=for_variant(cfg.traced_check.limits))
-    records = scope(_on_line(tables, cfg, lookbacks), shop_name=cfg.shop)
-    return check_violations(records, [check], loose_stations=True)
+    records = scope(on_line(tables, cfg, lookbacks), shop_name=cfg.shop)
+    return check_violations(records, [traced_check(cfg)], loose_stations=True)
 
 
 def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Force-check failures by origin of the child parts, counted in joined rows."""
-    failing = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
+    failed = on_line(tables, cfg, lookbacks).filter(force_failed(cfg, exact=False))
+    failing = settle(gen.failing_rows(failed, lookbacks), "failing")
     built = _links(tables, cfg, failing)
     return gen.origin_rows(failing.df, built, _origins(tables, cfg, built), _spools(tables, cfg, built),
                            list(lookbacks))
 
 
-def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks) -> DataFrame:
+def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks,
+                     max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     failing = settle(gen.failing_units(failed, lookbacks), "failing")
-    built = _links(tables, cfg, failing)
-    return gen.origin_units(failing.df, built, _origins(tables, cfg, built), lookbacks)
+    built = _links(tables, cfg, failing, max_keys)
+    return gen.origin_units(failing.df, built, _origins(tables, cfg, built, max_keys), lookbacks)
 
 
 def result_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
     """Units failed by result at one station, by origin of their child parts."""
-    return _units_by_origin(tables, cfg, _failed_result(tables, cfg, lookbacks), lookbacks)
+    return _units_by_origin(tables, cfg, on_line(tables, cfg, lookbacks).filter(result_failed(cfg)), lookbacks)
 
 
-def limit_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks,
-                          variant: str | None = None) -> DataFrame:
+def limit_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, variant: str | None = None,
+                          max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Units outside a limit, by origin of their child parts."""
-    return _units_by_origin(tables, cfg, _failed_limits(tables, cfg, lookbacks, variant), lookbacks)
+    return _units_by_origin(tables, cfg, _failed_limits(tables, cfg, lookbacks, variant), lookbacks, max_keys)
 
 
 def limit_fails_by_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -178,66 +156,49 @@ def limit_fails_by_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Look
     return gen.origin_units(typed, built, _origins(tables, cfg, built), lookbacks, ["pin_type"], cfg.shop)
 
 
-def _variants(cfg: LineConfig, lookbacks: Lookbacks) -> dict[str | None, dict[str, datetime]]:
-    """Lookbacks by the limits variant their report uses."""
-    of_report = {r.name: r.variant for r in cfg.reports}
-    found: dict[str | None, dict[str, datetime]] = {}
-    for name, start in lookbacks.items():
-        found.setdefault(of_report.get(name), {})[name] = start
-    return found
-
-
-def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks,
-                           pin_lookbacks: Lookbacks) -> tuple[DataFrame, DataFrame | None]:
-    """The list by origin and, if asked for, the one by pin type; they share one pass over the genealogy.
+def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, pin_lookbacks: Lookbacks,
+                           scans: Scans | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The list by origin and, if asked for, the one by pin type; they share one pass over every log.
 
     All failing units are found first; a `list` column tells what they failed by.
     """
-    def listed(failed: DataFrame, name: str, starts: Lookbacks, element=F.lit(None)) -> DataFrame:
-        marked = failed.withColumns({"list": F.lit(name), "work_element": element})
-        return gen.failing_units(marked, starts, ["list", "work_element"])
-
-    variants = {f"limits {number}": (variant, starts)
-                for number, (variant, starts) in enumerate(_variants(cfg, lookbacks).items())}
-    units = [listed(_failed_result(tables, cfg, lookbacks), "result", lookbacks)]
-    units += [listed(_failed_limits(tables, cfg, starts, variant), name, starts)
-              for name, (variant, starts) in variants.items()]
-    if pin_lookbacks:
-        units.append(listed(_failed_pins(tables, cfg, pin_lookbacks), "pins", pin_lookbacks,
-                            F.col("work_element")))
-    units = settle(pareto.stack(units), "failing")
-    force = settle(gen.failing_rows(_failed_force(tables, cfg, lookbacks), lookbacks), "failing")
+    if scans is None:
+        scans = Scans(tables, cfg, lookbacks, ORIGIN_LISTS | ({PINS} if pin_lookbacks else set()), pin_lookbacks)
+    units = settle(scans.failing_units(), "failing")
+    force = settle(scans.failing_rows(), "failing")
     parents = units.df.select("parent").union(force.df.select("parent"))
     built = _links(tables, cfg, Settled(parents, units.size + force.size))
-    origins = _origins(tables, cfg, built)
+    origins, spools = scans.children(built)
 
-    counted = gen.origin_units(units.df.filter("list <> 'pins'"), built, origins, lookbacks, ["list"])
-    wanted = (F.col("list") == "result")
-    for name, (_, starts) in variants.items():
+    counted = gen.origin_units(units.df.filter(F.col("list") != PINS), built, origins, lookbacks, ["list"])
+    wanted = (F.col("list") == RESULT)
+    for name, (_, starts) in scans.variants.items():
         wanted |= (F.col("list") == name) & F.col("lookback").isin(*starts)
-    by_force = gen.origin_rows(force.df, built, origins, _spools(tables, cfg, built), list(lookbacks))
+    by_force = gen.origin_rows(force.df, built, origins, spools, list(lookbacks))
     lists = pareto.stack([by_force, counted.filter(wanted).drop("list")])
     if not pin_lookbacks:
         return lists, None
-    typed = gen.with_pin_type(Settled(units.df.filter("list = 'pins'"), units.size), tables.work_element_names)
+    typed = gen.with_pin_type(Settled(units.df.filter(F.col("list") == PINS), units.size), tables.work_element_names)
     return lists, gen.origin_units(typed, built, origins, pin_lookbacks, ["pin_type"], cfg.shop)
 
 
-def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
+def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans: Scans | None = None) -> DataFrame:
     """The combined list of all failures by station and parameter or alarm."""
-    families = (job_fails, force_fails, plate_fails, gripper_fails, weld_fails, limit_fails)
-    return pareto.combined([family(tables, cfg, lookbacks) for family in families])
+    scans = scans or Scans(tables, cfg, lookbacks, BY_PARAMETER_LISTS)
+    alarms = [family(tables, cfg, lookbacks, scans) for family in (plate_fails, gripper_fails, weld_fails)]
+    return pareto.combined([job_fails(tables, cfg, lookbacks), scans.units(FORCE), *alarms, scans.units(LIMITS)])
 
 
 def by_station(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, unique: bool = True,
-               counted: DataFrame | None = None) -> DataFrame:
+               counted: DataFrame | None = None, scans: Scans | None = None) -> DataFrame:
     """The station Pareto, unless `unique` is off with distinct units where they are counted.
 
     `counted` is the list of `by_parameter` where it is at hand.
     """
-    override = unique_fails(tables, cfg, lookbacks) if unique else None
+    scans = scans or Scans(tables, cfg, lookbacks, BY_PARAMETER_LISTS | ({UNIQUE} if unique else set()))
     if counted is None:
-        counted = by_parameter(tables, cfg, lookbacks)
+        counted = by_parameter(tables, cfg, lookbacks, scans)
+    override = scans.units(UNIQUE, ("station_name",)).withColumnRenamed("fail_count", "n") if unique else None
     return pareto.station_pareto(counted, override)
 
 

@@ -12,6 +12,7 @@ from linepareto.operators.pareto import stack
 from linepareto.operators.settle import settle
 from linepareto.plans import families
 from linepareto.plans.config import SECTION_TITLES, LineConfig, Report
+from linepareto.plans.scans import BY_PARAMETER_LISTS, ORIGIN_LISTS, PINS, UNIQUE, Scans
 from linepareto.sources.tables import LineTables
 
 DETAILS = ("parameter_name", "origin", "pin_type")
@@ -50,7 +51,7 @@ def _report_no(due: tuple[Report, ...]) -> Column:
 
 
 def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFrame:
-    """All reports due at `as_of`, each list counted in one pass for all of them.
+    """All reports due at `as_of`, each list counted in one pass for all of them, from one scan of every log.
 
     Columns: report_no, report, section_no, title (of title rows), fail_count, station_name,
     detail and body_json (of lines). `in_report_order` gives the reading order.
@@ -58,9 +59,11 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFra
     due = cfg.due(as_of)
     starts = cfg.starts(as_of)
     with_pins = {r.name: starts[r.name] for r in due if r.pin_types}
-    counted = settle(families.by_parameter(tables, cfg, starts), "by_parameter").df
-    origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins)
-    sections = [counted, families.by_station(tables, cfg, starts, counted=counted), origins]
+    lists = BY_PARAMETER_LISTS | ORIGIN_LISTS | {UNIQUE} | ({PINS} if with_pins else set())
+    scans = Scans(tables, cfg, starts, lists, with_pins)
+    counted = settle(families.by_parameter(tables, cfg, starts, scans), "by_parameter").df
+    origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins, scans)
+    sections = [counted, families.by_station(tables, cfg, starts, counted=counted, scans=scans), origins]
     if pins is not None:
         sections.append(pins)
     lines = []

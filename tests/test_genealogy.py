@@ -136,3 +136,32 @@ def test_pin_types_drop_units_without_a_name(spark, skewed, min_hot_rows):
     by_type = {r.pin_type: r["count"] for r in typed.groupBy("pin_type").count().collect()}
     pairs = skewed[0].toPandas().drop_duplicates(["product_serial", "station_name", "work_element"]).work_element
     assert by_type == {"U1-L2 & V3-L4": (pairs == "w1").sum(), None: (pairs == "w2").sum()}
+
+
+def test_many_failing_parents_thin_the_scan_without_shuffling_it(spark, tmp_path, plan):
+    from linepareto.operators.settle import thin
+
+    path = str(tmp_path / "genealogy")
+    spark.range(40_000).selectExpr("cast(id as string) AS parent", "cast(id % 7 as string) AS child").write.parquet(path)
+    keys = settle(spark.range(0, 4000, 2).selectExpr("cast(id as string) AS parent"), "keys")
+    thinned = thin(spark.read.parquet(path), "parent", keys.df, keys.size)
+    found = {r.parent for r in thinned.collect()}
+    assert {r.parent for r in keys.df.collect()} <= found and len(found) < 2000 + 0.1 * 40_000
+    text = plan(thinned)
+    assert "BroadcastHashJoin LeftSemi" in text and "Exchange hashpartitioning" not in text.split("BroadcastExchange")[0].split("HashAggregate")[0]
+    assert thin(spark.read.parquet(path), "parent", keys.df.filter("false"), 0).isEmpty()
+
+
+def test_no_way_shuffles_the_whole_genealogy(spark, tmp_path, monkeypatch, plan):
+    """What is settled of the genealogy is a filtered scan, for few parents and for many."""
+    path = str(tmp_path / "genealogy")
+    spark.range(1000).selectExpr("cast(id as string) AS product_serial", "cast(id % 7 as string) AS scanned_child_serial",
+                                 "'STACK' AS scanned_child_part", "'DU' AS shop_name").write.parquet(path)
+    parents = settle(spark.createDataFrame([("1",), ("2",)], "parent string"), "parents")
+    plans = []
+    monkeypatch.setattr(gen, "settle", lambda df, purpose: plans.append(plan(df)) or settle(df, purpose))
+    for max_keys in (10, 0):
+        assert 2 <= gen.links(spark.read.parquet(path), parents, PARTS, "DU", max_keys).size < 100
+    assert len(plans) == 2
+    for text in plans:
+        assert "BroadcastHashJoin LeftSemi" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text

@@ -187,3 +187,52 @@ def test_delivery_keeps_reading_order(spark, tables, lines, tmp_path, fmt):
     back = spark.read.format(fmt).load(path)
     assert back.count() == len(lines)
     assert back.filter("body_json IS NULL").count() == 9
+
+
+def scans_of(plans, file):
+    return sum(1 for text in plans for line in text.split("\n") if line.startswith("Location:") and f"/{file}.parquet" in line)
+
+
+def test_report_reads_every_log_once(spark, monkeypatch):
+    """Scans planned for a report, settled tables included: the log and, from the same file, the genealogy."""
+    import contextlib
+    import io
+
+    from linepareto.operators import settle as settling
+    from linepareto.plans import driver_line, families, scans
+
+    plans = []
+
+    def keep(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        plans.append(out.getvalue())
+
+    def settle(df, purpose):
+        keep(df)
+        return settling.settle(df, purpose)
+
+    from linepareto.operators import genealogy
+    for module in (families, scans, report, genealogy):
+        monkeypatch.setattr(module, "settle", settle)
+    keep(report.line_report(driver_line.tables(spark, "/root/testdata/sf0.001"), driver_line.LINE, driver_line.AS_OF))
+    got = {name: scans_of(plans, name) for name in ("lineitem", "events", "part", "orders", "supplier")}
+    assert got == {"lineitem": 2, "events": 1, "part": 1, "orders": 1, "supplier": 1}
+
+
+def test_lists_with_too_many_limits_are_scanned_apart(spark, tables, lines, monkeypatch):
+    from linepareto.operators import limits
+    monkeypatch.setattr(limits, "MAX_LOCAL_LIMITS", 2)
+    again = report.in_report_order(report.line_report(tables, STATOR_LINE, AS_OF)).collect()
+    assert again == lines
+
+
+def test_tagged_lists_equal_their_own_scans(spark):
+    from linepareto.plans import driver_line as d
+    from linepareto.plans import scans as sc
+
+    t = d.tables(spark, "/root/testdata/sf0.001")
+    shared = sc.Scans(t, d.LINE, d.SEVERAL, {sc.FORCE, sc.LIMITS})
+    for name, own in ((sc.FORCE, families.force_fails), (sc.LIMITS, families.limit_fails)):
+        assert sorted(shared.units(name).collect()) == sorted(own(t, d.LINE, d.SEVERAL).select(*shared.units(name).columns).collect())
