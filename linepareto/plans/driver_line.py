@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +23,7 @@ from linepareto.sources import driver_data
 from linepareto.sources.tables import LineTables
 from linepareto.streaming.counts import stream_units
 from linepareto.streaming.debounce import finish_debounce, start_debounce
-from linepareto.streaming.runs import run_available, start_reports
+from linepareto.streaming.runs import run_available, start_line_reports, start_reports
 
 VISION = (
     Limit("020", "eq", "Quantity Value", None, 3, 48),
@@ -76,6 +77,11 @@ LINE = LineConfig(
     traced_check=LimitCheck(LIMITS + SUMMARY, "raw"), reports=DRIVER_REPORTS,
 )
 
+# the same with lookbacks of days, which begin among the alarms
+ALARM_LINE = replace(LINE, reports=tuple(r._replace(hours=days * 24) for r, days in zip(DRIVER_REPORTS, (6, 12, 27))))
+# and for reports as of the newest measurement, whatever the hour
+ARRIVALS_LINE = replace(LINE, reports=tuple(r._replace(hours=years * YEAR, gate=()) for r, years in zip(DRIVER_REPORTS, (1, 2, 4))))
+
 START = datetime(1996, 1, 1)  # lookback threshold of the measurement queries
 ALARM_START = datetime(2024, 1, 3, 6)  # and of the alarm queries, plant time
 ONE = {"all": START}
@@ -234,6 +240,7 @@ def batch_queries() -> dict:
         "sliding_units": lambda t: sliding_units(t.alarms, "activated_at", units, "alarm_description"),
         "due_reports": due_reports,
         "report_sections": lambda t: line_report(t, LINE, AS_OF),
+        "report_sections_alarms": lambda t: line_report(t, ALARM_LINE, AS_OF),
     }
 
 
@@ -288,6 +295,14 @@ def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{target}/reports/batch=*").drop("title")
 
 
+def stream_line_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole report as of the newest measurement, built as measurements arrive."""
+    records = driver_data.param_records(_stream_tables(spark, folder)("lineitem"))
+    target = shared_folder(spark, "stream_line_report")
+    start_line_reports(records, lambda session: tables(session, folder), ARRIVALS_LINE, target).awaitTermination()
+    return spark.read.parquet(f"{target}/reports/batch=*")
+
+
 def queries() -> dict:
     """All registered queries, `name -> f(spark, folder)`."""
     def on_tables(query):
@@ -300,4 +315,5 @@ def queries() -> dict:
         "stream_debounced": stream_debounced,
         "stream_limit_check": stream_limit_check,
         "stream_report": stream_report,
+        "stream_line_report": stream_line_report,
     }

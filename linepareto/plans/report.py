@@ -12,7 +12,8 @@ from linepareto.operators.pareto import stack
 from linepareto.operators.settle import settle
 from linepareto.plans import families
 from linepareto.plans.config import SECTION_TITLES, LineConfig, Report
-from linepareto.plans.scans import BY_PARAMETER_LISTS, ORIGIN_LISTS, PINS, UNIQUE, Scans
+from linepareto.plans.scans import BY_PARAMETER_LISTS, ORIGIN_LISTS, PINS, UNIQUE, MergedScans, Scans
+from linepareto.session import run
 from linepareto.sources.tables import LineTables
 
 DETAILS = ("parameter_name", "origin", "pin_type")
@@ -50,9 +51,11 @@ def _report_no(due: tuple[Report, ...]) -> Column:
     return number
 
 
-def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFrame:
+def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime, partials: DataFrame | None = None) -> DataFrame:
     """All reports due at `as_of`, each list counted in one pass for all of them, from one scan of every log.
 
+    With hourly `partials` of the measurements these stand in for their log.
+
     Columns: report_no, report, section_no, title (of title rows), fail_count, station_name,
     detail and body_json (of lines). `in_report_order` gives the reading order.
     """
@@ -60,7 +63,8 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime) -> DataFra
     starts = cfg.starts(as_of)
     with_pins = {r.name: starts[r.name] for r in due if r.pin_types}
     lists = BY_PARAMETER_LISTS | ORIGIN_LISTS | {UNIQUE} | ({PINS} if with_pins else set())
-    scans = Scans(tables, cfg, starts, lists, with_pins)
+    scans = (Scans(tables, cfg, starts, lists, with_pins) if partials is None
+             else MergedScans(tables, cfg, starts, lists, with_pins, partials))
     counted = settle(families.by_parameter(tables, cfg, starts, scans), "by_parameter").df
     origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins, scans)
     sections = [counted, families.by_station(tables, cfg, starts, counted=counted, scans=scans), origins]
@@ -88,3 +92,10 @@ def in_report_order(report: DataFrame) -> DataFrame:
 def deliver(report: DataFrame, path: str, fmt: str = "json") -> None:
     """Write the report in reading order."""
     in_report_order(report).write.mode("overwrite").format(fmt).save(path)
+
+
+def deliver_line_report(tables: LineTables, cfg: LineConfig, as_of: datetime, path: str, fmt: str = "json",
+                        partials: DataFrame | None = None) -> None:
+    """Build and write the report as of an instant; no intermediate table of it is left."""
+    with run(tables.jobs.sparkSession):
+        deliver(line_report(tables, cfg, as_of, partials), path, fmt)

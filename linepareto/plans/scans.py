@@ -15,7 +15,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linepareto.functions.text import icontains
-from linepareto.functions.times import after
+from linepareto.functions.times import after, local_literal
 from linepareto.operators import alarms as al, genealogy as gen, limits as lim
 from linepareto.operators.limits import LimitCheck, for_variant
 from linepareto.operators.pareto import stack
@@ -32,6 +32,7 @@ FORCE, LIMITS, UNIQUE, FORCE_ROWS, RESULT, TRACED, PINS = "force", "limits", "un
 BY_PARAMETER_LISTS, ORIGIN_LISTS = frozenset({FORCE, LIMITS}), frozenset({FORCE_ROWS, RESULT, TRACED})
 
 _KEPT = ("station_name", "parameter_name", "work_element", "product_serial", "recorded_at")
+_GROUP = ("list", *_KEPT[:-1])
 
 
 def on_line(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks) -> DataFrame:
@@ -85,8 +86,8 @@ class Scans:
     @cached_property
     def variants(self) -> dict[str, tuple[str | None, dict[str, datetime]]]:
         """Lists of traced limits: their variant and the lookbacks that count with it."""
-        return {f"{TRACED} {number}": (variant, starts)
-                for number, (variant, starts) in enumerate(by_variant(self.cfg, self.lookbacks).items())}
+        return {f"{TRACED} {variant or 'base'}": (variant, starts)
+                for variant, starts in by_variant(self.cfg, self.lookbacks).items()}
 
     def _conditions(self, records: DataFrame) -> tuple[dict[str, Column], dict[str, tuple], Column]:
         """The list conditions on a record, lists with too many limits to be tested in place, and what any list needs."""
@@ -110,23 +111,25 @@ class Scans:
         needed += [lim.might_violate(lim.collapsed(set(tested[False])))] * bool(tested[False])
         return found, apart, reduce(lambda a, b: a | b, needed, F.lit(False))
 
-    @cached_property
-    def failures(self) -> Settled:
-        """(list, station_name, parameter_name, work_element, product_serial, newest, and rows per lookback)."""
-        records = on_line(self.tables, self.cfg, {**self.lookbacks, **self.pin_lookbacks})
+    def tagged(self, records: DataFrame) -> DataFrame:
+        """(list and what is kept) for every list a record counts in."""
         conditions, apart, needed = self._conditions(records)
         lists = F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions.items()])
-        # outer, so that the tags are not computed a second time to see whether there are any
         # by unit, so that the groups below need no second shuffle
-        tagged = lim.measured(dealt_out(records.filter(needed), "product_serial")).select(*_KEPT, lists.alias("lists")).select(
-            *_KEPT, F.explode_outer("lists").alias("list")).filter("list IS NOT NULL")
-        tagged = [tagged] if conditions else []
+        tested = lim.measured(dealt_out(records.filter(needed), "product_serial")).select(*_KEPT, lists.alias("lists"))
+        # outer, so that the tags are not computed a second time to see whether there are any
+        found = [tested.select(*_KEPT, F.explode_outer("lists").alias("list")).filter("list IS NOT NULL")] * bool(conditions)
         for name, (checks, loose) in apart.items():
             own = scope(records, shop_name=self.cfg.shop) if name == PINS else records
-            tagged.append(lim.check_violations(own, checks, loose).select(*_KEPT, F.lit(name).alias("list")))
-        rows = {f"rows_{name}": F.count_if(after(F.col("recorded_at"), start)) for name, start in self.lookbacks.items()}
-        return settle(stack(tagged).groupBy("list", *[c for c in _KEPT if c != "recorded_at"]).agg(
-            F.max("recorded_at").alias("newest"), *[n.alias(name) for name, n in rows.items()]), "failures")
+            found.append(lim.check_violations(own, checks, loose).select(*_KEPT, F.lit(name).alias("list")))
+        return stack(found)
+
+    @cached_property
+    def failures(self) -> Settled:
+        """(list, station_name, parameter_name, work_element, product_serial, newest, and rows per lookback)."""
+        records = on_line(self.tables, self.cfg, {**self.lookbacks, **self.pin_lookbacks})
+        rows = [F.count_if(after(F.col("recorded_at"), start)).alias(f"rows_{name}") for name, start in self.lookbacks.items()]
+        return settle(self.tagged(records).groupBy(*_GROUP).agg(F.max("recorded_at").alias("newest"), *rows), "failures")
 
     def units(self, name: str, by=BY_PARAMETER) -> DataFrame:
         """Distinct units of a list per lookback and group."""
@@ -158,3 +161,31 @@ class Scans:
         parts = gen.child_parts(records, cfg.child_prefix, cfg.child_parameter, cfg.spool_parameter, cfg.spool_value)
         kept = settle(gen.near(parts, built), "children").df
         return kept.filter("has_origin").select("child", "origin"), kept.filter("has_spool").select("child")
+
+
+def hourly_partials(records: DataFrame, cfg: LineConfig) -> DataFrame:
+    """Records of one arrival reduced per list, group, unit and hour: `newest`, `rows`, the `hour` and its `day`.
+
+    An hour holds what is later than its start, up to its end, as lookbacks that start on the hour do.
+    """
+    every = {report.name: datetime.min for report in cfg.reports}
+    scans = Scans(LineTables(), cfg, every, BY_PARAMETER_LISTS | ORIGIN_LISTS | {UNIQUE, PINS}, every)
+    hour = F.date_trunc("hour", F.col("recorded_at") - F.expr("INTERVAL 1 MICROSECOND")).cast("timestamp_ntz")
+    return (scans.tagged(scope(records, line_name=cfg.line).filter("recorded_at IS NOT NULL"))
+            .groupBy(*_GROUP, hour.alias("hour")).agg(F.max("recorded_at").alias("newest"), F.count("*").alias("rows"))
+            .withColumn("day", F.to_date("hour")))
+
+
+@dataclass(frozen=True)
+class MergedScans(Scans):
+    """The same read off hourly partials; the measurement log is not read at all."""
+
+    partials: DataFrame | None = None
+
+    @cached_property
+    def failures(self) -> Settled:
+        start = min({**self.lookbacks, **self.pin_lookbacks}.values())
+        recent = self.partials.filter((F.col("day") >= F.lit(start.date())) & (F.col("hour") >= local_literal(start)))
+        rows = [F.coalesce(F.sum(F.when(F.col("hour") >= local_literal(since), F.col("rows"))), F.lit(0)).alias(f"rows_{name}")
+                for name, since in self.lookbacks.items()]
+        return settle(recent.groupBy(*_GROUP).agg(F.max("newest").alias("newest"), *rows), "failures")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -26,8 +29,11 @@ def local_session(cores: int | str = "*", app: str = "linepareto") -> SparkSessi
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below `spark.checkpoint.dir`, which every executor can reach.
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+def _root(spark: SparkSession) -> str:
+    """The folder below `spark.checkpoint.dir`, which every executor can reach.
 
     Only a local master may go without that setting; it then gets a temporary folder.
     """
@@ -38,7 +44,29 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="linepareto-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/linepareto/{purpose}-{uuid4().hex}"
+    return f"{root.rstrip('/')}/linepareto"
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder in the shared one: of the `run` this is in, else to be removed by whoever wants it removed."""
+    return "/".join([_root(spark), *([_run.get()] if _run.get() else []), f"{purpose}-{uuid4().hex}"])
+
+
+@contextmanager
+def run(spark: SparkSession) -> Iterator[None]:
+    """All intermediate tables made inside are removed at its end, whether it fails or not.
+
+    What is to last has to be written elsewhere inside of it; a run within a run is part of the outer one.
+    """
+    if _run.get():
+        yield
+        return
+    token = _run.set(f"run-{uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove_folder(spark, f"{_root(spark)}/{_run.get()}")
+        _run.reset(token)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

@@ -7,11 +7,14 @@ from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linepareto.functions.times import is_ntz
-from linepareto.plans.report import deliver
+from linepareto.plans.config import LineConfig
+from linepareto.plans.report import deliver, deliver_line_report
+from linepareto.plans.scans import hourly_partials
+from linepareto.sources.tables import LineTables
 
 
 @contextmanager
@@ -64,3 +67,30 @@ def start_reports(arrivals: DataFrame, ts: str, build: Callable[[SparkSession, d
     return (arrivals.writeStream.foreachBatch(process)
             .option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def start_line_reports(records: DataFrame, tables: Callable[[SparkSession], LineTables], cfg: LineConfig, folder: str,
+                       **trigger) -> StreamingQuery:
+    """The line's whole report as of the newest measurement of every batch of `records`, to `folder`/reports.
+
+    A batch is reduced to hourly partials, which are kept in `folder`/partials by batch and day; a repeated batch
+    overwrites its own. Reports are merged from the partials their lookbacks reach into, so the
+    measurement log is read once, as it arrives, and late rows count from then on. Jobs, alarms and the genealogy
+    come from `tables`. Nothing else is left of a report.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, Observation()
+        partials = hourly_partials(batch.observe(seen, F.max("recorded_at").cast("string").alias("newest")), cfg)
+        schema = partials.schema
+        partials.write.mode("overwrite").partitionBy("day").parquet(f"{folder}/partials/batch={batch_id}")
+        newest = seen.get["newest"]
+        if newest is None:
+            return
+        as_of = datetime.fromisoformat(newest).replace(tzinfo=ZoneInfo(cfg.plant_tz)).astimezone(timezone.utc)
+        kept = spark.read.schema(schema.add("batch", "long")).option("basePath", f"{folder}/partials").parquet(f"{folder}/partials")
+        deliver_line_report(tables(spark), cfg, as_of, f"{folder}/reports/batch={batch_id}", "parquet", kept)
+
+    return (records.writeStream.foreachBatch(process)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(**(trigger or {"availableNow": True})).start())

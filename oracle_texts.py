@@ -240,30 +240,53 @@ def _wide_debounced() -> str:
     return f"SELECT alarm_source, {cols} FROM ({counts}) c GROUP BY alarm_source"
 
 
-def _sections() -> str:
-    """Report as of 2024-01-31 05:20 plant time: hourly (24 years) and shift end (28 years)."""
-    reports = ((1, "hourly", "2000-02-06 05:00:00", ALL), (2, "shift_end", "1996-02-07 05:00:00", SUMMARY))
-    until = {1: "05:00", 2: "2024-01-31 05:00"}
-    rows = ["(2, 'shift_end', 0, 'Shift Summary (Last Shift)')"]
-    for no, name, start, _ in reports:
-        rows += [f"({no}, '{name}', 1, 'Fail count by Parameter: {start[:16]} to {until[no]}')",
+def _sections(reports, headings: dict[str, str]) -> str:
+    """Reports `(name, start, from and to of the title as SQL, limits, pin types)` in order."""
+    rows, parts = [], []
+    for no, (name, start, span, limits, pins) in enumerate(reports, start=1):
+        heading = headings.get(name)
+        rows += [f"({no}, '{name}', 0, '{heading}')"] if heading else []
+        rows += [f"({no}, '{name}', 1, 'Fail count by Parameter: ' || {span})",
                  f"({no}, '{name}', 2, 'Fails by Station Pareto:')",
                  f"({no}, '{name}', 3, 'Fails by Hairpin Station:')"]
-    rows += ["(1, 'hourly', 4, 'Fails by Hairpin Type:')", "(2, 'shift_end', 4, NULL)"]
-    titles = f"""SELECT report_no, report, section_no, title, NULL::bigint AS fail_count,
- NULL::varchar AS station_name, NULL::varchar AS detail, NULL::varchar AS body_json
- FROM (VALUES {', '.join(rows)}) AS t(report_no, report, section_no, title)"""
-    parts = [titles]
-    for no, name, start, limits in reports:
-        for section, sql, details in ((1, _by_parameter(start, start), ["parameter_name"]),
-                                      (2, _by_station(start), []),
-                                      (3, _origins(start, limits), ["origin"]),
-                                      (4, _pins(start), ["origin", "pin_type"])):
+        rows += [f"({no}, '{name}', 4, {'NULL' if heading else chr(39) + 'Fails by Hairpin Type:' + chr(39)})"] if pins else []
+        sections = [(1, _by_parameter(start, start), ["parameter_name"]), (2, _by_station(start), []),
+                    (3, _origins(start, limits), ["origin"])] + [(4, _pins(start), ["origin", "pin_type"])] * pins
+        for section, sql, details in sections:
             detail = " || ' / ' || ".join(details) or "''"
             body = ", ".join(f"'{c}', {c}" for c in ["fail_count", "station_name", *details])
             parts.append(f"""SELECT {no}, '{name}', {section}, NULL, fail_count, station_name, {detail},
  cast(json_object({body}) AS varchar) FROM ({sql}) s{no}{section}""")
-    return " UNION ALL ".join(parts)
+    titles = f"""SELECT report_no, report, section_no, title, NULL::bigint AS fail_count,
+ NULL::varchar AS station_name, NULL::varchar AS detail, NULL::varchar AS body_json
+ FROM (VALUES {', '.join(rows)}) AS t(report_no, report, section_no, title)"""
+    return " UNION ALL ".join([titles, *parts])
+
+
+HEADINGS = {"mid_shift": "Mid-Shift Summary", "shift_end": "Shift Summary (Last Shift)"}
+
+
+def _shift_end(hourly: str, shift: str) -> str:
+    """Report as of 2024-01-31 05:20 plant time: hourly and shift end."""
+    until = {hourly: "05:00", shift: "2024-01-31 05:00"}
+    return _sections([(name, start, f"'{start[:16]} to {until[start]}'", limits, True)
+                      for name, start, limits in (("hourly", hourly, ALL), ("shift_end", shift, SUMMARY))], HEADINGS)
+
+
+def _arrivals() -> str:
+    """All reports as of the newest measurement: one, two and four years of 365 days."""
+    reports, starts = [], {}
+    for name, years, limits, pins in (("hourly", 1, ALL, True), ("mid_shift", 2, SUMMARY, False), ("shift_end", 4, SUMMARY, True)):
+        marker = f"2{years}00-01-01 00:00:00"  # stands for a threshold that the tables give
+        starts[marker] = f"(SELECT date_trunc('hour', max(recorded_at) - INTERVAL {years * 365 * 24} HOUR) FROM param_records)"
+        until = "%H:00" if name == "hourly" else "%Y-%m-%d %H:00"
+        span = (f"strftime(TIMESTAMP '{marker}', '%Y-%m-%d %H:00') || ' to ' || "
+                f"strftime((SELECT max(recorded_at) FROM param_records), '{until}')")
+        reports.append((name, marker, span, limits, pins))
+    sql = _sections(reports, HEADINGS)
+    for marker, start in starts.items():
+        sql = sql.replace(f"TIMESTAMP '{marker}'", start)
+    return sql
 
 
 def _closed(width: int) -> str:
@@ -324,7 +347,8 @@ def oracle_sql() -> dict[str, str]:
         "sliding_units": SLIDING,
         "due_reports": f"""SELECT local_hour, n, {hours} FROM (SELECT cast(hour(activated_local) AS int)
  AS local_hour, count(*) AS n FROM alarms GROUP BY 1) h""",
-        "report_sections": _sections(),
+        "report_sections": _shift_end("2000-02-06 05:00:00", "1996-02-07 05:00:00"),
+        "report_sections_alarms": _shift_end("2024-01-25 05:00:00", "2024-01-04 05:00:00"),
         "stream_units": f"SELECT * FROM ({TUMBLING}) w WHERE {_closed(1)}",
         "stream_sliding_units": f"SELECT * FROM ({SLIDING}) w WHERE {_closed(8)}",
         "stream_debounced": f"""SELECT alarm_source, count(*) AS n FROM (SELECT *, lag(cleared_at) OVER
@@ -332,6 +356,7 @@ def oracle_sql() -> dict[str, str]:
  WHERE {GAP} GROUP BY alarm_source""",
         "stream_limit_check": f"""SELECT count(DISTINCT product_serial) AS fail_count, station_name,
  parameter_name FROM param_records r WHERE {_lim(ALL)} GROUP BY station_name, parameter_name""",
+        "stream_line_report": _arrivals(),
         "stream_report": f"""SELECT 1 AS report_no, 'jobs' AS report, 1 AS section_no, fail_count,
  station_name, parameter_name AS detail FROM (SELECT count(DISTINCT product_serial) AS fail_count,
  station_name, work_location_desc AS parameter_name FROM jobs WHERE shop_name = 'SHOP1'

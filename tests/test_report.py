@@ -236,3 +236,20 @@ def test_tagged_lists_equal_their_own_scans(spark):
     shared = sc.Scans(t, d.LINE, d.SEVERAL, {sc.FORCE, sc.LIMITS})
     for name, own in ((sc.FORCE, families.force_fails), (sc.LIMITS, families.limit_fails)):
         assert sorted(shared.units(name).collect()) == sorted(own(t, d.LINE, d.SEVERAL).select(*shared.units(name).columns).collect())
+
+
+def test_nothing_is_left_of_a_delivered_report(spark, tables, lines, tmp_path):
+    from pathlib import Path
+
+    from linepareto import session
+
+    root = Path(session._root(spark))
+    before = set(root.glob("*"))
+    report.deliver_line_report(tables, STATOR_LINE, AS_OF, str(tmp_path / "now"), "parquet")
+    assert set(root.glob("*")) == before
+    assert spark.read.parquet(str(tmp_path / "now")).count() == len(lines)
+    with pytest.raises(ZeroDivisionError), session.run(spark):
+        session.shared_folder(spark, "x")
+        spark.range(3).write.parquet(session.shared_folder(spark, "x"))
+        1 / 0
+    assert set(root.glob("*")) == before

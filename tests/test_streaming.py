@@ -123,3 +123,45 @@ def test_report_per_arrival(spark, events, tmp_path):
     assert reports.count() == 4
     last = batch(spark, events).agg(F.max("activated_at").cast("string")).first()[0]
     assert reports.agg(F.max("as_of")).first()[0] == str(datetime.fromisoformat(last).replace(tzinfo=timezone.utc))
+
+
+def test_line_reports_of_several_arrivals_equal_batch_reports(spark, tmp_path):
+    """Three arrivals out of order; each report equals the batch report over what has arrived, and leaves nothing else."""
+    import time
+    from datetime import datetime, timezone
+    from pathlib import Path
+    from zoneinfo import ZoneInfo
+
+    import pyarrow.parquet as pq
+
+    from linepareto import session
+    from linepareto.plans import driver_line as d
+    from linepareto.plans.report import line_report
+    from linepareto.sources import driver_data
+    from linepareto.sources.tables import LineTables
+    from linepareto.streaming.runs import start_line_reports
+
+    folder = "/root/testdata/sf0.001"
+    whole = pq.read_table(f"{folder}/lineitem.parquet").sort_by("l_partkey")
+    log = tmp_path / "log"
+    log.mkdir()
+    third = whole.num_rows // 3
+    for k in range(3):
+        pq.write_table(whole.slice(k * third, third if k < 2 else None), log / f"part-{k}.parquet")
+        time.sleep(0.05)
+    stream = spark.readStream.schema(driver_data.BASE_SCHEMAS["lineitem"]).option("maxFilesPerTrigger", 1).parquet(str(log))
+    before = set(Path(session._root(spark)).glob("run-*"))
+    target = str(tmp_path / "out")
+    start_line_reports(driver_data.param_records(stream), lambda s: d.tables(s, folder), d.ARRIVALS_LINE, target).awaitTermination()
+    assert set(Path(session._root(spark)).glob("run-*")) == before
+
+    for batch in (0, 2):
+        arrived = spark.read.schema(driver_data.BASE_SCHEMAS["lineitem"]).parquet(*[str(log / f"part-{k}.parquet") for k in range(batch + 1)])
+        own = whole.slice(batch * third, third if batch < 2 else None)
+        newest = max(own["l_shipdate"].to_pylist()).replace(tzinfo=ZoneInfo("America/Chicago")).astimezone(timezone.utc)
+        t = d.tables(spark, folder)
+        now = LineTables(jobs=t.jobs, param_records=driver_data.param_records(arrived), alarms=t.alarms, genealogy=t.genealogy,
+                         work_element_names=t.work_element_names, child_records=t.child_records)
+        wanted = line_report(now, d.ARRIVALS_LINE, newest)
+        got = spark.read.parquet(f"{target}/reports/batch={batch}").select(wanted.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect())) and got.count() > 30
