@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linepareto.functions.text import icontains, key_after
 from linepareto.functions.times import after_local, is_ntz
+from linepareto.operators.settle import settle
 from linepareto.sources.layout import from_day
 
 
@@ -68,12 +69,15 @@ def _previous(rows: DataFrame, at: Column, order: Sequence[str], value: str, res
     return joined.withColumn(result, found).drop(name, carried, "_first", "_source", "_at")
 
 
-def with_prev_cleared(alarms: DataFrame, slices: Sequence[int] = SLICES) -> DataFrame:
+def with_prev_cleared(alarms: DataFrame, slices: Sequence[int] = SLICES, settled: bool = False) -> DataFrame:
     """Add times of the alarm before, per source, in order of activation.
 
     Adds `prev_activated_at` (null: no alarm before) and `prev_cleared_at` (null as well if
-    that alarm never cleared).
+    that alarm never cleared). The slices are read several times, so alarms that are not `settled` are settled
+    first: their log is scanned once, and what is read again is only what passed its filters.
     """
+    if not settled:
+        alarms = settle(alarms, "alarms").df
     times = alarms.withColumn("_times", F.struct("activated_at", "cleared_at"))
     found = _previous(times, _seconds(alarms, "activated_at"), _order(alarms), "_times", "_prev", slices)
     return found.select(*alarms.columns, F.col("_prev.activated_at").alias("prev_activated_at"),

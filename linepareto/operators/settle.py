@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -32,6 +35,12 @@ def settle(df: DataFrame, purpose: str) -> Settled:
     return Settled(df.sparkSession.read.schema(df.schema).parquet(folder), counted.get["size"])
 
 
+def together(*calls: Callable[[], Any]) -> list:
+    """Results of calls that do not need each other: the jobs they run while they build are run side by side."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [job.result() for job in [pool.submit(copy_context().run, call) for call in calls]]
+
+
 def dealt_out(rows: DataFrame, key: str) -> DataFrame:
     """`rows` by `key` over all cores, if they are read in fewer pieces than there are; else as they are.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from linepareto.functions.text import icontains
 from linepareto.operators import alarms as al, genealogy as gen, pareto
 from linepareto.operators.limits import check_violations, status_fails
-from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, settle
+from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, settle, together
 from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope, tall
 from linepareto.plans.config import AlarmRule, LineConfig
 from linepareto.plans.scans import (
@@ -54,7 +54,7 @@ def _scoped(tables: LineTables, cfg: LineConfig, rule: AlarmRule, lookbacks: Loo
 
 def plate_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans: Scans | None = None) -> DataFrame:
     """Debounced alarms of the check plate; a zero row per lookback without any."""
-    ordered = al.with_prev_cleared(_scoped(tables, cfg, cfg.plate, lookbacks, scans))
+    ordered = al.with_prev_cleared(_scoped(tables, cfg, cfg.plate, lookbacks, scans), settled=scans is not None)
     flags = al.debounced_flags(ordered, lookbacks, cfg.plant_tz, cfg.gap)
     matching = ordered.filter(icontains(F.col("alarm_description"), cfg.plate.description))
     wide = al.count_flags(matching, flags).select(
@@ -164,8 +164,8 @@ def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookb
     """
     if scans is None:
         scans = Scans(tables, cfg, lookbacks, ORIGIN_LISTS | ({PINS} if pin_lookbacks else set()), pin_lookbacks)
-    units = settle(scans.failing_units(), "failing")
-    force = settle(scans.failing_rows(), "failing")
+    scans.failures  # before what is read off it
+    units, force = together(lambda: settle(scans.failing_units(), "failing"), lambda: settle(scans.failing_rows(), "failing"))
     parents = units.df.select("parent").union(force.df.select("parent"))
     built = _links(tables, cfg, Settled(parents, units.size + force.size))
     origins, spools = scans.children(built)
@@ -185,6 +185,7 @@ def by_origin_and_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Lookb
 def by_parameter(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans: Scans | None = None) -> DataFrame:
     """The combined list of all failures by station and parameter or alarm."""
     scans = scans or Scans(tables, cfg, lookbacks, BY_PARAMETER_LISTS)
+    together(lambda: scans.failures, lambda: scans.alarms)
     alarms = [family(tables, cfg, lookbacks, scans) for family in (plate_fails, gripper_fails, weld_fails)]
     return pareto.combined([job_fails(tables, cfg, lookbacks), scans.units(FORCE), *alarms, scans.units(LIMITS)])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linepareto.functions.times import to_local
 from linepareto.operators.pareto import stack
-from linepareto.operators.settle import settle
+from linepareto.operators.settle import settle, together
 from linepareto.plans import families
 from linepareto.plans.config import SECTION_TITLES, LineConfig, Report
 from linepareto.plans.scans import BY_PARAMETER_LISTS, ORIGIN_LISTS, PINS, UNIQUE, MergedScans, Scans
@@ -65,8 +65,10 @@ def line_report(tables: LineTables, cfg: LineConfig, as_of: datetime, partials:
     lists = BY_PARAMETER_LISTS | ORIGIN_LISTS | {UNIQUE} | ({PINS} if with_pins else set())
     scans = (Scans(tables, cfg, starts, lists, with_pins) if partials is None
              else MergedScans(tables, cfg, starts, lists, with_pins, partials))
-    counted = settle(families.by_parameter(tables, cfg, starts, scans), "by_parameter").df
-    origins, pins = families.by_origin_and_pin_type(tables, cfg, starts, with_pins, scans)
+    together(lambda: scans.failures, lambda: scans.alarms)  # before what is read off them
+    counted, (origins, pins) = together(
+        lambda: settle(families.by_parameter(tables, cfg, starts, scans), "by_parameter").df,
+        lambda: families.by_origin_and_pin_type(tables, cfg, starts, with_pins, scans))
     sections = [counted, families.by_station(tables, cfg, starts, counted=counted, scans=scans), origins]
     if pins is not None:
         sections.append(pins)

@@ -115,8 +115,10 @@ class Scans:
         """(list and what is kept) for every list a record counts in."""
         conditions, apart, needed = self._conditions(records)
         lists = F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions.items()])
-        # by unit, so that the groups below need no second shuffle
-        tested = lim.measured(dealt_out(records.filter(needed), "product_serial")).select(*_KEPT, lists.alias("lists"))
+        possible = records.filter(needed)
+        if PINS in self.lists:  # much to test per record; by unit, so that the groups below need no second shuffle
+            possible = dealt_out(possible, "product_serial")
+        tested = lim.measured(possible).select(*_KEPT, lists.alias("lists"))
         # outer, so that the tags are not computed a second time to see whether there are any
         found = [tested.select(*_KEPT, F.explode_outer("lists").alias("list")).filter("list IS NOT NULL")] * bool(conditions)
         for name, (checks, loose) in apart.items():

@@ -34,7 +34,7 @@ def debounce_batch(due: DataFrame, last: DataFrame | None, gap: str) -> tuple[Da
     seen = due.withColumn("_old", F.lit(False))
     if last is not None:
         seen = seen.unionByName(last.withColumn("_old", F.lit(True)))
-    counted = with_prev_cleared(seen).filter(~F.col("_old") & gap_passed(gap))
+    counted = with_prev_cleared(seen, settled=True).filter(~F.col("_old") & gap_passed(gap))
     return counted.select(*due.columns), last_per_source(seen.drop("_old"))
 
 

@@ -132,3 +132,16 @@ def test_alarms_without_source_or_time_have_predecessors(spark):
         plain = df.withColumn("p", F.lag("cleared_at").over(Window.partitionBy("alarm_source").orderBy("activated_at", "event_id")))
         expected = {r.event_id: r.p for r in plain.collect()}
         assert {r.event_id: r.prev_cleared_at for r in al.with_prev_cleared(df).collect()} == expected
+
+
+def test_debounce_scans_the_log_once(spark, plan, tmp_path, monkeypatch):
+    from linepareto.operators import alarms as al
+
+    path = str(tmp_path / "alarms")
+    spark.range(50).selectExpr("concat('s', id % 3) AS alarm_source", "timestamp_seconds(id * 20) AS activated_at",
+                               "timestamp_seconds(id * 20 + 5) AS cleared_at", "'x' AS alarm_description").write.parquet(path)
+    scanned, settle = [], al.settle
+    monkeypatch.setattr(al, "settle", lambda df, purpose: scanned.append(plan(df)) or settle(df, purpose))
+    found = al.debounce(spark.read.parquet(path), "1 minute")
+    assert len(scanned) == 1 and path in scanned[0] and path not in plan(found)
+    assert found.count() == 3
