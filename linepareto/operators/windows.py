@@ -28,3 +28,29 @@ def sliding_units(rows: DataFrame, ts: str, by: Sequence[str], unit: str, hours:
     starts = F.sequence(F.col("_from"), F.col("_hour"), F.expr("INTERVAL 1 HOUR"))
     return (opened.select(*by, F.explode(starts).alias("window_start"))
             .groupBy("window_start", *by).agg(F.count("*").alias("n")))
+
+
+# log2 of a sketch's registers: a relative standard error of 1.04 / sqrt(4096), 1.6 %; 5 % are three of them.
+SKETCH_LG_K = 12
+SKETCH_ERROR = 0.05
+
+
+def hourly_sketches(rows: DataFrame, ts: str, by: Sequence[str], unit: str, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """`(window_start, group, sketch)`: the distinct units of an hour in at most 2**lg_k registers.
+
+    For groups whose units are too many to be kept: sketches of any hours or parts of the log are merged by union.
+    """
+    return (rows.filter(F.col(unit).isNotNull()).groupBy(F.window(ts, "1 hour")["start"].alias("window_start"), *by)
+            .agg(F.hll_sketch_agg(unit, F.lit(lg_k)).alias("sketch")))
+
+
+def sketched_units(sketches: DataFrame, by: Sequence[str], hours: int = 8) -> DataFrame:
+    """About the distinct units in every window of `hours` that starts on the hour, from hourly sketches.
+
+    Within SKETCH_ERROR of `sliding_units` (of `tumbling_units` for one hour), exact for a few hundred units.
+    """
+    first = F.col("window_start") - F.expr(f"INTERVAL {hours - 1} HOURS")
+    starts = F.sequence(first, F.col("window_start"), F.expr("INTERVAL 1 HOUR"))
+    merged = sketches.select(*by, "sketch", F.explode(starts).alias("window_start")).groupBy("window_start", *by).agg(
+        F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("window_start", *by, F.hll_sketch_estimate("sketch").alias("n"))

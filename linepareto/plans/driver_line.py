@@ -14,14 +14,14 @@ from linepareto.operators import alarms as al, genealogy as gen, pareto
 from linepareto.operators.limits import Limit, LimitCheck, for_variant, limit_violations
 from linepareto.operators.units import (
     count_units, fails_by_parameter, fails_multi_lookback, nonzero, scope, unique_failed_units)
-from linepareto.operators.windows import sliding_units, tumbling_units
+from linepareto.operators.windows import hourly_sketches, sketched_units, sliding_units, tumbling_units
 from linepareto.plans import families
 from linepareto.plans.config import REPORTS, AlarmRule, LineConfig, Report, StatusCheck
 from linepareto.plans.report import line_report
 from linepareto.session import shared_folder
 from linepareto.sources import driver_data
 from linepareto.sources.tables import LineTables
-from linepareto.streaming.counts import stream_units
+from linepareto.streaming.counts import stream_sketched_units, stream_units
 from linepareto.streaming.debounce import finish_debounce, start_debounce
 from linepareto.streaming.runs import run_available, start_line_reports, start_reports
 
@@ -238,6 +238,7 @@ def batch_queries() -> dict:
         "windowed_units": lambda t: tumbling_units(t.alarms, "activated_at", units, "alarm_description")
             .withColumnRenamed("window_start", "hour_start"),
         "sliding_units": lambda t: sliding_units(t.alarms, "activated_at", units, "alarm_description"),
+        "sketched_units": lambda t: sketched_units(hourly_sketches(t.alarms, "activated_at", units, "alarm_description"), units),
         "due_reports": due_reports,
         "report_sections": lambda t: line_report(t, LINE, AS_OF),
         "report_sections_alarms": lambda t: line_report(t, ALARM_LINE, AS_OF),
@@ -261,6 +262,12 @@ def stream_sliding_units(spark: SparkSession, folder: str) -> DataFrame:
     return run_available(counted, shared_folder(spark, "stream_sliding_units"))
 
 
+def stream_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    alarms = driver_data.alarms(_stream_tables(spark, folder)("events"))
+    counted = stream_sketched_units(alarms, "activated_at", ["alarm_source"], "alarm_description")
+    return run_available(counted, shared_folder(spark, "stream_sketches"))
+
+
 def stream_debounced(spark: SparkSession, folder: str) -> DataFrame:
     alarms = driver_data.alarms(_stream_tables(spark, folder)("events"))
     target = shared_folder(spark, "stream_debounced")
@@ -312,6 +319,7 @@ def queries() -> dict:
     return registered | {
         "stream_units": stream_units_query,
         "stream_sliding_units": stream_sliding_units,
+        "stream_sketches": stream_sketches,
         "stream_debounced": stream_debounced,
         "stream_limit_check": stream_limit_check,
         "stream_report": stream_report,

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linepareto.functions.times import is_ntz
+from linepareto.operators.windows import SKETCH_LG_K
 
 
 def as_instant(rows: DataFrame, ts: str) -> DataFrame:
@@ -38,3 +39,16 @@ def stream_units(rows: DataFrame, ts: str, by: Sequence[str], unit: str, width:
         once = once.select(overlapping.alias("window"), *by, unit).dropDuplicates(["window", *by, unit])
     counted = once.groupBy("window", *by).agg(F.count("*").alias("n"))
     return counted.select(as_wall(F.col("window.start")).alias("window_start"), *by, "n")
+
+
+def stream_sketched_units(rows: DataFrame, ts: str, by: Sequence[str], unit: str, hours: int = 8, delay: str = "1 hour",
+                          lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """As `stream_units` over windows of `hours` that start on the hour, but about: see `sketched_units`.
+
+    The state is a sketch per hour and group instead of every unit seen.
+    """
+    timed = as_instant(rows, ts).withWatermark(ts, delay).filter(F.col(unit).isNotNull())
+    hourly = timed.groupBy(F.window(ts, "1 hour").alias("window"), *by).agg(F.hll_sketch_agg(unit, F.lit(lg_k)).alias("sketch"))
+    over = F.window(F.window_time("window"), f"{hours} hours", "1 hour")
+    merged = hourly.groupBy(over.alias("window"), *by).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(as_wall(F.col("window.start")).alias("window_start"), *by, F.hll_sketch_estimate("sketch").alias("n"))

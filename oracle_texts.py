@@ -350,6 +350,8 @@ def oracle_sql() -> dict[str, str]:
         "report_sections": _shift_end("2000-02-06 05:00:00", "1996-02-07 05:00:00"),
         "report_sections_alarms": _shift_end("2024-01-25 05:00:00", "2024-01-04 05:00:00"),
         "stream_units": f"SELECT * FROM ({TUMBLING}) w WHERE {_closed(1)}",
+        "sketched_units": SLIDING,  # exact for as few units as these windows have
+        "stream_sketches": f"SELECT * FROM ({SLIDING}) w WHERE {_closed(8)}",
         "stream_sliding_units": f"SELECT * FROM ({SLIDING}) w WHERE {_closed(8)}",
         "stream_debounced": f"""SELECT alarm_source, count(*) AS n FROM (SELECT *, lag(cleared_at) OVER
  (PARTITION BY alarm_source ORDER BY activated_at, event_id) AS prev_cleared_at FROM alarms) b

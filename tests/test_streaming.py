@@ -165,3 +165,30 @@ def test_line_reports_of_several_arrivals_equal_batch_reports(spark, tmp_path):
         wanted = line_report(now, d.ARRIVALS_LINE, newest)
         got = spark.read.parquet(f"{target}/reports/batch={batch}").select(wanted.columns)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect())) and got.count() > 30
+
+
+def test_sketches_are_near_the_exact_counts(spark, tmp_path):
+    """20,000 units of one hot source and a few of another, over windows of one, four and eight hours, batch and stream."""
+    from pyspark.sql import functions as F
+
+    from linepareto.operators.windows import SKETCH_ERROR, hourly_sketches, sketched_units, sliding_units
+    from linepareto.streaming.counts import stream_sketched_units
+    from linepareto.streaming.runs import run_available
+
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 == 0, "B").otherwise("A").alias("source"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 11 as int), 0, cast(id % 3600 as int))").alias("at"),
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("u"), F.col("id") % 50)).otherwise(
+            F.concat(F.lit("u"), F.col("id") % 20_000)).alias("unit")).unionByName(
+        spark.sql("SELECT 'A' AS source, timestamp_ntz'2024-01-01 02:00:00' AS at, CAST(NULL AS STRING) AS unit"))
+    sketches = hourly_sketches(rows, "at", ["source"], "unit")
+    for hours in (1, 4, 8):
+        exact = {(r.window_start, r.source): r.n for r in sliding_units(rows, "at", ["source"], "unit", hours).collect()}
+        about = {(r.window_start, r.source): r.n for r in sketched_units(sketches, ["source"], hours).collect()}
+        assert exact.keys() == about.keys() and max(exact.values()) > 4000
+        assert all(abs(about[k] - n) <= (SKETCH_ERROR * n if k[1] == "A" else 0) for k, n in exact.items())
+    rows.write.parquet(str(tmp_path / "rows"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+    got = run_available(stream_sketched_units(stream, "at", ["source"], "unit", 4), str(tmp_path / "out")).collect()
+    exact = {(r.window_start, r.source): r.n for r in sliding_units(rows, "at", ["source"], "unit", 4).collect()}
+    assert len(got) > 10 and all(abs(r.n - exact[r.window_start, r.source]) <= SKETCH_ERROR * r.n for r in got)
