@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from linepareto import schemas
 from linepareto.operators.settle import settle
 from linepareto.operators.skew import HOT_ROWS, hot_keys, spread_join
+from linepareto.sources.layout import NUMBER
 
 # Bands up to this number are broadcast; more are joined by shuffle.
 MAX_LOCAL_LIMITS = 10_000
@@ -116,8 +117,8 @@ def table_bands(limits: DataFrame, check: LimitCheck, variant: str | None = None
                         *[F.lit(getattr(check, c)).alias(f"_{c}") for c in _CHECK], "_lo", "_hi")
 
 
-def might_violate(bands: Sequence[Band], loose: bool = False) -> Column:
-    """A necessary condition in plain comparisons, for the scan to prune on."""
+def might_violate(bands: Sequence[Band], loose: bool = False, raw: str | None = None) -> Column:
+    """A necessary condition in plain comparisons, for the scan to prune on; `raw` is a column with the text as a number."""
     def one(value: str, status: str | None) -> Column:
         own = [x for x in bands if (x.value, x.status) == (value, status)]
         stations = sorted({x.station_name for x in own})
@@ -130,8 +131,9 @@ def might_violate(bands: Sequence[Band], loose: bool = False) -> Column:
             possible &= _any(_named(own))
         if not loose and 1 < len(stations) <= MAX_STATIONS:
             possible &= _any(_at_station(s, False) & _any(_named([x for x in own if x.station_name == s])) for s in stations)
-        if value == "num":
-            number = F.col("parameter_value_num")
+        number = "parameter_value_num" if value == "num" else raw
+        if number is not None:
+            number = F.col(number)
             low, high = [x.lo for x in own if x.lo is not None], [x.hi for x in own if x.hi is not None]
             possible &= _any([number < max(low)] * bool(low) + [number > min(high)] * bool(high))
         return possible
@@ -272,7 +274,8 @@ def _bands_of(checks: Sequence[LimitCheck] | Sequence[Band]) -> list[Band]:
 
 def measured(records: DataFrame) -> DataFrame:
     """Records with the text value as a number in `_measured`; null where it is none."""
-    return records.withColumn("_measured", F.col("parameter_value_raw").try_cast("double"))
+    number = F.col(NUMBER) if NUMBER in records.columns else F.col("parameter_value_raw").try_cast("double")
+    return records.withColumn("_measured", number)
 
 
 def _outside(records: DataFrame, bands: list[Band], loose: bool) -> DataFrame:
@@ -280,7 +283,7 @@ def _outside(records: DataFrame, bands: list[Band], loose: bool) -> DataFrame:
     if not bands:
         return records.filter(F.lit(False))
     if len(bands) <= MAX_LOCAL_LIMITS:
-        records = records.filter(might_violate(bands, loose))
+        records = records.filter(might_violate(bands, loose, NUMBER if NUMBER in records.columns else None))
     values, locations = {band.value for band in bands}, {band.location for band in bands}
     tested = measured(records) if "raw" in values else records
     if len(bands) <= MAX_LOCAL_LIMITS and all(band.match_mode == "eq" for band in bands):

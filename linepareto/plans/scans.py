@@ -22,7 +22,7 @@ from linepareto.operators.pareto import stack
 from linepareto.operators.settle import Settled, dealt_out, settle
 from linepareto.operators.units import BY_PARAMETER, count_units, scope
 from linepareto.plans.config import LineConfig
-from linepareto.sources.layout import from_day
+from linepareto.sources.layout import NUMBER, from_day
 from linepareto.sources.tables import LineTables
 
 Lookbacks = Mapping[str, datetime]
@@ -108,7 +108,8 @@ class Scans:
                 tested[loose] += checks
         if tested[True]:  # limits of any station with theirs in its name: nearly every record may be outside
             return found, apart, F.lit(True)
-        needed += [lim.might_violate(lim.collapsed(set(tested[False])))] * bool(tested[False])
+        number = NUMBER if NUMBER in records.columns else None
+        needed += [lim.might_violate(lim.collapsed(set(tested[False])), raw=number)] * bool(tested[False])
         return found, apart, reduce(lambda a, b: a | b, needed, F.lit(False))
 
     def tagged(self, records: DataFrame) -> DataFrame:

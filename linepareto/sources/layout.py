@@ -1,19 +1,40 @@
-"""Log tables laid out by day, so that a lookback opens only the days it reaches into."""
+"""Log tables laid out by day, so that a lookback opens only the days it reaches into, and sorted within."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DAY = "log_day"
+# The raw value of a measurement as a number, beside the text it is logged as.
+NUMBER = "log_number"
+LAYOUT = (DAY, NUMBER)
+
+
+def _day(df: DataFrame, ts: str) -> Column:
+    return F.to_date(F.to_utc_timestamp(ts, F.current_timezone()) if dict(df.dtypes)[ts] == "timestamp" else F.col(ts))
 
 
 def write_by_day(df: DataFrame, ts: str, path: str) -> None:
     """Append `df` to a Parquet table partitioned by the day of `ts` (of a zoned time: its UTC day)."""
-    day = F.to_date(F.to_utc_timestamp(ts, F.current_timezone())
-                    if dict(df.dtypes)[ts] == "timestamp" else F.col(ts))
-    df.withColumn(DAY, day).write.mode("append").partitionBy(DAY).parquet(path)
+    df.withColumn(DAY, _day(df, ts)).write.mode("append").partitionBy(DAY).parquet(path)
+
+
+def write_clustered(df: DataFrame, ts: str, path: str, by: Sequence[str] = ("station_name", "parameter_name"),
+                    raw: str | None = "parameter_value_raw", **options: str) -> None:
+    """As `write_by_day`, each day's rows sorted by station and parameter, and `raw` as a number beside it.
+
+    Files and their row groups then hold few stations and parameters, and a scan for some of them, or for raw
+    values outside a band, skips the others by their statistics. Rows are cut by range, `ts` included, so a
+    parameter with a large share of a day is spread over several files.
+    """
+    laid = df.withColumn(DAY, _day(df, ts))
+    if raw is not None:
+        laid = laid.withColumn(NUMBER, F.col(raw).try_cast("double"))
+    laid = laid.repartitionByRange(DAY, *by, ts).sortWithinPartitions(DAY, *by, ts)
+    laid.write.mode("append").options(**options).partitionBy(DAY).parquet(path)
 
 
 def from_day(df: DataFrame, start: datetime, zones: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from linepareto import schemas
-from linepareto.sources.layout import DAY
+from linepareto.sources.layout import LAYOUT
 
 # Names the plant's own tables use where ours are shorter.
 WAREHOUSE_COLUMNS = {
@@ -38,7 +38,7 @@ def conform(df: DataFrame, schema: T.StructType, renamed: Mapping[str, str] | No
             problems.append(f"{source}: {kind.simpleString()}, not {field.dataType.simpleString()}")
     if problems:
         raise SchemaMismatch("; ".join(problems))
-    layout = [DAY] if DAY in df.columns else []
+    layout = [name for name in LAYOUT if name in df.columns]
     return df.select(*[F.col(renamed.get(f.name, f.name)).alias(f.name) for f in schema.fields], *layout)
 
 

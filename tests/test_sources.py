@@ -92,3 +92,41 @@ def test_lookback_opens_only_the_days_it_reaches(spark, tmp_path, plan):
     kept = alarm_scope(source.alarms, "060", ("high",), start["all"], "America/Chicago")
     assert kept.count() == 6  # 18:30 to 23:30 UTC is 12:30 to 17:30 at the plant
     assert "2024-01-01" in [x for x in plan(kept).splitlines() if "PartitionFilters" in x][0]
+
+
+def test_clustered_log_skips_row_groups(spark, plan, tmp_path):
+    """Limits on raw values reach the scan as comparisons, and few row groups hold what they ask for."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from linepareto import schemas
+    from linepareto.operators.limits import Limit, limit_violations
+    from linepareto.sources import tables
+    from linepareto.sources.layout import NUMBER, write_by_day, write_clustered
+
+    raw = F.when(F.col("id") % 97 == 0, "n/a").otherwise((F.col("id") % 500 / 10).cast("string"))
+    made = {"product_serial": F.col("id").cast("string"), "line_name": F.lit("L"),
+            "station_name": F.when(F.col("id") % 3 == 0, "010").otherwise(F.concat(F.lit("0"), (F.col("id") % 7 + 2) * 10)),
+            "parameter_name": F.concat(F.lit("P"), F.col("id") % 5), "parameter_value_raw": raw,
+            "recorded_at": F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 3 as int), 0, 0, cast(id as int))")}
+    log = spark.range(30_000).select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.PARAM_RECORDS])
+    write_by_day(log, "recorded_at", str(tmp_path / "plain"))
+    write_clustered(log, "recorded_at", str(tmp_path / "sorted"), **{"parquet.block.size": "16384", "parquet.page.size": "2048",
+                                                                    "parquet.page.size.row.check.min": "10"})
+    limits = (Limit("030", "eq", "P1", None, 1, 49), Limit("030", "eq", "P2", None, None, 45))
+    found = {}
+    for name in ("plain", "sorted"):
+        read = tables.param_records(spark, str(tmp_path / name))
+        found[name] = limit_violations(read, limits)
+        assert (NUMBER in read.columns) == (name == "sorted")
+    key = ["product_serial", "parameter_name", "parameter_value_raw"]
+    assert sorted(found["sorted"].select(key).collect()) == sorted(found["plain"].select(key).collect()) != []
+    pushed = [line for line in plan(found["sorted"]).split("\n") if "PushedFilters" in line][0]
+    assert f"GreaterThan({NUMBER},45.0)" in pushed and "EqualTo(station_name,030)" in pushed
+    groups = [pq.ParquetFile(f).metadata.row_group(g) for f in Path(tmp_path / "sorted").rglob("*.parquet")
+              for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    at = schemas.PARAM_RECORDS.fieldNames().index("station_name")
+    asked = [g for g in groups if g.column(at).statistics.min <= "030" <= g.column(at).statistics.max]
+    assert len(asked) <= 0.4 * len(groups)
