@@ -13,7 +13,7 @@ from linepareto.operators.settle import settle, together
 from linepareto.plans import families
 from linepareto.plans.config import SECTION_TITLES, LineConfig, Report
 from linepareto.plans.scans import BY_PARAMETER_LISTS, ORIGIN_LISTS, PINS, UNIQUE, MergedScans, Scans
-from linepareto.session import run
+from linepareto.session import published, run
 from linepareto.sources.tables import LineTables
 
 DETAILS = ("parameter_name", "origin", "pin_type")
@@ -92,8 +92,9 @@ def in_report_order(report: DataFrame) -> DataFrame:
 
 
 def deliver(report: DataFrame, path: str, fmt: str = "json") -> None:
-    """Write the report in reading order."""
-    in_report_order(report).write.mode("overwrite").format(fmt).save(path)
+    """Write the report in reading order; an earlier one there stays until all of this one is written."""
+    with published(report.sparkSession, path) as staged:
+        in_report_order(report).write.format(fmt).save(staged)
 
 
 def deliver_line_report(tables: LineTables, cfg: LineConfig, as_of: datetime, path: str, fmt: str = "json",

@@ -69,7 +69,30 @@ def run(spark: SparkSession) -> Iterator[None]:
         _run.reset(token)
 
 
+def _stored_at(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder of intermediate tables, wherever it is stored; none is fine."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    path, store = _stored_at(spark, folder)
+    store.delete(path, True)
+
+
+@contextmanager
+def published(spark: SparkSession, folder: str) -> Iterator[str]:
+    """A hidden folder to write to, which takes the place of `folder` once all is written.
+
+    If writing fails, what was there before stays and nothing else does.
+    """
+    above, _, name = folder.rstrip("/").rpartition("/")
+    staged = f"{above}{'/' if above else ''}.{name}-{uuid4().hex}"
+    try:
+        yield staged
+        (old, store), (new, _) = _stored_at(spark, folder), _stored_at(spark, staged)
+        store.delete(old, True)
+        if not store.rename(new, old):
+            raise OSError(f"{staged} could not be moved to {folder}")
+    finally:
+        remove_folder(spark, staged)

@@ -253,3 +253,18 @@ def test_nothing_is_left_of_a_delivered_report(spark, tables, lines, tmp_path):
         spark.range(3).write.parquet(session.shared_folder(spark, "x"))
         1 / 0
     assert set(root.glob("*")) == before
+
+
+def test_failed_delivery_leaves_the_earlier_report(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = tmp_path / "now"
+    columns = "1 AS report_no", "1 AS section_no", "'020' AS station_name", "'x' AS detail"
+    for n in (1, 2):
+        report.deliver(spark.range(1).selectExpr(*columns, f"{n} AS fail_count"), str(path), "parquet")
+        assert spark.read.parquet(str(path)).first().fail_count == n
+    with pytest.raises(Exception, match="stop"):
+        report.deliver(spark.range(1).selectExpr(*columns).withColumn("fail_count", F.raise_error(F.lit("stop")).cast("int")),
+                       str(path), "parquet")
+    assert [p.name for p in tmp_path.iterdir()] == ["now"]
+    assert spark.read.parquet(str(path)).first().fail_count == 2
