@@ -162,29 +162,38 @@ def _weld(start: str = ALARM_START) -> str:
         ("080", "Laser: General error", "Laser")))
 
 
-def _chain(failing: str, count: str, extra: str = "", names: str = "") -> str:
-    return f"""SELECT {count} AS fail_count, op.station_name, npr.station_name AS origin{extra}
-FROM child_records npr JOIN genealogy gh ON npr.product_serial = gh.scanned_child_serial
-JOIN ({failing}) op ON gh.product_serial = op.product_serial
-JOIN (SELECT product_serial FROM genealogy WHERE scanned_child_part IN ('STACK')) ss
-  ON gh.product_serial = ss.product_serial
-LEFT JOIN (SELECT product_serial FROM child_records WHERE parameter_name ILIKE '%batch%'
-  AND parameter_value_raw ILIKE '%spool-a%') ws ON npr.product_serial = ws.product_serial
-{names} WHERE npr.parameter_name = 'Nest' AND npr.station_name LIKE '030%' GROUP BY ALL"""
+NEST = "c.parameter_name = 'Nest' AND c.station_name LIKE '030%'"
+BUILT = f"""JOIN genealogy built ON built.product_serial = failed.product_serial
+ JOIN child_records c ON c.product_serial = built.scanned_child_serial AND {NEST}"""
 
 
-def _origin_rows(start: str = START) -> str:
-    return _chain(f"""SELECT product_serial, station_name FROM param_records
- WHERE overall_process_status = 'NOK' AND parameter_id = 1 AND parameter_name = 'Quantity Value'
- AND station_name ILIKE '%040%' AND recorded_at > TIMESTAMP '{start}'""", "count(*)")
+def _units_by_origin(failing: str, extra: str = "", names: str = "") -> str:
+    """Failed units with a stack part, by the station a child part of theirs came from."""
+    return f"""SELECT count(DISTINCT failed.product_serial) AS fail_count, failed.station_name, c.station_name AS origin{extra}
+ FROM ({failing}) failed {BUILT} {names}
+ WHERE EXISTS (SELECT 1 FROM genealogy s WHERE s.product_serial = failed.product_serial AND s.scanned_child_part = 'STACK')
+ GROUP BY ALL"""
+
 
+def _rows_by_origin(failing: str) -> str:
+    """Every failed record, edge and child record once for each stack part and each spool record (at least once)."""
+    return f"""SELECT cast(sum(stacks * greatest(spools, 1)) AS bigint) AS fail_count, station_name, origin FROM (
+ SELECT failed.station_name, c.station_name AS origin,
+  (SELECT count(*) FROM genealogy s WHERE s.product_serial = failed.product_serial AND s.scanned_child_part = 'STACK') AS stacks,
+  (SELECT count(*) FROM child_records w WHERE w.product_serial = c.product_serial AND w.parameter_name ILIKE '%batch%'
+    AND w.parameter_value_raw ILIKE '%spool-a%') AS spools
+ FROM ({failing}) failed {BUILT}) combined WHERE stacks > 0 GROUP BY station_name, origin"""
 
-UNITS = "count(DISTINCT gh.product_serial)"
+
+def _origin_rows(start: str = START) -> str:
+    return _rows_by_origin(f"""SELECT product_serial, station_name FROM param_records
+ WHERE overall_process_status = 'NOK' AND parameter_id = 1 AND parameter_name = 'Quantity Value'
+ AND station_name ILIKE '%040%' AND recorded_at > TIMESTAMP '{start}'""")
 
 
 def _origin_status(start: str = START) -> str:
-    return _chain(f"""SELECT product_serial, station_name FROM param_records WHERE result_status = 'FAIL'
- AND station_name ILIKE '%050%' AND recorded_at > TIMESTAMP '{start}'""", UNITS)
+    return _units_by_origin(f"""SELECT product_serial, station_name FROM param_records WHERE result_status = 'FAIL'
+ AND station_name ILIKE '%050%' AND recorded_at > TIMESTAMP '{start}'""")
 
 
 def _traced(start: str, limits: str, loose: bool = False) -> str:
@@ -193,15 +202,15 @@ def _traced(start: str, limits: str, loose: bool = False) -> str:
 
 
 def _origin_limits(start: str = START, limits: str = ALL) -> str:
-    return _chain(_traced(start, limits), UNITS)
+    return _units_by_origin(_traced(start, limits))
 
 
 SHORT = "left(pin_pair, 5) || ' & ' || substring(pin_pair, position('&' IN pin_pair) + 2, 5)"
 
 
 def _pins(start: str = START) -> str:
-    return _chain(_traced(start, ALL, True), UNITS, f", {SHORT} AS pin_type",
-                  "JOIN work_element_names we ON op.work_element = we.work_element")
+    return _units_by_origin(_traced(start, ALL, True), f", {SHORT} AS pin_type",
+                            "JOIN work_element_names named ON named.work_element = failed.work_element")
 
 
 def _origins(start: str = START, limits: str = ALL) -> str:
