@@ -24,21 +24,21 @@ from linepareto.operators.settle import MAX_BROADCAST_KEYS, Settled, narrow, set
 from linepareto.operators.units import scope, tall
 
 
-def child_origins(records: DataFrame, station_prefix: str, parameter: str) -> DataFrame:
-    """`(child, origin)` of the child parts' records."""
+def child_origins(records: DataFrame, station_prefix: str, parameter: str, *more: str) -> DataFrame:
+    """`(child, origin)` of the child parts' records, with the columns `more`."""
     return (records.filter(F.col("station_name").like(f"{station_prefix}%")
                            & (F.col("parameter_name") == parameter))
-            .select(F.col("product_serial").alias("child"), F.col("station_name").alias("origin")))
+            .select(F.col("product_serial").alias("child"), F.col("station_name").alias("origin"), *more))
 
 
 def _holds_spool(parameter: str, value: str) -> Column:
     return icontains(F.col("parameter_name"), parameter) & icontains(F.col("parameter_value_raw"), value)
 
 
-def wire_spools(records: DataFrame, station_prefix: str, parameter: str, value: str) -> DataFrame:
-    """Children with a record of the given spool."""
+def wire_spools(records: DataFrame, station_prefix: str, parameter: str, value: str, *more: str) -> DataFrame:
+    """Children with a record of the given spool, with the columns `more`."""
     return (records.filter(F.col("station_name").like(f"{station_prefix}%") & _holds_spool(parameter, value))
-            .select(F.col("product_serial").alias("child")))
+            .select(F.col("product_serial").alias("child"), *more))
 
 
 def child_parts(records: DataFrame, station_prefix: str, parameter: str, spool_parameter: str, spool_value: str) -> DataFrame:
@@ -150,6 +150,54 @@ def origin_rows(failing: DataFrame, built: Links, origins: DataFrame, spools: Da
     return tall(wide, list(lookbacks), ["station_name", "origin"])
 
 
+def in_place(genealogy: DataFrame, parents: Settled, parts: Sequence[str], spread: str, shop: str | None = None,
+             max_keys: int = MAX_BROADCAST_KEYS) -> Links:
+    """As `links`, for a genealogy bucketed by child and `spread`: not settled, so that it stays in its buckets.
+
+    `edges` has `spread` beside the child. The genealogy is read once for the edges and once, two columns of it,
+    for the stacks.
+    """
+    rows = genealogy.select(F.col("product_serial").alias("parent"), F.col("scanned_child_serial").alias("child"),
+                            "shop_name", spread, F.col("scanned_child_part").isin(*parts).alias("_stack"))
+    rows = _filtered(rows, "parent", parents, max_keys)
+    return Links(scope(rows, shop_name=shop).filter("child IS NOT NULL").select("parent", "child", spread),
+                 rows.filter("_stack").select("parent", "shop_name"), 0)
+
+
+def origin_units_in_place(failing: DataFrame, built: Links, origins: DataFrame, lookbacks: Mapping[str, datetime],
+                          spread: str, extra: Sequence[str] = (), stack_shop: str | None = None) -> DataFrame:
+    """As `origin_units`, for links from `in_place` and origins with `spread` in the same buckets.
+
+    Edges meet origins in their bucket, without a shuffle; what is shuffled after that has one row
+    per parent and origin, so no parent can be hot.
+    """
+    groups = ["station_name", "origin", *extra]
+    met = built.edges.distinct().join(origins.distinct(), ["child", spread]).select("parent", "origin").distinct()
+    stacks = scope(built.stacks, shop_name=stack_shop).select("parent").distinct()
+    stacked = failing.join(stacks, "parent", "left_semi")
+    if extra:  # several failing units may have got the same one
+        stacked = stacked.groupBy("parent", "station_name", *extra).agg(F.max("newest").alias("newest"))
+    wide = stacked.join(met, "parent").groupBy(*groups).agg(
+        *[F.count_if(after(F.col("newest"), start)).alias(name) for name, start in lookbacks.items()])
+    return tall(wide, list(lookbacks), groups)
+
+
+def origin_rows_in_place(failing: DataFrame, built: Links, origins: DataFrame, spools: DataFrame,
+                         lookbacks: Sequence[str], spread: str) -> DataFrame:
+    """As `origin_rows`, for links from `in_place`, origins and spools with `spread` in the same buckets."""
+    key = ["child", spread]
+    edges = built.edges.groupBy("parent", *key).agg(F.count("*").alias("_links"))
+    per_spool = spools.groupBy(*key).agg(F.count("*").alias("_spools"))
+    seeds = origins.groupBy(*key, "origin").agg(F.count("*").alias("_records")).join(per_spool, key, "left")
+    weight = F.col("_links") * F.col("_records") * F.coalesce("_spools", F.lit(1))
+    met = edges.join(seeds, key).groupBy("parent", "origin").agg(F.sum(weight).alias("_weight"))
+    stacks = built.stacks.groupBy("parent").agg(F.count("*").alias("_stacks"))
+    fan_out = F.col("_stacks") * F.col("_weight")
+    wide = failing.join(stacks, "parent").join(met, "parent").groupBy("station_name", "origin").agg(
+        *[F.sum(F.col(name) * fan_out).alias(name) for name in lookbacks])
+    return tall(wide, list(lookbacks), ["station_name", "origin"])
+
+
 def with_pin_type(failing: Settled, names: DataFrame, min_hot_rows: int = HOT_ROWS) -> DataFrame:
     """Replace the work element of `failing_units` by its short pin-pair name.
 

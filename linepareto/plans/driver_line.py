@@ -20,6 +20,7 @@ from linepareto.plans.config import REPORTS, AlarmRule, LineConfig, Report, Stat
 from linepareto.plans.report import line_report
 from linepareto.session import shared_folder
 from linepareto.sources import driver_data
+from linepareto.sources.layout import write_colocated
 from linepareto.sources.tables import LineTables
 from linepareto.streaming.counts import stream_sketched_units, stream_units
 from linepareto.streaming.debounce import finish_debounce, start_debounce
@@ -91,6 +92,20 @@ ALARM_SEVERAL = {"n_short": datetime(2024, 1, 29, 6), "n_mid": datetime(2024, 1,
                  "n_shift": ALARM_START}
 
 
+BUCKETS = 16
+
+
+def colocated(t: LineTables) -> LineTables:
+    """`t` with genealogy and child records bucketed alike by child."""
+    spark = t.genealogy.sparkSession
+    folder = shared_folder(spark, "colocated")
+    at = folder.rpartition("-")[2]
+    names = (f"genealogy_{at}", f"child_records_{at}")
+    write_colocated(t.genealogy, t.child_records, names, BUCKETS, folder)
+    return LineTables(param_records=t.param_records, work_element_names=t.work_element_names,
+                      genealogy=spark.table(names[0]), child_records=spark.table(names[1]))
+
+
 def tables(spark: SparkSession, folder: str) -> LineTables:
     return driver_data.line_tables(driver_data.folder_reader(spark, folder))
 
@@ -219,6 +234,11 @@ def batch_queries() -> dict:
         "origin_units_limits": lambda t: _single(families.limit_fails_by_origin(t, LINE, ONE)),
         "origin_units_shuffled":
             lambda t: _single(families.limit_fails_by_origin(t, LINE, ONE, max_keys=0)),
+        "origin_rowcount_colocated":
+            lambda t: _single(families.force_fails_by_origin(colocated(t), LINE, ONE)),
+        "origin_units_colocated":
+            lambda t: _single(families.limit_fails_by_origin(colocated(t), LINE, ONE, max_keys=0)),
+        "pin_type_units_colocated": lambda t: _single(families.limit_fails_by_pin_type(colocated(t), LINE, ONE)),
         "pin_type_units": lambda t: _single(families.limit_fails_by_pin_type(t, LINE, ONE)),
         "origin_pareto":
             lambda t: pareto.by_count_and_station(_single(families.by_origin(t, LINE, ONE)), "origin"),

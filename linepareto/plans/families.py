@@ -19,7 +19,7 @@ from linepareto.operators.units import BY_PARAMETER, count_units, nonzero, scope
 from linepareto.plans.config import AlarmRule, LineConfig
 from linepareto.plans.scans import (
     BY_PARAMETER_LISTS, FORCE, LIMITS, ORIGIN_LISTS, PINS, RESULT, UNIQUE, Scans, force_failed, on_line, result_failed, traced_check)
-from linepareto.sources.layout import from_day
+from linepareto.sources.layout import SPREAD, from_day, once
 from linepareto.sources.tables import LineTables
 
 Lookbacks = Mapping[str, datetime]
@@ -93,7 +93,20 @@ def weld_fails(tables: LineTables, cfg: LineConfig, lookbacks: Lookbacks, scans:
 
 
 def _children(tables: LineTables, cfg: LineConfig) -> DataFrame:
-    return scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
+    return scope(once(tables.child_records), shop_name=cfg.shop, line_name=cfg.line)
+
+
+def _colocated(tables: LineTables) -> bool:
+    """Whether genealogy and child records were written by `write_colocated`."""
+    return SPREAD in tables.genealogy.columns and SPREAD in tables.child_records.columns
+
+
+def _in_place(tables: LineTables, cfg: LineConfig, parents: Settled, max_keys: int = MAX_BROADCAST_KEYS) -> tuple[gen.Links, DataFrame, DataFrame]:
+    """Links, origins and spools in their buckets."""
+    records = scope(tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
+    built = gen.in_place(scope(tables.genealogy, line_name=cfg.line), parents, cfg.stack_parts, SPREAD, cfg.shop, max_keys)
+    return (built, gen.child_origins(records, cfg.child_prefix, cfg.child_parameter, SPREAD),
+            gen.wire_spools(records, cfg.child_prefix, cfg.spool_parameter, cfg.spool_value, SPREAD))
 
 
 def _origins(tables: LineTables, cfg: LineConfig, built: gen.Links, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
@@ -124,6 +137,8 @@ def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
     """Force-check failures by origin of the child parts, counted in joined rows."""
     failed = on_line(tables, cfg, lookbacks).filter(force_failed(cfg, exact=False))
     failing = settle(gen.failing_rows(failed, lookbacks), "failing")
+    if _colocated(tables):
+        return gen.origin_rows_in_place(failing.df, *_in_place(tables, cfg, failing), list(lookbacks), SPREAD)
     built = _links(tables, cfg, failing)
     return gen.origin_rows(failing.df, built, _origins(tables, cfg, built), _spools(tables, cfg, built),
                            list(lookbacks))
@@ -132,6 +147,9 @@ def force_fails_by_origin(tables: LineTables, cfg: LineConfig, lookbacks: Lookba
 def _units_by_origin(tables: LineTables, cfg: LineConfig, failed: DataFrame, lookbacks: Lookbacks,
                      max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     failing = settle(gen.failing_units(failed, lookbacks), "failing")
+    if _colocated(tables):
+        built, origins, _ = _in_place(tables, cfg, failing, max_keys)
+        return gen.origin_units_in_place(failing.df, built, origins, lookbacks, SPREAD)
     built = _links(tables, cfg, failing, max_keys)
     return gen.origin_units(failing.df, built, _origins(tables, cfg, built, max_keys), lookbacks)
 
@@ -151,8 +169,11 @@ def limit_fails_by_pin_type(tables: LineTables, cfg: LineConfig, lookbacks: Look
     """Units outside a limit, by origin and by the pin pair that was measured."""
     failing = settle(gen.failing_units(_failed_pins(tables, cfg, lookbacks), lookbacks, ["work_element"]),
                      "failing")
-    built = _links(tables, cfg, failing)
     typed = gen.with_pin_type(failing, tables.work_element_names)
+    if _colocated(tables):
+        built, origins, _ = _in_place(tables, cfg, failing)
+        return gen.origin_units_in_place(typed, built, origins, lookbacks, SPREAD, ["pin_type"], cfg.shop)
+    built = _links(tables, cfg, failing)
     return gen.origin_units(typed, built, _origins(tables, cfg, built), lookbacks, ["pin_type"], cfg.shop)
 
 

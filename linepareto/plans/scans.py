@@ -22,7 +22,7 @@ from linepareto.operators.pareto import stack
 from linepareto.operators.settle import Settled, dealt_out, settle
 from linepareto.operators.units import BY_PARAMETER, count_units, scope
 from linepareto.plans.config import LineConfig
-from linepareto.sources.layout import NUMBER, from_day
+from linepareto.sources.layout import NUMBER, from_day, once
 from linepareto.sources.tables import LineTables
 
 Lookbacks = Mapping[str, datetime]
@@ -160,7 +160,7 @@ class Scans:
     def children(self, built: gen.Links) -> tuple[DataFrame, DataFrame]:
         """Origins and spools of the children in `built`."""
         cfg = self.cfg
-        records = scope(self.tables.child_records, shop_name=cfg.shop, line_name=cfg.line)
+        records = scope(once(self.tables.child_records), shop_name=cfg.shop, line_name=cfg.line)
         parts = gen.child_parts(records, cfg.child_prefix, cfg.child_parameter, cfg.spool_parameter, cfg.spool_value)
         kept = settle(gen.near(parts, built), "children").df
         return kept.filter("has_origin").select("child", "origin"), kept.filter("has_spool").select("child")

@@ -341,7 +341,10 @@ def oracle_sql() -> dict[str, str]:
         "origin_units_status": _origin_status(),
         "origin_units_limits": _origin_limits(),
         "origin_units_shuffled": _origin_limits(),
+        "origin_rowcount_colocated": _origin_rows(),
+        "origin_units_colocated": _origin_limits(),
         "pin_type_units": _pins(),
+        "pin_type_units_colocated": _pins(),
         "origin_pareto": _origins(),
         "short_pair_names": f"SELECT {SHORT} AS pin_type, count(*) AS n FROM work_element_names GROUP BY 1",
         "combined_pareto": _by_parameter(),

@@ -1,0 +1,83 @@
+"""Genealogy and child records bucketed alike: the same results, no shuffle of either, hot children spread."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from linepareto.operators import genealogy as gen
+from linepareto.operators.settle import settle
+from linepareto.sources.layout import SPREAD, once, write_colocated
+from test_genealogy import LOOKBACKS, PARTS, brute_force, skewed  # noqa: F401
+
+
+def laid_out(spark, folder, genealogy, children, min_hot_rows, name):
+    names = (f"{name}_genealogy", f"{name}_children")
+    write_colocated(genealogy, children, names, 6, str(folder), min_hot_rows)
+    return [spark.table(n) for n in names]
+
+
+def in_place(spark, failing, genealogy, children, max_keys, rows):
+    origins = gen.child_origins(children, "030", "Nest", SPREAD)
+    if rows:
+        fails = settle(gen.failing_rows(failing, LOOKBACKS), "failing")
+        built = gen.in_place(genealogy, fails, PARTS, SPREAD, "DU", max_keys)
+        spools = gen.wire_spools(children, "030", "batch", "spool-a", SPREAD)
+        return gen.origin_rows_in_place(fails.df, built, origins, spools, list(LOOKBACKS), SPREAD)
+    fails = settle(gen.failing_units(failing, LOOKBACKS), "failing")
+    built = gen.in_place(genealogy, fails, PARTS, SPREAD, "DU", max_keys)
+    return gen.origin_units_in_place(fails.df, built, origins, LOOKBACKS, SPREAD)
+
+
+def counts(df):
+    return {(r.lookback, r.station_name, r.origin): r.fail_count for r in df.collect()}
+
+
+@pytest.mark.parametrize("rows", [True, False])
+@pytest.mark.parametrize("max_keys, min_hot_rows", [(10_000, 10_000), (10_000, 50), (0, 50), (0, 10_000)])
+def test_in_place_equals_the_full_join(spark, skewed, tmp_path, rows, max_keys, min_hot_rows):  # noqa: F811
+    failing, genealogy, children = skewed
+    laid = laid_out(spark, tmp_path, genealogy, children, min_hot_rows, f"t{rows:d}_{max_keys}_{min_hot_rows}")
+    assert counts(in_place(spark, failing, *laid, max_keys, rows)) == brute_force(*skewed, rows)
+
+
+def test_layout_keeps_every_row_and_spreads_hot_children(spark, skewed, tmp_path):  # noqa: F811
+    _, genealogy, children = skewed
+    nowhere = spark.createDataFrame([(f"N{k}", None, "STACK", "DU") for k in range(200)], genealogy.schema)
+    full = genealogy.union(nowhere)
+    scans, records = laid_out(spark, tmp_path, full, children, 100, "kept")
+    assert sorted(map(repr, scans.drop(SPREAD).collect())) == sorted(map(repr, full.collect()))
+    assert sorted(map(repr, once(records).collect())) == sorted(map(repr, children.collect()))
+    parts = {r.scanned_child_serial: r.n for r in scans.groupBy("scanned_child_serial").agg(F.countDistinct(SPREAD).alias("n")).collect()}
+    assert parts["C0"] >= 4 and parts["C1"] >= 2 and parts["C2"] == 1 and parts[None] > 1
+    copies = records.groupBy("product_serial").agg(F.countDistinct(SPREAD).alias("n")).collect()
+    assert all(r.n >= parts.get(r.product_serial, 0) for r in copies)
+    assert once(children) is children
+
+
+def test_neither_side_is_shuffled(spark, skewed, tmp_path, plan):  # noqa: F811
+    _, genealogy, children = skewed
+    scans, records = laid_out(spark, tmp_path, genealogy, children, 100, "plan")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        failing = settle(spark.createDataFrame([("P1",), ("P2",)], "parent string"), "failing")
+        for max_keys in (10, 0):
+            built = gen.in_place(scans, failing, PARTS, SPREAD, "DU", max_keys)
+            origins = gen.child_origins(records, "030", "Nest", SPREAD)
+            text = plan(built.edges.distinct().join(origins.distinct(), ["child", SPREAD]))
+            tree = text.split("\n\n")[0]
+            assert tree.count("SelectedBucketsCount") == 0 and text.count("SelectedBucketsCount: 6 out of 6") == 2
+            assert "SortMergeJoin" in tree or "ShuffledHashJoin" in tree
+            shuffles = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning")]
+            assert len(shuffles) == 1 and "child" not in shuffles[0]  # the key set's own, below its broadcast
+            assert "Exchange" not in tree.split("BroadcastExchange")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_empty_tables(spark, skewed, tmp_path):  # noqa: F811
+    failing, genealogy, children = skewed
+    laid = laid_out(spark, tmp_path, genealogy.limit(0), children.limit(0), 10, "none")
+    for rows in (True, False):
+        assert in_place(spark, failing, *laid, 10, rows).collect() == []
