@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -28,14 +29,16 @@ HOLDERS = frozenset("article aside body center details dialog div dl fieldset fi
 ASIDE = frozenset("aside dialog fieldset footer form header menu nav".split())
 ARTICLE = frozenset("article main".split())
 # Words in class, id and role that name something beside the article.
-BESIDE = frozenset("ad ads advert advertisement adverts alert alertdialog banner breadcrumb breadcrumbs byline comment comments "
+BESIDE = frozenset("ad ads advert advertisement adverts alert alertdialog banner breadcrumb breadcrumbs byline comment commentlist comments "
                    "complementary consent contentinfo cookie cookies copyright dialog disqus footer gdpr header hint legal login "
                    "masthead menu message modal nav navbar navigation newsletter notice pager pagination popup promo promoted "
-                   "promotion related replies reply reviews search share sharing sidebar signup skip social sponsor sponsored "
+                   "promotion related replies reply responses reviews search share sharing sidebar signup skip social sponsor sponsored "
                    "subscribe tags toolbar widget".split())
+# Of those, the ones that name parts of an article too: inside of one its blocks' words and links decide.
+OF_ARTICLES = frozenset("dialog hint legal menu message".split())
 # Words that may stand beside those in one name: 'sidebar-left' is a sidebar, 'no-sidebar' and 'comments-open' are not.
-NEUTRAL = frozenset("area bar block bottom box form item items left links list main mobile posts primary right secondary section "
-                    "site sticky title top wrap wrapper".split())
+NEUTRAL = frozenset("area bar block bottom box container form inner item items left links list main mobile page posts primary right "
+                    "secondary section site slot sticky title top user wrap wrapper".split())
 # Never beside by their names.
 WHOLE = frozenset("html body main article".split())
 
@@ -86,6 +89,7 @@ TABLE = [Labelled(*row) for row in (
     (1, 0.0, 40, 0.0, 12, 0.0, 0, 1, 0, 1), (3, 0.0, 5, 0.0, 10, 0.0, 0, 1, 0, 1), (18, 0.3, 60, 0.0, 45, 0.0, 0, 1, 0, 1),
     (7, 0.0, 2, 0.0, 0, 0.0, 0, 1, 0, 1), (30, 0.0, 20, 0.0, 5, 1.0, 0, 1, 0, 1), (2, 0.0, 1, 0.0, 2, 0.0, 0, 1, 0, 1),
     (12, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (3, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (8, 0.0, 0, 0.0, 30, 0.0, 0, 1, 1, 1),
+    (18, 0.0, 18, 1.0, 0, 0.0, 0, 1, 0, 1), (25, 0.0, 20, 1.0, 30, 0.0, 0, 1, 0, 1), (14, 0.0, 40, 1.0, 9, 0.0, 0, 1, 0, 1),
     (20, 0.0, 9, 0.0, 4, 1.0, 0, 1, 0, 1), (5, 0.0, 60, 0.0, 3, 1.0, 0, 1, 0, 1), (4, 0.0, 3, 1.0, 2, 1.0, 0, 1, 0, 1),
     (2, 0.0, 2, 1.0, 0, 0.0, 0, 1, 0, 1), (3, 0.0, 0, 0.0, 1, 1.0, 0, 1, 1, 1), (6, 0.4, 0, 0.0, 2, 0.0, 0, 1, 0, 1),
     # the same where no element names the article
@@ -93,6 +97,9 @@ TABLE = [Labelled(*row) for row in (
     (6, 0.0, 0, 0.0, 50, 0.0, 0, 0, 1, 1), (30, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0, 1), (9, 0.0, 20, 0.0, 0, 0.0, 0, 0, 0, 1),
     (70, 0.0, 8, 0.0, 65, 0.0, 0, 0, 0, 1), (40, 0.1, 60, 0.0, 35, 0.0, 0, 0, 0, 1), (22, 0.0, 30, 0.0, 50, 0.0, 0, 0, 0, 1),
     (8, 0.0, 60, 0.0, 45, 0.0, 0, 0, 0, 1), (6, 0.0, 9, 0.0, 70, 0.0, 0, 0, 1, 1), (5, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1, 1),
+    # short notes without a link near
+    (2, 0.0, 0, 0.0, 2, 0.0, 0, 0, 1, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 1), (3, 0.0, 2, 0.0, 4, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 2, 0.0, 0, 0.0, 0, 0, 0, 1), (4, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
     (90, 0.2, 5, 0.0, 3, 1.0, 0, 0, 0, 1), (26, 0.0, 4, 1.0, 40, 0.0, 0, 0, 0, 1), (15, 0.0, 44, 0.0, 3, 1.0, 0, 0, 0, 1),
 )]
 
@@ -126,12 +133,14 @@ def tree() -> tuple | int:
 
 
 def _named_beside(attributes: str, in_article: bool) -> bool:
-    """Whether a whole class, id or role names something beside the article; an article's header is its own."""
+    """Whether a whole class, id or role names something beside the article; an article's or page's header is its own."""
     if "=" not in attributes:
         return False
     for token in " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).lower().split():
-        found = set(_WORD.findall(token)) - NEUTRAL
-        if found and found <= BESIDE and not (in_article and found == {"header"}):
+        parts = set(_WORD.findall(token))
+        found = parts - NEUTRAL
+        own = found == {"header"} and (in_article or "page" in parts)  # holds the title
+        if found and found <= BESIDE and not own and not (in_article and found <= OF_ARTICLES):
             return True
     return False
 
@@ -159,6 +168,8 @@ def _blocks(page: str, names: bool, overruled: set[int]) -> list[Block] | None:
     holders: list[tuple[str, bool, bool, int]] = []  # open elements: name, beside, in an article, place if named beside or -1
     met: set[str] = set()
     link, linked, heading, at = False, 0, 0, 0
+    last = page.rfind(">") + 1  # no tag ends behind it; a search never looks further, so it is linear
+    open_names: Counter[str] = Counter()
     beside = inside = alone = False  # alone: the element of this block itself names something beside the article
 
     def flush():
@@ -171,8 +182,8 @@ def _blocks(page: str, names: bool, overruled: set[int]) -> list[Block] | None:
         linked, alone = 0, False
 
     while True:
-        m = _TAG.search(page, at)
-        piece = page[at:m.start() if m else len(page)]
+        m = _TAG.search(page, at, last)
+        piece = page[at:m.start()] if m else page[at:].partition("<!--")[0]
         if piece:
             text.append(piece)
             if link:
@@ -182,11 +193,13 @@ def _blocks(page: str, names: bool, overruled: set[int]) -> list[Block] | None:
         at = m.end()
         name = m[2] or m[5]
         if not name:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break  # an open comment takes the rest
             continue
         name, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
         if name in UNSEEN:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at, last)
                 at = end.end() if end else len(page)
             text.append(" ")
             continue
@@ -214,10 +227,12 @@ def _blocks(page: str, names: bool, overruled: set[int]) -> list[Block] | None:
                 beside = beside or named or _is_aside(name, inside)
                 inside = inside or name in ARTICLE
                 holders.append((name, beside, inside, at if named else -1))
+                open_names[name] += 1
             else:
-                for k in range(len(holders) - 1, -1, -1):
-                    if holders[k][0] == name:
-                        del holders[k:]
+                while open_names[name]:
+                    closed = holders.pop()[0]
+                    open_names[closed] -= 1
+                    if closed == name:
                         break
                 _, beside, inside, _ = holders[-1] if holders else ("", False, False, -1)
         elif not closing:

@@ -83,3 +83,38 @@ def test_whole_names_still_stand_beside():
     <div class="widget box"><p>{LONG} Two.</p></div><section id="comments"><article class="comment"><p>{LONG} Three.</p></article>
     <article><p>{LONG} Four.</p></article></section></body>"""
     assert m.main_text(page) == LONG
+
+
+def test_an_articles_own_text_stays():
+    plain = " ".join(f"word{k}" for k in range(18))
+    linked = f"<p><a href=x>{plain}</a></p>"
+    assert m.main_text(f"<article><h1>T</h1>{linked}<p>{plain} after.</p></article>").endswith(f"{plain} after.")
+    for name in ("dialog", "legal", "menu", "hint", "message"):
+        assert m.main_text(f'<article><h1>Title here</h1><div class="{name}"><p>{LONG}</p></div><p>{LONG} Two.</p></article>') == \
+            "\n\n".join(["Title here", LONG, f"{LONG} Two."])
+    assert m.main_text("<h1>Short note</h1><p>It rains.</p><p>We stay.</p>") == "Short note\n\nIt rains.\n\nWe stay."
+    assert m.main_text(f'<div class="page-header"><h1>A title of words</h1></div><div>{LONG}</div>') == f"A title of words\n\n{LONG}"
+
+
+def test_names_that_must_go():
+    for name in ("ad-slot", "advertisement-container", "page-footer", "commentlist", "user-comments", "responses",
+                 "left-sidebar-inner"):
+        for page in (f'<article><p>{LONG}</p><div class="{name}"><p>{LONG} Gone.</p></div></article>',
+                     f'<article><p>{LONG}</p></article><div class="{name}"><p>{LONG} Gone.</p></div>'):
+            assert m.main_text(page) == LONG, page
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    n = 150_000
+    started = time.perf_counter()
+    for page in ("<a " * n, "<article>" + "<a " * n, "<! " * n, "<script>" + "</script " * n, "<div>" * n + "</ul>" * n,
+                 "<div>" * n + "</div>" * n, "<a '> " * n, "<!-- x" * n, "<a <b \"" * n + ">"):
+        m.main_text(page)
+    assert time.perf_counter() - started < 60
+
+
+def test_open_comments_and_tags():
+    assert m.main_text(f"<article><p>{LONG}</p><!-- open <p>x</p> and on") == LONG
+    assert m.main_text(f"<article><p>{LONG}</p> <!-- open and on") == LONG
