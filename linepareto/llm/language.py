@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linepareto.llm.common import in_training
+from linepareto.llm.common import NO_ID, in_training
 
 ROWS_PER_LANGUAGE = 200
 LEAST_PER_LANGUAGE = 2
@@ -134,18 +134,22 @@ def predict(model: Model, text: str | None) -> tuple[str, float]:
 def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
     """A model of the labelled rows of `docs`; of at most `rows_per_language` of a language features are collected.
 
-    The rows with the smallest hashes of their ids are taken; null texts, null languages and languages
+    The rows with the smallest hashes of their ids are taken, rows of one id by their texts' hashes, and of
+    equal rows one; a null id teaches like any other. Null texts, null languages and languages
     with a single row teach nothing. None if nothing is left to learn.
     """
-    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", "doc_id")
+    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(
+        "lang", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"))
     chance = F.xxhash64("doc_id", F.lit(7))
     # a language's rows are first thinned per slice, so no task orders a third of the table
-    thin = W.partitionBy("lang", "slice").orderBy("chance", "doc_id")
-    first = W.partitionBy("lang").orderBy("chance", "doc_id")
-    ids = labelled.select("lang", "doc_id", chance.alias("chance"), F.pmod(F.xxhash64("doc_id"), F.lit(512)).alias("slice"))
+    row = ["lang", "doc_id", "text_key"]
+    thin = W.partitionBy("lang", "slice").orderBy("chance", "doc_id", "text_key")
+    first = W.partitionBy("lang").orderBy("chance", "doc_id", "text_key")
+    ids = labelled.select(*row).distinct().withColumns({
+        "chance": chance, "slice": F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(512))})
     some = ids.withColumn("k", F.row_number().over(thin)).filter(F.col("k") <= -(-rows_per_language // 64)) \
-              .withColumn("k", F.row_number().over(first)).filter(F.col("k") <= rows_per_language).select("lang", "doc_id")
-    chosen = labelled.join(F.broadcast(some), ["lang", "doc_id"], "left_semi")  # `some` is bounded
+              .withColumn("k", F.row_number().over(first)).filter(F.col("k") <= rows_per_language).select(*row)
+    chosen = labelled.join(F.broadcast(some), row, "left_semi").dropDuplicates(row)  # `some` is bounded
 
     def describe(batches):
         for batch in batches:

@@ -1,7 +1,10 @@
 """Language identification: held-out accuracy and defined results for odd rows."""
 
+import math
+from collections import Counter
 from zlib import crc32
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from linepareto.llm import language
@@ -44,3 +47,65 @@ def test_long_text_is_read_whole():
     text = ("th er on " * 700_000 + "ß" * 3_000_000).encode()
     whole = language.features(text)
     assert whole[language._slots(language.np.frombuffer("ßß".encode(), "u1").astype("u4"), 4)].all()
+
+
+def test_one_id_repeated_teaches_within_the_bound(table, prose, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(language, "fit", lambda rows: fitted.append([lang for _, lang in rows]))
+    same = [(7, prose(1, 5), "en")] * 3000
+    own = [(8, prose(k, 5), "en") for k in range(500)]
+    null = [(None, prose(("n", k), 5), "de") for k in range(300)]
+    language.train(table(same + own + null + [(k, prose(k, 5), "fr") for k in range(100, 110)]))
+    language.train(table(same + [(9, "der die das", "de"), (10, "das die der", "de")]))
+    assert all(n <= language.ROWS_PER_LANGUAGE for found in fitted for n in map(found.count, set(found)))
+    assert fitted[0].count("de") > 100 and fitted[0].count("fr") == 10
+    assert fitted[1] == ["de", "de"]  # equal rows are one, and one teaches nothing
+
+
+def plain_prediction(model, text):
+    """Own loops over n-grams, families and votes."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    vector = language.features(text.encode()).astype(float)
+    margins = [sum(float(v) * float(w) for v, w in zip(vector[vector != 0], model.weights[vector != 0, k])) + float(model.bias[k])
+               for k in range(model.weights.shape[1])]
+    n = len(model.families)
+    family = max(range(n), key=lambda k: margins[k])
+
+    def squash(x):
+        return 1 / (1 + math.exp(-4 * x))
+
+    won, strength, weakest = Counter(), Counter(), {}
+    for k in model.families[family]:
+        won[k], strength[k], weakest[k] = 0, 0.0, 1.0
+    for (a, b), margin in zip(model.pairs, margins[n:]):
+        if a in won:
+            won[a if margin > 0 else b] += 1
+            for k, own in ((a, margin), (b, -margin)):
+                strength[k] += own
+                weakest[k] = min(weakest[k], squash(own))
+    best = sorted(won, key=lambda k: (-won[k], -strength[k], k))[0]
+    return model.languages[best], (squash(margins[family]) if n > 1 else 1.0) * weakest[best]
+
+
+def test_every_prediction_equals_plain_loops(spark):
+    docs = spark.read.parquet(DOCUMENTS)
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
+    model = language.train(docs.filter(learn))
+    got = {r["doc_id"]: r for r in language.held_out_predictions(docs).collect()}
+    for r in docs.filter("doc_id % 4 = 0").collect():
+        lang, score = plain_prediction(model, r["text"])
+        assert got[r["doc_id"]]["lang_pred"] == lang and abs(got[r["doc_id"]]["score"] - score) < 1e-4
+
+
+def test_grams_are_counted_one_by_one():
+    """Equal n-grams meet in one slot, and the vector's entries follow their counts."""
+    found = language.features(b"aBcab")
+    text = b" abcab "  # lower case, with a space at both ends
+    slots = Counter()
+    for size in language.GRAMS:
+        for k in range(len(text) - size + 1):
+            slots[int(language._slots(np.frombuffer(text[k:k + size], "u1").astype("u4"), size)[0])] += 1
+    assert set(np.flatnonzero(found)) == set(slots)
+    top = max(slots.values())
+    assert all((found[s] >= found[o]) == (slots[s] >= slots[o]) for s in slots for o in slots) and top >= 2
