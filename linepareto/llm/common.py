@@ -77,8 +77,8 @@ def ask(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, short: b
     `short` keeps 32 bits of a key beside its bucket: for totals that only rank or preselect, where
     the odd shared number costs work, not results.
     """
-    bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((keys, bucket))
+    bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 65_536 else np.int64)
+    order = np.argsort(bucket, kind="stable")
     keys, counts, bucket = keys[order], counts[order].astype("<u4"), bucket[order]
     keys = keys.astype("<u4" if short else "<u8")
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, int)

@@ -43,7 +43,7 @@ def sets(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, n, node): size and 128-bit key of every row's shingle set."""
     def run(batches):
         for batch in batches:
-            found = [words.shingles(t) for t in batch.column("text").to_pylist()]
+            found = list(words.shingles_of(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in found], pa.int64()),
                  pa.array([_key(s) for s in found], pa.binary())], names=["doc_id", "text_key", "n", "node"])
@@ -53,8 +53,7 @@ def sets(docs: DataFrame) -> DataFrame:
 
 def _first_of_each(pdf: pd.DataFrame, wanted: set[bytes]):
     """(node, shingles) for the nodes that this block stands for."""
-    for text in pdf["text"]:
-        found = words.shingles(text)
+    for found in words.shingles_of(pdf["text"].tolist()):
         if (key := _key(found)) in wanted:
             wanted.discard(key)
             yield key, found
@@ -79,7 +78,7 @@ def nodes(docs: DataFrame, classes: DataFrame, n_blocks: int) -> DataFrame:
         for key, found in _first_of_each(pdf, set(answers["keys"][answers["bucket"] < 0])):
             n, seen = len(found), known.of(found)
             length = n - -(-ABOVE * n // BELOW) + 1
-            order = np.lexsort((found, seen))[:length]
+            order = np.argsort(seen, kind="stable")[:length]  # equal totals by shingle, which are sorted
             shared = np.flatnonzero(seen[order] >= 2)
             if len(shared):
                 ranges = np.bincount((found >> np.uint64(60)).astype(np.int64), minlength=RANGES)

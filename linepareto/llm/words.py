@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -11,6 +14,8 @@ SHINGLE = 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Words a worker remembers; more are hashed again.
 REMEMBERED = 150_000
+# Text bytes whose shingles are computed together.
+TOGETHER = 1_000_000
 
 
 class Remembered(dict):
@@ -43,3 +48,36 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
     for k in range(min(len(h), size)):
         out = mix(out * _STEP + h[k:k + n])
     return np.unique(out)
+
+
+def _some(texts: list[bytes], size: int) -> list[np.ndarray]:
+    found = [split(t) for t in texts]
+    n = np.fromiter(map(len, found), np.int64, len(found))
+    first = np.cumsum(n) - n
+    h = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(found)), np.uint64, int(n.sum()))
+    rolled = np.full(max(len(h) - size + 1, 0), size, np.uint64)
+    for k in range(size if len(rolled) else 0):
+        rolled = mix(rolled * _STEP + h[k:k + len(rolled)])
+    windows = np.maximum(n - size + 1, 0)
+    for a, b in zip(first.tolist(), (first + windows).tolist()):
+        rolled[a:b].sort()
+    new = np.ones(len(rolled), bool)
+    new[1:] = rolled[1:] != rolled[:-1]
+    long = windows > 0
+    new[first[long]] = True
+    out = []
+    for text, a, w in zip(texts, first.tolist(), windows.tolist()):
+        out.append(rolled[a:a + w][new[a:a + w]] if w else shingles(text, size))
+    return out
+
+
+def shingles_of(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """`shingles` of every text, computed for many texts at once."""
+    start, held = 0, 0
+    for k, text in enumerate(texts):
+        if k > start and held + len(text) > TOGETHER:
+            yield from _some(texts[start:k], size)
+            start, held = k, 0
+        held += len(text)
+    if start < len(texts):
+        yield from _some(texts[start:], size)

@@ -73,3 +73,19 @@ def test_chain(table):
 
 def test_empty_table(table):
     assert got(jaccard.similar_documents(table([]))) == []
+
+
+def test_shingles_of_many_texts_are_those_of_each(prose, monkeypatch):
+    from linepareto.llm import words
+
+    rnd = random.Random(5)
+    texts = [prose(k, rnd.choice([0, 1, 3, 4, 5, 6, 40, 900])).encode() for k in range(300)]
+    texts += [b"", b" ", b"a a a a a a a a a", b"A b C d e", b"a b c d e", "é É ß x y z".encode(), b"q " * 5000]
+    rnd.shuffle(texts)
+    for together in (1, 700, 1_000_000):
+        monkeypatch.setattr(words, "TOGETHER", together)
+        found = list(words.shingles_of(texts))
+        assert len(found) == len(texts)
+        for text, some in zip(texts, found):
+            assert some.dtype == "uint64" and some.tolist() == words.shingles(text).tolist()
+    assert list(words.shingles_of([])) == [] and [len(x) for x in words.shingles_of([b"", b"\n"])] == [0, 0]
