@@ -10,6 +10,7 @@ task gathers more than its bucket's share, and texts stay in their blocks.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,21 @@ from linepareto.session import shared_folder
 BLOCK_BYTES = 12_000_000
 
 
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def working_on(operator: str, forget: Callable[[], None] | None = None) -> None:
+    """Called where an operator's task begins: empties what other operators left in this Python worker.
+
+    Workers outlive stages, and what one operator remembers would stand beside what the next one does.
+    `forget` empties what this operator remembers.
+    """
+    for other in [name for name in _kept if name != operator]:
+        _kept.pop(other)()
+    if forget:
+        _kept[operator] = forget
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: computed once, safe from lost executors."""
     folder = shared_folder(df.sparkSession, f"llm-{name}")

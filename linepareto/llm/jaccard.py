@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from linepareto.llm import words
-from linepareto.llm.common import ASKED, NO_ID, Totals, ask, block_count, block_of, blocked, stored, texts, totals, with_null_ids
+from linepareto.llm.common import ASKED, NO_ID, Totals, ask, block_count, block_of, blocked, stored, texts, totals, with_null_ids, working_on
 from linepareto.llm.components import components
 
 # Similarity as a ratio of whole numbers.
@@ -42,6 +42,7 @@ def _text_key() -> Column:
 def sets(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, n, node): size and 128-bit key of every row's shingle set."""
     def run(batches):
+        working_on("words", words.forget)
         for batch in batches:
             found = list(words.shingles_of(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
@@ -66,6 +67,7 @@ def nodes(docs: DataFrame, classes: DataFrame, n_blocks: int) -> DataFrame:
                                             F.col("node").alias("keys"), F.lit(None).cast("binary").alias("totals"))
 
     def keys(pdf: pd.DataFrame, chosen: pd.DataFrame) -> pd.DataFrame:
+        working_on("words", words.forget)
         found = [s for _, s in _first_of_each(pdf, set(chosen["keys"]))]
         if not found:
             return pd.DataFrame(columns=["block", "bucket", "keys", "counts"])
@@ -73,6 +75,7 @@ def nodes(docs: DataFrame, classes: DataFrame, n_blocks: int) -> DataFrame:
         return ask(int(pdf["block"].iloc[0]), distinct, counts, n_blocks, short=True)
 
     def prefixes(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        working_on("words", words.forget)
         known = Totals(answers[answers["bucket"] >= 0], n_blocks, short=True)
         out = []
         for key, found in _first_of_each(pdf, set(answers["keys"][answers["bucket"] < 0])):

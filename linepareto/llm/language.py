@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linepareto.llm.common import NO_ID, in_training
+from linepareto.llm.common import NO_ID, in_training, working_on
 
 ROWS_PER_LANGUAGE = 200
 LEAST_PER_LANGUAGE = 2
@@ -171,6 +171,7 @@ def languages(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        working_on("language")
         for batch in batches:
             got = [predict(shared.value, t) if shared.value else (UNKNOWN, 0.0) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linepareto.llm.common import stored
+from linepareto.llm.common import stored, working_on
 from linepareto.llm.pieces import PATTERN, Pieces, matches
 
 CAPACITY = 1024
@@ -126,6 +126,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
     Only documents longer than `capacity` are cut; their first piece takes what is over.
     """
     def tokenize(batches):
+        working_on("packing", _encoders.clear)
         encode = _encoder(tokenizer_path)
         last = pack("<I", end)
         for batch in batches:

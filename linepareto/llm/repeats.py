@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linepareto.llm.common import ASKED, NO_ID, Totals, ask, block_count, blocked, totals, with_null_ids
+from linepareto.llm.common import ASKED, NO_ID, Totals, ask, block_count, blocked, totals, with_null_ids, working_on
 
 # A place is the row's number among rows of its id, then the byte in its text.
 ROW_BITS = np.int64(40)
@@ -133,6 +133,7 @@ def repeats(docs: DataFrame, method: Method, n_blocks: int | None = None, row: s
     extra = [row] if row else []
 
     def keys(pdf: pd.DataFrame) -> pd.DataFrame:
+        working_on("repeats")
         found = [method.segments(batch) for _, batch in _batches(pdf["text"].tolist())]
         distinct, at = np.unique(np.concatenate([f.key for f in found]), return_inverse=True)
         counts = np.bincount(at, weights=np.concatenate([f.times for f in found]), minlength=len(distinct))

@@ -31,6 +31,10 @@ class Remembered(dict):
 _hashes = Remembered()
 
 
+def forget() -> None:
+    _hashes.clear()
+
+
 def split(text: bytes) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case (bytes methods touch nothing else)."""
     return text.lower().split()

@@ -73,3 +73,17 @@ def test_empty_table(spark, table):
     docs = table([])
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "").collect() == []
+
+
+def test_a_worker_keeps_only_its_operators_memory():
+    from linepareto.llm import common, packing, words
+
+    words.numbers([b"a", b"b"])
+    common.working_on("words", words.forget)
+    packing._encoders["x"] = None
+    common.working_on("packing", packing._encoders.clear)
+    assert not words._hashes and "x" in packing._encoders
+    common.working_on("packing", packing._encoders.clear)
+    assert "x" in packing._encoders
+    common.working_on("language")
+    assert not packing._encoders and not common._kept
