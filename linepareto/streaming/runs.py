@@ -32,6 +32,18 @@ def state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, session)
 
 
+@contextmanager
+def adaptive(spark: SparkSession, like: str) -> Iterator[None]:
+    """Plan what a batch function runs adaptively, if `like` says so; Spark plans the stream itself without."""
+    name = "spark.sql.adaptive.enabled"
+    session = spark.conf.get(name)
+    spark.conf.set(name, like)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, session)
+
+
 def run_available(stream: DataFrame, folder: str) -> DataFrame:
     """Process all data present, append the result to `folder`, and read it."""
     with state_partitions(stream.sparkSession):
@@ -73,17 +85,24 @@ def start_line_reports(records: DataFrame, tables: Callable[[SparkSession], Line
                        **trigger) -> StreamingQuery:
     """The line's whole report as of the newest measurement of every batch of `records`, to `folder`/reports.
 
-    A batch is reduced to hourly partials, which are kept in `folder`/partials by batch and day; a repeated batch
-    overwrites its own. Reports are merged from the partials their lookbacks reach into, so the
+    A batch is reduced to hourly partials, which are kept in `folder`/partials by batch and day, in one file a day
+    unless there is much of it; a repeated batch overwrites its own. Reports are merged from the partials their lookbacks reach into, so the
     measurement log is read once, as it arrives, and late rows count from then on. Jobs, alarms and the genealogy
     come from `tables`. Nothing else is left of a report.
     """
 
+    planned = records.sparkSession.conf.get("spark.sql.adaptive.enabled")
+
     def process(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession, planned):
+            report(batch, batch_id)
+
+    def report(batch: DataFrame, batch_id: int) -> None:
         spark, seen = batch.sparkSession, Observation()
         partials = hourly_partials(batch.observe(seen, F.max("recorded_at").cast("string").alias("newest")), cfg)
         schema = partials.schema
-        partials.write.mode("overwrite").partitionBy("day").parquet(f"{folder}/partials/batch={batch_id}")
+        by_day = partials.hint("rebalance", "day")  # else every task writes a file for each day
+        by_day.write.mode("overwrite").partitionBy("day").parquet(f"{folder}/partials/batch={batch_id}")
         newest = seen.get["newest"]
         if newest is None:
             return

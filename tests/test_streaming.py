@@ -192,3 +192,20 @@ def test_sketches_are_near_the_exact_counts(spark, tmp_path):
     got = run_available(stream_sketched_units(stream, "at", ["source"], "unit", 4), str(tmp_path / "out")).collect()
     exact = {(r.window_start, r.source): r.n for r in sliding_units(rows, "at", ["source"], "unit", 4).collect()}
     assert len(got) > 10 and all(abs(r.n - exact[r.window_start, r.source]) <= SKETCH_ERROR * r.n for r in got)
+
+
+def test_a_day_of_partials_is_one_file(spark, tmp_path):
+    """However many tasks reduced the batch."""
+    from linepareto.plans import driver_line as d
+    from linepareto.streaming.runs import start_line_reports
+
+    log = str(tmp_path / "log")
+    spark.range(2000).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id % 10 AS l_suppkey", "CAST(id % 7 + 1 AS int) AS l_linenumber", "49D AS l_quantity",
+        "90000D AS l_extendedprice", "0.1D AS l_discount", "0.08D AS l_tax", "'R' AS l_returnflag", "'F' AS l_linestatus",
+        "timestamp_ntz'1998-06-01 00:30:00' + make_dt_interval(CAST(id % 5 AS int)) AS l_shipdate").write.parquet(log)
+    stream = spark.readStream.schema(driver_data.BASE_SCHEMAS["lineitem"]).parquet(log)
+    target = tmp_path / "out"
+    start_line_reports(driver_data.param_records(stream), lambda s: d.tables(s, FOLDER), d.ARRIVALS_LINE, str(target)).awaitTermination()
+    days = list((target / "partials" / "batch=0").glob("day=*"))
+    assert len(days) == 5 and all(len(list(day.glob("*.parquet"))) == 1 for day in days)
