@@ -165,3 +165,20 @@ def test_no_way_shuffles_the_whole_genealogy(spark, tmp_path, monkeypatch, plan)
     assert len(plans) == 2
     for text in plans:
         assert "BroadcastHashJoin LeftSemi" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
+def test_a_parent_meets_its_origins_once(spark, monkeypatch):
+    """Whatever number of children they came with, and for all lists of a report."""
+    from linepareto.plans import driver_line as d
+    from linepareto.plans.report import line_report
+
+    edges = spark.createDataFrame([("p", f"c{k % 50}") for k in range(200)] + [("q", "c1"), ("q", None), (None, "c2")],
+                                  "parent string, child string")
+    origins = spark.createDataFrame([(f"c{k}", f"030-{k % 2}") for k in range(50)] * 3, "child string, origin string")
+    for min_hot_rows in (20, 10_000):
+        met = gen.met_origins(gen.Links(edges, edges, 203), origins, min_hot_rows).filter("parent IS NOT NULL")
+        assert sorted(map(tuple, met.collect())) == [("p", "030-0"), ("p", "030-1"), ("q", "030-1")]
+
+    calls, plain = [], gen.met_origins
+    monkeypatch.setattr(gen, "met_origins", lambda *a: calls.append(a) or plain(*a))
+    assert line_report(d.tables(spark, "/root/testdata/sf0.001"), d.LINE, d.AS_OF).count() > 0 and len(calls) == 1
