@@ -94,34 +94,46 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     key, bits = np.zeros(n, np.int64), known * width
     for k in range(known):
         key = key << width | np.roll(dense, -k)
-    while True:
-        order, ranked = _sorted(key, bits)
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
-        if known >= depth or rank[order[-1]] == n - 1:
-            return order
-        key, bits = rank << place | np.roll(rank, -known), 2 * place
+    order, ranked = _sorted(key, bits)
+    new = np.r_[True, ranked[1:] != ranked[:-1]]  # first of the suffixes that are equal so far, whose place is their rank
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    while known < depth:
+        at = np.flatnonzero(~(new & np.r_[new[1:], True]))  # all others have their place
+        if not len(at):
+            break
+        some = order[at]
+        by, ranked = _sorted(rank[some] << place | rank[(some + known) % n], 2 * place)
+        order[at] = some = some[by]
+        new[at] = first = np.r_[True, ranked[1:] != ranked[:-1]]
+        rank[some] = np.maximum.accumulate(np.where(first, at, 0))
         known *= 2
+    return order
 
 
 def shared_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     """Whether each suffix shares `least` symbols with the one before it in `order`."""
     n = len(symbols)
     transform = symbols[order - 1]
-    back = np.empty(n, np.int64)  # where the suffix one symbol longer stands
-    back[np.argsort(transform, kind="stable")] = np.arange(n)
+    small = np.int32 if n < 2**31 else np.int64
+    back = np.empty(n, small)  # where the suffix one symbol longer stands
+    back[np.argsort(transform, kind="stable")] = np.arange(n, dtype=small)
     unknown = np.ones(n + 1, bool)
     unknown[[0, n]] = False
+    begins, owners, marked = symbols[order], np.empty(n, small), np.zeros(n, bool)
     low, high = np.array([0]), np.array([n])
     for _ in range(least):
         width = high - low
         first = np.cumsum(width) - width
-        owner = np.repeat(np.arange(len(low)), width)
-        place = back[np.arange(len(owner)) - first[owner] + low[owner]]
-        both = place << 32 | owner
-        both.sort()
-        place, owner = both >> 32, both & (2**32 - 1)
-        symbol = symbols[order[place]]
+        owner = np.repeat(np.arange(len(low), dtype=small), width)
+        place = back[np.arange(len(owner)) + np.repeat(low - first, width)]
+        owners[place], marked[place] = owner, True
+        if len(place) * 64 > n:
+            place = np.flatnonzero(marked)
+        else:
+            place.sort()
+        marked[place] = False
+        owner, symbol = owners[place], begins[place]
         new = np.r_[True, (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])]
         low = place[new]
         high = place[np.r_[np.flatnonzero(new)[1:], len(place)] - 1] + 1

@@ -65,3 +65,19 @@ def test_whole_results(table, rows):
 
 def test_empty_table(table):
     assert got(substrings.digests(table([]))) == []
+
+
+def test_suffixes_with_their_place_are_not_sorted_again(monkeypatch):
+    rnd, sizes, plain = random.Random(8), [], substrings._sorted
+    passage = [rnd.randrange(1, 30) for _ in range(300)]
+    text = [rnd.randrange(1, 30) for _ in range(4000)]
+    symbols = np.array([*text[:2000], *passage, 0, *passage, *text[2000:], 0], np.int16)
+    monkeypatch.setattr(substrings, "_sorted", lambda key, bits: sizes.append(len(key)) or plain(key, bits))
+    order = substrings.suffix_order(symbols, 101)
+    assert sizes[0] == len(symbols) and len(sizes) > 2 and max(sizes[1:]) < len(symbols) // 4
+
+    twice = [*symbols.tolist()] * 2
+    suffixes = [tuple(twice[k:k + 101]) for k in order.tolist()]
+    assert sorted(order.tolist()) == list(range(len(symbols))) and suffixes == sorted(suffixes)
+    shared = substrings.shared_prefixes(symbols, order, 100)
+    assert shared.tolist() == [False] + [a[:100] == b[:100] for a, b in zip(suffixes, suffixes[1:])]
