@@ -107,3 +107,22 @@ def test_many_ranks_of_one_length(table, monkeypatch):
 
 def test_empty_table(table):
     assert packing.pack_documents(table([]), PATH).collect() == []
+
+
+def test_the_collector_waits_while_texts_are_encoded():
+    import gc
+
+    from linepareto.llm.pieces import Pieces
+
+    states = []
+
+    def encode(pieces):
+        states.append(gc.isenabled())
+        if "bad" in pieces:
+            raise ValueError
+        return [b"" for _ in pieces]
+
+    Pieces(encode).ids(["one two", "three"])
+    with pytest.raises(ValueError):
+        Pieces(encode).ids(["bad"])
+    assert states == [False, False] and gc.isenabled()
