@@ -71,7 +71,12 @@ def nodes(docs: DataFrame, classes: DataFrame, n_blocks: int) -> DataFrame:
         found = [s for _, s in _first_of_each(pdf, set(chosen["keys"]))]
         if not found:
             return pd.DataFrame(columns=["block", "bucket", "keys", "counts"])
-        distinct, counts = np.unique(np.concatenate(found), return_counts=True)
+        every = np.concatenate(found)
+        del found
+        every.sort()
+        at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        distinct, counts = every[at], np.diff(at, append=len(every))
+        del every, at
         return ask(int(pdf["block"].iloc[0]), distinct, counts, n_blocks, short=True)
 
     def prefixes(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

@@ -89,3 +89,16 @@ def test_shingles_of_many_texts_are_those_of_each(prose, monkeypatch):
         for text, some in zip(texts, found):
             assert some.dtype == "uint64" and some.tolist() == words.shingles(text).tolist()
     assert list(words.shingles_of([])) == [] and [len(x) for x in words.shingles_of([b"", b"\n"])] == [0, 0]
+
+
+def test_word_hashes_tell_words_apart():
+    """Words of all lengths, whatever stands between and behind them."""
+    from linepareto.llm import words
+
+    found = [b"a" * k + end for k in range(0, 140) for end in (b"", b"b", b"\0", "é".encode()) if k or end]
+    texts = [b" \t\x0b".join(found), b"", b" \n", b"x", b"\r\n".join(reversed(found)) + b"\x0c", b"AB " + "É".encode()]
+    got, counts = words.hashes(texts)
+    assert counts.tolist() == [len(found), 0, 0, 1, len(found), 2] and len(got) == counts.sum()
+    assert len(set(got[:len(found)].tolist())) == len(set(found))
+    assert got[len(found) + 1:2 * len(found) + 1].tolist() == got[:len(found)][::-1].tolist()
+    assert got[-2:].tolist() == words.hashes([b"ab", "É".encode()])[0].tolist()
