@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linepareto.llm import jaccard, language, line_chunks, packing, substrings
-from linepareto.llm.common import stored
+from linepareto.llm.common import in_small_batches, stored
 
 # Documents below this score, or of no known language, leave with the first stage. Clean prose of a
 # learned language scores above 0.4 even in a single short line.
@@ -20,27 +20,32 @@ LEAST_SCORE = 0.1
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model knows; it learns from all labelled documents."""
+    in_small_batches(spark)
     found = language.languages(docs, language.train(docs))
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines that an earlier place holds."""
+    in_small_batches(spark)
     return line_chunks.cut_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id."""
+    in_small_batches(spark)
     return jaccard.one_of_each_group(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the 100-byte strings that an earlier place holds."""
+    in_small_batches(spark)
     return substrings.cut_documents(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document left, in as few sequences of 1024 tokens as best-fit finds."""
+    in_small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

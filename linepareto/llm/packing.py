@@ -21,7 +21,7 @@ from linepareto.llm.pieces import PATTERN, Pieces, matches
 
 CAPACITY = 1024
 END = 2
-# Pieces a worker remembers, twice over, in about 0.3 GB.
+# Pieces a worker remembers at most, twice over.
 REMEMBERED = 800_000
 # Rows of one length that are ranked in one task.
 RANKED_TOGETHER = 5_000
@@ -93,12 +93,18 @@ def _encoder(path: str):
         specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         find, letters, tokens = regex.compile(PATTERN).findall, _byte_letters(), tokenizer.model.tokenize
 
+        def written(match: str) -> str:
+            """The match in the vocabulary's letters; of printable ASCII only the space has another one."""
+            if match.isascii() and match.isprintable():
+                return match.replace(" ", letters[32])
+            return match.encode().decode("latin-1").translate(letters)
+
         def encode(pieces: list[str]) -> list[bytes]:
             """The library's own model on each match; its whole pipeline costs twice as much per piece."""
             split = [matches(p, find) for p in pieces]
             ids = {}
             for match in {m for found in split for m in found}:
-                ids[match] = array("I", [t.id for t in tokens(match.encode().decode("latin-1").translate(letters))]).tobytes()
+                ids[match] = array("I", [t.id for t in tokens(written(match))]).tobytes()
             return [ids[found[0]] if len(found) == 1 else b"".join([ids[m] for m in found]) for found in split]
 
         def whole(text: str) -> bytes:

@@ -126,3 +126,18 @@ def test_the_collector_waits_while_texts_are_encoded():
     with pytest.raises(ValueError):
         Pieces(encode).ids(["bad"])
     assert states == [False, False] and gc.isenabled()
+
+
+def test_pieces_met_once_are_not_kept():
+    """Once a generation is a quarter full, only pieces met again stay; ids are the same throughout."""
+    from linepareto.llm.pieces import Pieces
+
+    cache = Pieces(lambda pieces: [p.encode() + b"|" for p in pieces], keep=40)
+    for turn in range(3):
+        for k in range(20):
+            assert cache.ids([f"start word{k} once{turn}x{k}"]) == [f"start| word{k}| once{turn}x{k}|".encode()]
+    kept = {**cache.new, **cache.old}
+    assert {f"word{k}" for k in range(20)} <= set(kept) and len([p for p in kept if p.startswith("once")]) < 10
+    for k in range(100):  # nor do beginnings of texts pile up
+        cache.ids([f"start{k} word1"])
+    assert len(cache.first) <= 11

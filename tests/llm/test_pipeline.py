@@ -87,3 +87,17 @@ def test_a_worker_keeps_only_its_operators_memory():
     assert "x" in packing._encoders
     common.working_on("language")
     assert not packing._encoders and not common._kept
+
+
+def test_workers_get_small_batches(spark, table):
+    """Every stage keeps Spark from handing over 10,000 whole texts at once; a smaller limit stays."""
+    name, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", table([(1, "some text", "en")])
+    before = spark.conf.get(name)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            for limit, wanted in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+                spark.conf.set(name, limit)
+                stage(spark, docs, "")
+                assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)
